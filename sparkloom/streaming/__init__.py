@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The surveyed jobs read only static files (text scans, CSV, parallelized collections); there
+is no stream source, watermark, time window or stateful operator to re-express, so nothing
+is built here. Every operator in ``sparkloom.operators`` is a DataFrame transformation and
+can be applied unchanged inside ``foreachBatch`` if a caller wants micro-batches.
+"""
