@@ -79,3 +79,67 @@ SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS IN
 FROM counts
 QUALIFY row_number() OVER (ORDER BY count DESC, word) <= 20000
 """
+
+# ---------------------------------------------------------------- trips
+TRIPS_CTE = """
+trips AS (
+  SELECT l_suppkey AS medallion, l_partkey AS hack_license, l_shipdate AS pickup_datetime,
+         CAST(trunc(l_quantity * 60) AS INTEGER) AS trip_time_secs,
+         l_extendedprice / l_quantity / CAST(100 AS DOUBLE) AS trip_distance,
+         l_extendedprice / CAST(1000 AS DOUBLE) AS fare_amount,
+         l_discount AS surcharge, l_tax AS mta_tax,
+         CAST(l_linenumber AS DOUBLE) AS tolls_amount,
+         (l_extendedprice / CAST(1000 AS DOUBLE)) * (CAST(1 AS DOUBLE) + l_tax) AS total_amount
+  FROM lineitem)
+"""
+F1 = "(trip_distance IS NOT NULL AND fare_amount IS NOT NULL)"
+F2 = (f"({F1} AND trip_time_secs IS NOT NULL AND trip_time_secs <> 0 "
+      "AND total_amount IS NOT NULL AND total_amount <> 0)")
+F3 = f"({F2} AND trip_distance <> 0 AND surcharge IS NOT NULL AND surcharge <> 0)"
+F4 = (f"({F1} AND trip_time_secs BETWEEN 120 AND 3600 AND trip_distance BETWEEN 1 AND 50 "
+      "AND fare_amount BETWEEN 3 AND 200 AND tolls_amount >= 3)")
+
+ORACLE_SQL["active_key_top10"] = f"""
+WITH {TRIPS_CTE}
+SELECT medallion, count(*) AS trips FROM trips WHERE {F1}
+GROUP BY medallion ORDER BY trips DESC, medallion LIMIT 10
+"""
+
+ORACLE_SQL["ratio_of_sums_top10"] = f"""
+WITH {TRIPS_CTE}
+SELECT hack_license,
+       round(sum(total_amount) / (CAST(sum(trip_time_secs) AS DOUBLE) / CAST(60 AS DOUBLE)), 9) AS dollars_per_minute
+FROM trips WHERE {F2}
+GROUP BY hack_license ORDER BY dollars_per_minute DESC, hack_license LIMIT 10
+"""
+
+ORACLE_SQL["hourly_ratio_top10"] = """
+WITH e AS (
+  SELECT ts, value, TRY_CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS DOUBLE) AS k FROM events),
+t AS (SELECT strftime(ts, '%H') AS hour, value AS surcharge, k AS trip_distance,
+             CAST(trunc(k * 60) AS INTEGER) AS trip_time_secs, value AS total_amount, value AS fare_amount
+      FROM e)
+SELECT hour, round(sum(surcharge) / sum(trip_distance), 9) AS surcharge_per_distance
+FROM t
+WHERE trip_distance IS NOT NULL AND fare_amount IS NOT NULL AND trip_time_secs IS NOT NULL
+  AND trip_time_secs <> 0 AND total_amount IS NOT NULL AND total_amount <> 0
+  AND trip_distance <> 0 AND surcharge IS NOT NULL AND surcharge <> 0
+GROUP BY hour ORDER BY surcharge_per_distance DESC, hour LIMIT 10
+"""
+
+ORACLE_SQL["csv_roundtrip_clean"] = f"""
+WITH {TRIPS_CTE}
+SELECT count(*) AS n_lines,
+       CAST(count(*) FILTER (WHERE {F1}) AS BIGINT) AS n_f1,
+       CAST(count(*) FILTER (WHERE {F2}) AS BIGINT) AS n_f2,
+       CAST(count(*) FILTER (WHERE {F3}) AS BIGINT) AS n_f3,
+       CAST(count(*) FILTER (WHERE {F4}) AS BIGINT) AS n_f4,
+       round(sum(total_amount) FILTER (WHERE {F4}), 6) AS f4_total
+FROM trips
+"""
+
+ORACLE_SQL["range_filter_clean"] = f"""
+WITH {TRIPS_CTE}
+SELECT medallion, hack_license, trip_time_secs, trip_distance, fare_amount, tolls_amount, total_amount
+FROM trips WHERE {F4}
+"""
