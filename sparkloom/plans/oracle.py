@@ -143,3 +143,97 @@ WITH {TRIPS_CTE}
 SELECT medallion, hack_license, trip_time_secs, trip_distance, fare_amount, tolls_amount, total_amount
 FROM trips WHERE {F4}
 """
+
+# ---------------------------------------------------------------- TF / DF / IDF
+def terms_cte(docs: str, vocab: str = "vocab", name: str = "terms") -> str:
+    return f"""
+{name}_toks AS (SELECT doc_id, unnest({TOK_LETTERS.format(t='text')}) AS word FROM {docs}),
+{name} AS (SELECT t.doc_id, v.pos, count(*) AS cnt FROM {name}_toks t JOIN {vocab} v ON t.word = v.word
+           GROUP BY t.doc_id, v.pos),
+{name}_tf AS (SELECT doc_id, pos, cnt, cnt / sum(cnt) OVER (PARTITION BY doc_id) AS tf FROM {name})
+"""
+
+
+def vocab_cte_over(docs: str, name: str = "vocab") -> str:
+    return f"""
+{name}_counts AS (
+  SELECT word, count(*) AS count
+  FROM (SELECT unnest({TOK_LETTERS.format(t='text')}) AS word FROM {docs})
+  WHERE word <> '' GROUP BY word),
+{name} AS (
+  SELECT word, count, CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS INTEGER) AS pos
+  FROM {name}_counts
+  QUALIFY row_number() OVER (ORDER BY count DESC, word) <= 20000)
+"""
+
+
+def idf_cte(docs: str, terms: str = "terms", smoothing: bool = False, name: str = "idf") -> str:
+    df = "(CAST(df AS DOUBLE) + CAST(1 AS DOUBLE))" if smoothing else "CAST(df AS DOUBLE)"
+    return f"""
+{name}_df AS (SELECT pos, count(*) AS df FROM {terms} GROUP BY pos),
+{name} AS (SELECT pos, df, ln(CAST((SELECT count(*) FROM {docs}) AS DOUBLE) / {df}) AS idf FROM {name}_df)
+"""
+
+
+ORACLE_SQL["term_frequency"] = f"WITH {VOCAB_CTE}, {terms_cte('documents')} SELECT doc_id, pos, cnt, tf FROM terms_tf"
+
+ORACLE_SQL["document_frequency"] = f"""
+WITH {VOCAB_CTE}, {terms_cte('documents')}
+SELECT t.pos, v.word, count(*) AS df FROM terms t JOIN vocab v ON t.pos = v.pos GROUP BY t.pos, v.word
+"""
+
+for _name, _smooth in (("tfidf", False), ("tfidf_smoothed", True)):
+    ORACLE_SQL[_name] = f"""
+WITH {VOCAB_CTE}, {terms_cte('documents')}, {idf_cte('documents', smoothing=_smooth)}
+SELECT t.doc_id, t.pos, round(t.tf * i.idf, 9) AS tfidf FROM terms_tf t JOIN idf i ON t.pos = i.pos
+"""
+
+ORACLE_SQL["idf_train_apply_test"] = f"""
+WITH train AS (SELECT * FROM documents WHERE doc_id % 5 <> 0),
+test AS (SELECT * FROM documents WHERE doc_id % 5 = 0),
+{vocab_cte_over('train')}, {terms_cte('train', name='trterms')}, {idf_cte('train', 'trterms')},
+{terms_cte('test', name='teterms')}
+SELECT t.doc_id, t.pos, round(t.tf * i.idf, 9) AS tfidf FROM teterms_tf t JOIN idf i ON t.pos = i.pos
+"""
+
+ORACLE_SQL["word_presence_by_class"] = f"""
+WITH {VOCAB_CTE},
+ld AS (SELECT l.quality AS label, {TOK_LETTERS.format(t='d.text')} AS toks
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+probes(word) AS (VALUES ('applicant'), ('and'), ('attack'), ('protein'), ('court')),
+hits AS (SELECT p.word, ld.label, count(*) AS n_docs,
+                count(*) FILTER (WHERE list_contains(ld.toks, p.word)) AS n_with_word
+         FROM probes p CROSS JOIN ld GROUP BY p.word, ld.label)
+SELECT h.word, v.pos, h.label, h.n_docs, h.n_with_word, round(h.n_with_word / h.n_docs, 9) AS rate
+FROM hits h LEFT JOIN vocab v ON h.word = v.word
+"""
+
+ORACLE_SQL["category_join"] = """
+SELECT d.doc_id, d.source, d.lang, l.quality, l.toxic
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+"""
+
+BODY = ("CASE WHEN instr(value, '\">') > 0 THEN substr(value, instr(value, '\">') + 2, "
+        "greatest(length(value) - instr(value, '\">') - 1 - 6, 0)) END")
+
+ORACLE_SQL["doc_line_parse"] = f"""
+WITH {WIKI_LINES}
+SELECT regexp_extract(value, 'id="(.*?)" url=', 1) AS doc_id,
+       regexp_extract(value, '(<[^>]+>)', 1) AS header,
+       length({BODY}) AS body_chars, md5({BODY}) AS body_md5,
+       length({BODY_FROM_GT}) AS gt_body_chars, md5({BODY_FROM_GT}) AS gt_body_md5
+FROM wiki WHERE contains(value, 'id') AND contains(value, 'url=')
+"""
+
+ORACLE_SQL["page_tag_strip"] = """
+SELECT page_id, regexp_extract(html, '(<[^>]+>)', 1) AS header,
+       length(regexp_replace(html, '<[^>]+>', '', 'g')) AS stripped_chars,
+       md5(regexp_replace(html, '<[^>]+>', '', 'g')) AS stripped_md5
+FROM pages
+"""
+
+ORACLE_SQL["label_from_text"] = """
+SELECT doc_id, CASE WHEN contains(source, '1') THEN 1 ELSE 0 END AS label,
+       CASE WHEN contains(source, '1') THEN 1 ELSE -1 END AS signed_label
+FROM documents
+"""
