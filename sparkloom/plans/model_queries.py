@@ -1,3 +1,50 @@
-"""Registered queries (filled in below)."""
+"""Registered model queries: kNN, linear regression, logistic regression and SVMs."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkloom.functions import text as T
+from sparkloom.operators import knn
+from sparkloom.operators import vocab as V
+from sparkloom.plans.registry import register
+from sparkloom.sources.tables import table
+
+VOCAB_K = 20000
+KNN_K = 10
+
+
+def _knn_text(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cats = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"))
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    model = V.TfIdfModel.fit(docs, T.tokens_letters("text"), VOCAB_K)
+    return knn.knn_text(model, docs, cats, queries, KNN_K, metric)
+
+
+@register("knn_text_votes")
+def knn_text_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _knn_text(spark, sf_dir, "dot")
+
+
+@register("knn_text_cosine")
+def knn_text_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _knn_text(spark, sf_dir, "cosine")
+
+
+@register("knn_dense_votes")
+def knn_dense_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings with ids divisible by 5 are the queries, the others the labelled base."""
+    emb = table(spark, sf_dir, "embeddings")
+    is_query = (F.col("vec_id") % 5) == 0
+    base = knn.dense_to_arrays(
+        emb.where(~is_query).select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category")),
+        "id", "embedding",
+    )
+    qarr = knn.dense_to_arrays(emb.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding"),
+                               "query_id", "embedding")
+    qcells = qarr.select("query_id", F.posexplode(F.arrays_zip("idx", "val")).alias("i", "cell")).select(
+        "query_id", F.col("cell.idx").alias("pos"), F.col("cell.val").alias("w")
+    )
+    return knn.vote(knn.top_k_neighbours(base, qcells, KNN_K, "dot"))

@@ -237,3 +237,50 @@ SELECT doc_id, CASE WHEN contains(source, '1') THEN 1 ELSE 0 END AS label,
        CASE WHEN contains(source, '1') THEN 1 ELSE -1 END AS signed_label
 FROM documents
 """
+
+# ---------------------------------------------------------------- kNN
+def knn_text_sql(cosine: bool) -> str:
+    score = "sum(q.w * d.w)"
+    if cosine:
+        score = ("CASE WHEN max(qn.nrm) * max(dn.nrm) > 0 THEN sum(q.w * d.w) / (max(qn.nrm) * max(dn.nrm)) "
+                 "ELSE 0 END")
+    return f"""
+WITH {VOCAB_CTE}, {terms_cte('documents')}, {idf_cte('documents')},
+dv AS (SELECT t.doc_id, t.pos, t.tf * i.idf AS w FROM terms_tf t JOIN idf i ON t.pos = i.pos),
+qd AS (SELECT item_id AS doc_id, text FROM benchmark),
+{terms_cte('qd', name='qterms')},
+qv AS (SELECT t.doc_id AS query_id, t.pos, t.tf * i.idf AS w FROM qterms_tf t JOIN idf i ON t.pos = i.pos),
+dn AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM dv GROUP BY doc_id),
+qn AS (SELECT query_id, sqrt(sum(w * w)) AS nrm FROM qv GROUP BY query_id),
+pairs AS (SELECT qn.query_id, dn.doc_id FROM qn CROSS JOIN dn),
+dots AS (SELECT q.query_id, d.doc_id, {score} AS s
+         FROM qv q JOIN dv d ON q.pos = d.pos JOIN qn ON qn.query_id = q.query_id JOIN dn ON dn.doc_id = d.doc_id
+         GROUP BY q.query_id, d.doc_id),
+cand AS (SELECT p.query_id, p.doc_id, doc.source AS category, round(coalesce(x.s, 0), 9) AS score
+         FROM pairs p LEFT JOIN dots x ON p.query_id = x.query_id AND p.doc_id = x.doc_id
+         JOIN documents doc ON doc.doc_id = p.doc_id),
+top AS (SELECT * FROM cand
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, category, doc_id) <= 10),
+votes AS (SELECT query_id, category, count(*) AS votes FROM top GROUP BY query_id, category)
+SELECT query_id, category, votes,
+       row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category) AS vote_rank
+FROM votes
+"""
+
+
+ORACLE_SQL["knn_text_votes"] = knn_text_sql(False)
+ORACLE_SQL["knn_text_cosine"] = knn_text_sql(True)
+
+ORACLE_SQL["knn_dense_votes"] = """
+WITH base AS (SELECT vec_id, CAST(label AS VARCHAR) AS category, CAST(embedding AS DOUBLE[]) AS v
+              FROM embeddings WHERE vec_id % 5 <> 0),
+q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 5 = 0),
+cand AS (SELECT q.query_id, b.vec_id, b.category, round(list_dot_product(q.v, b.v), 9) AS score
+         FROM q CROSS JOIN base b),
+top AS (SELECT * FROM cand
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, category, vec_id) <= 10),
+votes AS (SELECT query_id, category, count(*) AS votes FROM top GROUP BY query_id, category)
+SELECT query_id, category, votes,
+       row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category) AS vote_rank
+FROM votes
+"""
