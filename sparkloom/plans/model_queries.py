@@ -48,3 +48,33 @@ def knn_dense_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("cell.idx").alias("pos"), F.col("cell.val").alias("w")
     )
     return knn.vote(knn.top_k_neighbours(base, qcells, KNN_K, "dot"))
+
+
+# ---------------------------------------------------------------- linear regression
+from sparkloom.functions import clean  # noqa: E402
+from sparkloom.operators import linear  # noqa: E402
+from sparkloom.sources.tables import lineitem_trips  # noqa: E402
+
+MULTI_FEATURES = ["trip_time_secs", "trip_distance", "fare_amount", "surcharge"]
+
+
+def clean_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = lineitem_trips(spark, sf_dir)
+    return trips.where(clean.in_clean_range(trips))
+
+
+@register("linreg_closed_form")
+def linreg_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linear.closed_form(clean_trips(spark, sf_dir), "trip_distance", "fare_amount")
+
+
+@register("linreg_gd")
+def linreg_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trace = linear.fit_simple_gd(clean_trips(spark, sf_dir), "trip_distance", "fare_amount")
+    return linear.trace_frame(spark, trace, ["cost", "b", "m"])
+
+
+@register("linreg_gd_multi")
+def linreg_gd_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trace = linear.fit_multi_gd(clean_trips(spark, sf_dir), MULTI_FEATURES, "total_amount")
+    return linear.trace_frame(spark, trace, ["cost", "b", "w1", "w2", "w3", "w4"])

@@ -85,7 +85,7 @@ TRIPS_CTE = """
 trips AS (
   SELECT l_suppkey AS medallion, l_partkey AS hack_license, l_shipdate AS pickup_datetime,
          CAST(trunc(l_quantity * 60) AS INTEGER) AS trip_time_secs,
-         l_extendedprice / l_quantity / CAST(100 AS DOUBLE) AS trip_distance,
+         l_quantity * (CAST(1 AS DOUBLE) + l_discount) AS trip_distance,
          l_extendedprice / CAST(1000 AS DOUBLE) AS fare_amount,
          l_discount AS surcharge, l_tax AS mta_tax,
          CAST(l_linenumber AS DOUBLE) AS tolls_amount,
@@ -284,3 +284,83 @@ SELECT query_id, category, votes,
        row_number() OVER (PARTITION BY query_id ORDER BY votes DESC, category) AS vote_rank
 FROM votes
 """
+
+# ---------------------------------------------------------------- gradient descent on moments
+def dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def sql_dot(a: list[str], b: list[str]) -> str:
+    acc = f"({a[0]} * {b[0]})"
+    for i in range(1, len(a)):
+        acc = f"({acc} + ({a[i]} * {b[i]}))"
+    return acc
+
+
+def moments_cte(source: str, xs: list[str], y: str) -> str:
+    """Moments of the augmented features (1, xs) as one row: n, g{i}_{j}, c{i}, syy."""
+    aug = ["CAST(1 AS DOUBLE)"] + xs
+    parts = ["CAST(count(*) AS DOUBLE) AS n"]
+    for i in range(len(aug)):
+        for j in range(i, len(aug)):
+            parts.append(f"sum({aug[i]} * {aug[j]}) AS g{i}_{j}")
+    for i in range(len(aug)):
+        parts.append(f"sum({aug[i]} * {y}) AS c{i}")
+    parts.append(f"sum({y} * {y}) AS syy")
+    return f"mom AS (SELECT {', '.join(parts)} FROM {source})"
+
+
+def gd_sql(prefix_ctes: str, d1: int, theta0: list[float], lr: float, iterations: int,
+           grad_scale: str, cost_scale: str, names: list[str]) -> str:
+    """Recursive CTE running batch GD with the bold-driver rule on the moments row."""
+    th = [f"t{i}" for i in range(d1)]
+    g = [[f"g{min(i, j)}_{max(i, j)}" for j in range(d1)] for i in range(d1)]
+    c = [f"c{i}" for i in range(d1)]
+    gt = [sql_dot(g[i], th) for i in range(d1)]
+    sse = f"((syy - ({dbl(2.0)} * {sql_dot(th, c)})) + {sql_dot(th, gt)})"
+    cost = f"({sse} * ({cost_scale}))"
+    steps = [f"(t{i} - (lr * (({grad_scale}) * (c{i} - {gt[i]}))))" for i in range(d1)]
+    init = ", ".join(dbl(float(t)) for t in theta0)
+    cols = ", ".join(th)
+    new_lr = (f"CASE WHEN cost < old THEN lr * {dbl(1.05)} WHEN cost > old THEN lr * {dbl(0.5)} "
+              "ELSE lr END")
+    new_old = "CASE WHEN cost < old OR cost > old THEN cost ELSE old END"
+    out = ", ".join(f"round(t{i}, 6) AS {names[i + 1]}" for i in range(d1))
+    return f"""
+WITH RECURSIVE {prefix_ctes},
+it(iteration, cost, {cols}, lr, old) AS (
+  SELECT 0, CAST(NULL AS DOUBLE), {init}, {dbl(lr)}, {dbl(0.0)}
+  UNION ALL
+  SELECT iteration + 1, cost, {', '.join(f'n{i}' for i in range(d1))}, {new_lr}, {new_old}
+  FROM (SELECT it.iteration, it.lr, it.old, {cost} AS cost,
+               {', '.join(f'{steps[i]} AS n{i}' for i in range(d1))}
+        FROM it CROSS JOIN mom WHERE it.iteration < {iterations}) s)
+SELECT iteration, round(cost, 6) AS {names[0]}, {out}, lr AS learning_rate
+FROM it WHERE iteration > 0
+"""
+
+
+CLEAN_TRIPS = f"{TRIPS_CTE}, clean AS (SELECT * FROM trips WHERE {F4})"
+
+ORACLE_SQL["linreg_closed_form"] = f"""
+WITH {CLEAN_TRIPS}
+SELECT count(*) AS n, round(regr_slope(fare_amount, trip_distance), 6) AS slope,
+       round(regr_intercept(fare_amount, trip_distance), 6) AS intercept
+FROM clean
+"""
+
+ORACLE_SQL["linreg_gd"] = gd_sql(
+    f"{CLEAN_TRIPS}, {moments_cte('clean', ['trip_distance'], 'fare_amount')}",
+    2, [0.1, 0.1], 1e-4, 100, f"{dbl(-2.0)} / n", f"{dbl(1.0)} / n", ["cost", "b", "m"],
+)
+
+_MULTI = ["trip_time_secs", "trip_distance", "fare_amount", "surcharge"]
+_Z = ", ".join(f"(CAST({f} AS DOUBLE) - mu_{f}) / (CASE WHEN sd_{f} > 0 THEN sd_{f} ELSE {dbl(1.0)} END) AS z_{f}"
+               for f in _MULTI)
+_ZSTATS = ", ".join(f"avg({f}) AS mu_{f}, stddev_pop({f}) AS sd_{f}" for f in _MULTI)
+ORACLE_SQL["linreg_gd_multi"] = gd_sql(
+    f"{CLEAN_TRIPS}, zs AS (SELECT {_ZSTATS} FROM clean), "
+    f"z AS (SELECT {_Z}, total_amount FROM clean CROSS JOIN zs), "
+    f"{moments_cte('z', [f'z_{f}' for f in _MULTI], 'total_amount')}",
+    5, [0.1] * 5, 1e-3, 100, f"{dbl(-1.0)} / n", f"{dbl(0.5)} / n", ["cost", "b", "w1", "w2", "w3", "w4"],
+)

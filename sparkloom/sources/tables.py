@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Trip view of lineitem. Column roles follow the 17-field taxi layout:
 #   medallion <- l_suppkey, hack_license <- l_partkey, pickup/dropoff <- l_shipdate,
-#   trip_time_secs <- l_quantity minutes in seconds, trip_distance <- unit price / 100,
+#   trip_time_secs <- l_quantity minutes in seconds, trip_distance <- l_quantity * (1 + l_discount),
 #   fare_amount <- l_extendedprice / 1000, surcharge <- l_discount, mta_tax <- l_tax,
 #   tolls_amount <- l_linenumber, total_amount <- fare * (1 + tax).
 def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("pickup_datetime"),
         F.col("l_shipdate").alias("dropoff_datetime"),
         (F.col("l_quantity") * F.lit(60)).cast("int").alias("trip_time_secs"),
-        (F.col("l_extendedprice") / F.col("l_quantity") / F.lit(100.0)).alias("trip_distance"),
+        (F.col("l_quantity") * (F.lit(1.0) + F.col("l_discount"))).alias("trip_distance"),
         F.lit(0.0).alias("pickup_lon"),
         F.lit(0.0).alias("pickup_lat"),
         F.lit(0.0).alias("dropoff_lon"),
