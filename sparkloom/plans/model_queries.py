@@ -78,3 +78,50 @@ def linreg_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linreg_gd_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     trace = linear.fit_multi_gd(clean_trips(spark, sf_dir), MULTI_FEATURES, "total_amount")
     return linear.trace_frame(spark, trace, ["cost", "b", "w1", "w2", "w3", "w4"])
+
+
+# ---------------------------------------------------------------- classifiers on embeddings
+from sparkloom.operators import classify  # noqa: E402
+
+N_EMB_FEATURES = 4
+GD_ITERATIONS = 5
+W0 = [0.1] * N_EMB_FEATURES
+
+
+def emb_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    emb = table(spark, sf_dir, "embeddings")
+    return emb, [F.col("embedding").getItem(i).cast("double") for i in range(N_EMB_FEATURES)]
+
+
+def emb_label(signed: bool):
+    return F.when(F.col("label") >= 5, 1).otherwise(-1 if signed else 0)
+
+
+def _trace(spark: SparkSession, trace: list[tuple]) -> DataFrame:
+    return linear.trace_frame(spark, trace, ["cost"] + [f"w{i + 1}" for i in range(N_EMB_FEATURES)])
+
+
+LOGREG_CFG = classify.GDConfig(loss="logistic", lr=1e-3, iterations=GD_ITERATIONS, reg=1e-5, tol=1e-6,
+                               grow_on_equal=True)
+SVM_CFG = classify.GDConfig(loss="hinge", lr=0.5, iterations=GD_ITERATIONS, reg=100.0, tol=5e-5)
+WSVM_CFG = classify.GDConfig(loss="weighted_hinge", lr=1.0, iterations=GD_ITERATIONS, tol=5e-5)
+
+
+@register("logreg_gd_fixed_iters")
+def logreg_gd_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb, xs = emb_features(spark, sf_dir)
+    return _trace(spark, classify.fit_gd(classify.Columns(emb, xs, emb_label(False)), W0, LOGREG_CFG))
+
+
+@register("svm_gd_fixed_iters")
+def svm_gd_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb, xs = emb_features(spark, sf_dir)
+    return _trace(spark, classify.fit_gd(classify.Columns(emb, xs, emb_label(True)), W0, SVM_CFG))
+
+
+@register("svm_weighted_gd_fixed_iters")
+def svm_weighted_gd_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb, xs = emb_features(spark, sf_dir)
+    nr, pr = classify.class_ratios(emb, emb_label(True))
+    cfg = classify.GDConfig(**{**WSVM_CFG.__dict__, "class_weights": (nr, pr)})
+    return _trace(spark, classify.fit_gd(classify.Columns(emb, xs, emb_label(True)), W0, cfg))

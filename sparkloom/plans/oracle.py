@@ -364,3 +364,91 @@ ORACLE_SQL["linreg_gd_multi"] = gd_sql(
     f"{moments_cte('z', [f'z_{f}' for f in _MULTI], 'total_amount')}",
     5, [0.1] * 5, 1e-3, 100, f"{dbl(-1.0)} / n", f"{dbl(0.5)} / n", ["cost", "b", "w1", "w2", "w3", "w4"],
 )
+
+# ---------------------------------------------------------------- GD classifiers on embeddings
+def _sdot(a: list[str], b: list[str]) -> str:
+    acc = f"({a[0]} * {b[0]})"
+    for i in range(1, len(a)):
+        acc = f"({acc} + ({a[i]} * {b[i]}))"
+    return acc
+
+
+def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: float, grow_on_equal: bool,
+                      d: int = 4, w0: float = 0.1) -> str:
+    signed = loss != "logistic"
+    y = "CASE WHEN label >= 5 THEN 1 ELSE {neg} END".format(neg=-1 if signed else 0)
+    xs = [f"x{i}" for i in range(d)]
+    ws = [f"w{i}" for i in range(d)]
+    feats = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(d))
+    one, zero, two = dbl(1.0), dbl(0.0), dbl(2.0)
+    z = f"({xs[0]} * {ws[0]})"
+    for i in range(1, d):
+        z = f"({z} + ({xs[i]} * {ws[i]}))"
+    if loss == "logistic":
+        row_loss = f"((greatest({z}, {zero}) + ln({one} + exp(-abs({z})))) - (y * {z}))"
+        grads = [f"({x} * (({one} / ({one} + exp(-{z}))) - y))" for x in xs]
+    else:
+        margin = f"({one} - (y * {z}))"
+        if loss == "hinge":
+            row_loss = f"greatest({zero}, {margin})"
+            grads = [f"CASE WHEN {margin} >= {zero} THEN ((-y) * {x}) ELSE {zero} END" for x in xs]
+        else:
+            h = (f"(((nr * (({one} + y) / 2)) * {margin}) + ((pr * (({one} - y) / 2)) * {margin}))")
+            row_loss = f"greatest({zero}, {h})"
+            grads = [f"CASE WHEN {margin} >= {zero} THEN (({x} / 2) * ((pr * ({one} - y)) - (nr * ({one} + y)))) "
+                     f"ELSE {zero} END" for x in xs]
+    ww = _sdot(ws, ws)
+    if loss == "logistic":
+        cost = f"(loss + ({dbl(reg)} * {ww}))"
+        new = [f"(p.w{i} - (p.lr * (g{i} + (({two} * {dbl(reg)}) * p.w{i}))))" for i in range(d)]
+    elif loss == "hinge":
+        cost = f"((({one} / ({two} * (n * {dbl(reg)}))) * {ww}) + (loss / n))"
+        new = [f"(p.w{i} - (p.lr * ((({one} / (n * {dbl(reg)})) * p.w{i}) + (g{i} / n))))" for i in range(d)]
+    else:
+        cost = "loss"
+        new = [f"(p.w{i} - (p.lr * g{i}))" for i in range(d)]
+    ctes = [f"data AS (SELECT {feats}, CAST({y} AS DOUBLE) AS y FROM embeddings)",
+            "cnt AS (SELECT CAST(count(*) AS DOUBLE) AS n, "
+            "avg(CASE WHEN y <= 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS nr, "
+            "avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END)::DOUBLE AS pr FROM data)",
+            f"p0 AS (SELECT 0 AS it, {', '.join(f'{dbl(w0)} AS w{i}' for i in range(d))}, {dbl(lr)} AS lr, "
+            f"{zero} AS old, CAST(NULL AS DOUBLE) AS cost, false AS done, false AS emit)"]
+    outs = []
+    for k in range(1, iterations + 1):
+        prev = f"p{k - 1}"
+        ctes.append(f"s{k} AS (SELECT sum({row_loss}) AS loss, "
+                    + ", ".join(f"sum({g}) AS g{i}" for i, g in enumerate(grads))
+                    + f" FROM data CROSS JOIN cnt CROSS JOIN (SELECT {', '.join(ws)} FROM {prev}) wt)")
+        if loss == "logistic":
+            old_norm = f"sqrt({_sdot(['p.' + w for w in ws], ['p.' + w for w in ws])})"
+            new_norm = f"sqrt({_sdot([f'n{i}' for i in range(d)], [f'n{i}' for i in range(d)])})"
+        else:
+            old_norm = f"sqrt(abs({_sdot(['p.' + w for w in ws], ['p.' + w for w in ws])}))"
+            new_norm = f"sqrt(abs({_sdot(['p.' + w for w in ws], [f'n{i}' for i in range(d)])}))"
+        grow = "c.cost <= c.old" if grow_on_equal else "c.cost < c.old"
+        ctes.append(
+            f"u{k} AS (SELECT p.done AS was_done, p.lr, p.old, "
+            + ", ".join(f"p.w{i}" for i in range(d)) + ", "
+            + f"{cost.replace('wt.', 'p.').replace(ww, _sdot(['p.' + w for w in ws], ['p.' + w for w in ws]))} AS cost, "
+            + ", ".join(f"{new[i]} AS n{i}" for i in range(d))
+            + f" FROM {prev} p CROSS JOIN s{k} CROSS JOIN cnt)")
+        ctes.append(
+            f"v{k} AS (SELECT *, abs({old_norm.replace('p.', 'u.')} - {new_norm.replace('p.', 'u.')}) <= {dbl(tol)} "
+            f"AS stop FROM u{k} u)")
+        ctes.append(
+            f"p{k} AS (SELECT {k} AS it, "
+            + ", ".join(f"CASE WHEN c.was_done THEN c.w{i} ELSE c.n{i} END AS w{i}" for i in range(d)) + ", "
+            + f"CASE WHEN c.was_done OR c.stop THEN c.lr WHEN {grow} THEN c.lr * {dbl(1.05)} "
+            + f"WHEN c.cost > c.old THEN c.lr * {dbl(0.5)} ELSE c.lr END AS lr, "
+            + f"CASE WHEN c.was_done OR c.stop THEN c.old WHEN {grow} OR c.cost > c.old THEN c.cost ELSE c.old END AS old, "
+            + "c.cost AS cost, c.was_done OR c.stop AS done, NOT c.was_done AS emit "
+            + f"FROM v{k} c)")
+        outs.append(f"SELECT CAST(it AS BIGINT) AS iteration, round(cost, 6) AS cost, "
+                    + ", ".join(f"round(w{i}, 6) AS w{i + 1}" for i in range(d))
+                    + f", lr AS learning_rate FROM p{k} WHERE emit")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(outs)
+
+
+ORACLE_SQL["logreg_gd_fixed_iters"] = gd_classifier_sql("logistic", 1e-3, 5, 1e-5, 1e-6, True)
+ORACLE_SQL["svm_gd_fixed_iters"] = gd_classifier_sql("hinge", 0.5, 5, 100.0, 5e-5, False)
+ORACLE_SQL["svm_weighted_gd_fixed_iters"] = gd_classifier_sql("weighted_hinge", 1.0, 5, 0.0, 5e-5, False)
