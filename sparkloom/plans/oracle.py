@@ -452,3 +452,67 @@ def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: fl
 ORACLE_SQL["logreg_gd_fixed_iters"] = gd_classifier_sql("logistic", 1e-3, 5, 1e-5, 1e-6, True)
 ORACLE_SQL["svm_gd_fixed_iters"] = gd_classifier_sql("hinge", 0.5, 5, 100.0, 5e-5, False)
 ORACLE_SQL["svm_weighted_gd_fixed_iters"] = gd_classifier_sql("weighted_hinge", 1.0, 5, 0.0, 5e-5, False)
+
+# ---------------------------------------------------------------- evaluation
+_SCORED = f"""
+scored AS (
+  SELECT vec_id, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label,
+         CASE WHEN {_sdot([f'CAST(embedding[{i + 1}] AS DOUBLE)' for i in range(4)],
+                          [dbl(w) for w in (1.0, -1.0, 1.0, -1.0)])} >= 0 THEN 1 ELSE 0 END AS prediction
+  FROM embeddings)
+"""
+
+ORACLE_SQL["confusion_f1"] = f"""
+WITH {_SCORED},
+c AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+             count(*) FILTER (WHERE label <> 1 AND prediction = 1) AS fp,
+             count(*) FILTER (WHERE label = 1 AND prediction <> 1) AS fn,
+             count(*) FILTER (WHERE label <> 1 AND prediction <> 1) AS tn FROM scored)
+SELECT tp, fp, fn, tn,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0.0 END, 9) AS f1
+FROM c
+"""
+
+ORACLE_SQL["confusion_matrix"] = f"""
+WITH {_SCORED}
+SELECT label, prediction, count(*) AS n FROM scored GROUP BY label, prediction
+"""
+
+ORACLE_SQL["false_positives"] = f"""
+WITH {_SCORED}
+SELECT vec_id, label, prediction FROM scored WHERE label = 0 AND prediction = 1 ORDER BY vec_id LIMIT 3
+"""
+
+
+def cluster_top_sql(assign_cte: str) -> str:
+    return f"""
+WITH {assign_cte},
+sizes AS (SELECT cluster, count(*) AS n_docs FROM a GROUP BY cluster),
+ranked AS (SELECT cluster, n_docs, row_number() OVER (ORDER BY n_docs DESC, cluster) AS size_rank FROM sizes),
+counts AS (SELECT cluster, label, count(*) AS label_count FROM a GROUP BY cluster, label),
+top AS (SELECT cluster, label, label_count,
+               row_number() OVER (PARTITION BY cluster ORDER BY label_count DESC, label) AS label_rank
+        FROM counts QUALIFY label_rank <= 3)
+SELECT t.cluster, r.n_docs, r.size_rank, t.label, t.label_count, t.label_rank,
+       round(t.label_count / r.n_docs, 9) AS share
+FROM top t JOIN ranked r ON t.cluster = r.cluster
+"""
+
+
+ORACLE_SQL["cluster_label_top3"] = cluster_top_sql("a AS (SELECT source AS cluster, lang AS label FROM documents)")
+
+_ASSIGN = """
+lines AS (SELECT '(' || regexp_extract(source, '([0-9]+)', 1) || ', ''<doc id="20_newsgroups/' || lang || '/'
+                 || CAST(doc_id AS VARCHAR) || '" url="" title="' || source || '">'')' AS value FROM documents),
+a AS (SELECT TRY_CAST(regexp_extract(value, '^\\((-?[0-9]+),', 1) AS INTEGER) AS cluster,
+             regexp_extract(value, '20_newsgroups/[^/]+/([^"]*)"', 1) AS doc_id,
+             regexp_extract(value, '20_newsgroups/([^/]+)/', 1) AS label FROM lines)
+"""
+
+ORACLE_SQL["assignment_parse"] = f"""
+WITH {_ASSIGN},
+sizes AS (SELECT cluster, count(*) AS n_docs FROM a GROUP BY cluster)
+SELECT cluster, n_docs, row_number() OVER (ORDER BY n_docs DESC, cluster) AS size_rank FROM sizes
+"""
+
+ORACLE_SQL["assignment_newsgroups"] = cluster_top_sql(_ASSIGN)
