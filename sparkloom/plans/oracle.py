@@ -516,3 +516,67 @@ SELECT cluster, n_docs, row_number() OVER (ORDER BY n_docs DESC, cluster) AS siz
 """
 
 ORACLE_SQL["assignment_newsgroups"] = cluster_top_sql(_ASSIGN)
+
+# ---------------------------------------------------------------- topic model
+PUNCT = char_class(ASCII_PUNCTUATION)
+
+
+def topic_base(vocab_size: int) -> str:
+    return f"""
+tv_toks AS (SELECT unnest(regexp_split_to_array(text, {lit(PY_WHITESPACE + '+')})) AS raw FROM documents),
+tv_words AS (SELECT regexp_replace(lower(raw), {lit('^' + EDGE + '+|' + EDGE + '+$')}, '', 'g') AS word
+             FROM tv_toks WHERE raw <> ''),
+tv_counts AS (SELECT word, count(*) AS count FROM tv_words WHERE length(word) >= 2 GROUP BY word),
+tvocab AS (SELECT word, CAST(row_number() OVER (ORDER BY count DESC, word) - 1 AS INTEGER) AS pos FROM tv_counts
+           QUALIFY row_number() OVER (ORDER BY count DESC, word) <= {vocab_size}),
+dt_raw AS (SELECT doc_id, unnest(string_split(text, ' ')) AS raw FROM documents),
+dt AS (SELECT doc_id, regexp_replace(lower(raw), {lit('^' + PUNCT + '+|' + PUNCT + '+$')}, '', 'g') AS word
+       FROM dt_raw WHERE regexp_matches(raw, {lit(WORD_PATTERN)})),
+dcnt AS (SELECT d.doc_id, v.pos, count(*) AS cnt FROM dt d JOIN tvocab v ON d.word = v.word
+         WHERE length(d.word) > 2 GROUP BY d.doc_id, v.pos),
+dc AS (SELECT doc_id, CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS cluster FROM documents),
+kall AS (SELECT CAST(range AS INTEGER) AS cluster FROM range((SELECT max(cluster) + 1 FROM dc))),
+ct AS (SELECT dc.cluster, dcnt.pos, sum(dcnt.cnt) AS cnt FROM dcnt JOIN dc ON dc.doc_id = dcnt.doc_id
+       GROUP BY dc.cluster, dcnt.pos),
+gc AS (SELECT k.cluster, v.pos, CAST(coalesce(ct.cnt, 0) AS BIGINT) AS cnt
+       FROM kall k CROSS JOIN tvocab v LEFT JOIN ct ON ct.cluster = k.cluster AND ct.pos = v.pos)
+"""
+
+
+ORACLE_SQL["topic_cluster_counts"] = f"WITH {topic_base(20000)} SELECT cluster, pos, cnt FROM gc"
+
+ORACLE_SQL["topic_words_fixed"] = f"""
+WITH {topic_base(20000)},
+pr AS (SELECT cluster, pos, (CAST(cnt AS DOUBLE) + {dbl(0.1)})
+              / (CAST(sum(cnt) OVER (PARTITION BY cluster) AS DOUBLE)
+                 + CAST(count(*) OVER (PARTITION BY cluster) AS DOUBLE) * {dbl(0.1)}) AS prob FROM gc),
+top AS (SELECT cluster, pos, prob, row_number() OVER (PARTITION BY cluster ORDER BY prob DESC, pos) AS rank
+        FROM pr QUALIFY rank <= 100)
+SELECT t.cluster AS topic, t.rank, v.word, round(t.prob, 9) AS prob FROM top t JOIN tvocab v ON t.pos = v.pos
+"""
+
+ORACLE_SQL["topic_assign_step"] = f"""
+WITH {topic_base(500)},
+ks AS (SELECT cluster, count(*) AS n FROM dc GROUP BY cluster),
+logpi AS (SELECT k.cluster,
+                 ln((CAST(coalesce(ks.n, 0) AS DOUBLE) + {dbl(0.1)})
+                    / (CAST((SELECT count(*) FROM dc) AS DOUBLE)
+                       + CAST((SELECT count(*) FROM kall) AS DOUBLE) * {dbl(0.1)})) AS lp
+          FROM kall k LEFT JOIN ks ON ks.cluster = k.cluster),
+sm AS (SELECT cluster, pos, CAST(cnt AS DOUBLE) + {dbl(0.1)} AS s FROM gc),
+logmu AS (SELECT cluster, pos, ln(s) - ln(sum(s) OVER (PARTITION BY cluster)) AS lm FROM sm),
+dots AS (SELECT d.doc_id, m.cluster, sum(CAST(d.cnt AS DOUBLE) * m.lm) AS s
+         FROM dcnt d JOIN logmu m ON d.pos = m.pos GROUP BY d.doc_id, m.cluster),
+scores AS (SELECT d.doc_id, p.cluster, p.lp + coalesce(x.s, 0) AS score
+           FROM documents d CROSS JOIN logpi p
+           LEFT JOIN dots x ON x.doc_id = d.doc_id AND x.cluster = p.cluster),
+g AS (SELECT doc_id, cluster, score,
+             score - ln(-ln((CAST(('0x' || substr(md5(concat_ws(':', '42', '0', CAST(doc_id AS VARCHAR),
+                 CAST(cluster AS VARCHAR))), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0)) AS key
+      FROM scores),
+mx AS (SELECT doc_id, max(score) AS m FROM g GROUP BY doc_id),
+z AS (SELECT g.doc_id, sum(exp(g.score - mx.m)) AS zs FROM g JOIN mx ON g.doc_id = mx.doc_id GROUP BY g.doc_id),
+pick AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY key DESC, cluster) = 1)
+SELECT p.doc_id, p.cluster, round(exp(p.score - mx.m) / z.zs, 6) AS posterior
+FROM pick p JOIN mx ON p.doc_id = mx.doc_id JOIN z ON p.doc_id = z.doc_id
+"""

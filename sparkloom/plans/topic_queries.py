@@ -1,3 +1,100 @@
-"""Registered queries (filled in below)."""
+"""Registered topic-model queries (documents; cluster = the number of ``source``)."""
 
 from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkloom.functions import text as T
+from sparkloom.operators import topics
+from sparkloom.operators import vocab as V
+from sparkloom.plans.registry import register
+from sparkloom.sources.tables import table
+
+SEED = 42
+ALPHA = BETA = 0.1
+STEP_VOCAB = 500
+TOPIC_VOCAB = 20000
+GIBBS_K = 20
+GIBBS_ITERATIONS = 10
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "text", F.regexp_extract("source", "([0-9]+)", 1).cast("int").alias("cluster"))
+
+
+def _vocab(docs: DataFrame, k: int) -> V.Vocabulary:
+    return V.Vocabulary(V.top_k(V.word_counts(docs, T.tokens_stripped("text")), k), k)
+
+
+def _cluster_cells(docs: DataFrame, vocab: V.Vocabulary) -> DataFrame:
+    terms = vocab.doc_terms(docs, T.topic_tokens("text"))
+    return terms.join(docs.select("doc_id", "cluster"), "doc_id").groupBy("cluster", "pos").agg(
+        F.sum("cnt").alias("cnt")
+    )
+
+
+def _n_clusters(docs: DataFrame) -> int:
+    return int(docs.agg(F.max("cluster")).first()[0]) + 1
+
+
+@register("topic_assign_step")
+def topic_assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One assignment sweep with mu = smoothed per-source term frequencies."""
+    docs = _docs(spark, sf_dir)
+    vocab = _vocab(docs, STEP_VOCAB)
+    v = vocab.table.count()
+    k = _n_clusters(docs)
+    log_mu = topics.smoothed_log_mu(_cluster_cells(docs, vocab), k, v, BETA)
+    sizes = np.zeros(k)
+    for r in docs.groupBy("cluster").count().collect():  # at most K rows
+        sizes[int(r["cluster"])] = r["count"]
+    log_pi = np.log((sizes + ALPHA) / (sizes.sum() + k * ALPHA))
+    arrays = topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
+    out = topics.assign_step(arrays, log_mu, log_pi, SEED, 0)
+    return out.select("doc_id", "cluster", F.round("posterior", 6).alias("posterior"))
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabulary]:
+    docs = _docs(spark, sf_dir)
+    vocab = _vocab(docs, TOPIC_VOCAB)
+    v = vocab.table.count()
+    clusters = spark.range(_n_clusters(docs)).select(F.col("id").cast("int").alias("cluster"))
+    return topics.full_grid_counts(_cluster_cells(docs, vocab), clusters, v), vocab
+
+
+@register("topic_cluster_counts")
+def topic_cluster_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A19 + U1: term counts of every (cluster, dictionary word), zeros included."""
+    return _grid(spark, sf_dir)[0]
+
+
+@register("topic_words_fixed")
+def topic_words_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T8 + W3 + M20: 100 most probable words per source under smoothed frequencies."""
+    grid, vocab = _grid(spark, sf_dir)
+    return topics.top_words_per_topic(grid, vocab, BETA, 100)
+
+
+def _gibbs(spark: SparkSession, sf_dir: str):
+    docs = _docs(spark, sf_dir)
+    vocab = _vocab(docs, TOPIC_VOCAB)
+    arrays = topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
+    model = topics.fit_gibbs(arrays, vocab, GIBBS_K, ALPHA, BETA, GIBBS_ITERATIONS, SEED)
+    return model, arrays
+
+
+@register("topic_gibbs")
+def topic_gibbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gibbs-sampled clusters of all documents (rows-only check)."""
+    model, arrays = _gibbs(spark, sf_dir)
+    return model.assignments(arrays)
+
+
+@register("topic_top_words")
+def topic_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted topics' 100 most probable words (rows-only check)."""
+    model, _ = _gibbs(spark, sf_dir)
+    return model.top_words(100)
