@@ -247,3 +247,24 @@ def ml_svm(train: DataFrame, reg_param: float, max_iter: int = 300, weight_col:
     kw = {"weightCol": weight_col} if weight_col else {}
     return LinearSVC(featuresCol=features, labelCol=label, regParam=reg_param, maxIter=max_iter,
                      fitIntercept=False, standardization=False, **kw).fit(train)
+
+
+# ------------------------------------------------------------------ text features for pyspark.ml
+def text_vectors(docs: DataFrame, tokens: Column, vocab_words: list[str], idf: list[float] | None = None,
+                 out: str = "features") -> DataFrame:
+    """TF (count / in-dictionary tokens) or TF-IDF ``ml`` vectors, built in the JVM.
+
+    ``vocab_words`` is the fitted dictionary in position order (bounded by its size k);
+    ``CountVectorizerModel.from_vocabulary`` counts, ``Normalizer(p=1)`` turns counts into
+    term frequencies and ``ElementwiseProduct`` applies the idf weights.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+
+    with_tokens = docs.withColumn("_tokens", tokens)
+    cv = CountVectorizerModel.from_vocabulary(vocab_words, inputCol="_tokens", outputCol="_counts")
+    tf = Normalizer(inputCol="_counts", outputCol="_tf" if idf is not None else out, p=1.0).transform(
+        cv.transform(with_tokens))
+    if idf is not None:
+        tf = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol=out).transform(tf)
+    return tf.drop("_tokens", "_counts", "_tf")

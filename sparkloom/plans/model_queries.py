@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,3 +126,84 @@ def svm_weighted_gd_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
     nr, pr = classify.class_ratios(emb, emb_label(True))
     cfg = classify.GDConfig(**{**WSVM_CFG.__dict__, "class_weights": (nr, pr)})
     return _trace(spark, classify.fit_gd(classify.Columns(emb, xs, emb_label(True)), W0, cfg))
+
+
+# ---------------------------------------------------------------- text classifiers
+from sparkloom.plans.text_queries import train_test_docs  # noqa: E402
+
+
+def _labelled_split(spark: SparkSession, sf_dir: str):
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    train, test = train_test_docs(spark, sf_dir)
+    return train.join(labels, "doc_id"), test.join(labels, "doc_id")
+
+
+def _vocab_words(vocab: V.Vocabulary) -> list[str]:
+    # the fitted dictionary, bounded by VOCAB_K entries
+    return [r["word"] for r in vocab.table.orderBy("pos").select("word").collect()]
+
+
+def _tf_sets(spark: SparkSession, sf_dir: str):
+    train, test = _labelled_split(spark, sf_dir)
+    vocab = V.Vocabulary.fit(train, T.tokens_letters("text"), VOCAB_K)
+    words = _vocab_words(vocab)
+    tr = classify.text_vectors(train, T.tokens_letters("text"), words)
+    te = classify.text_vectors(test, T.tokens_letters("text"), words)
+    return tr, te, vocab, words
+
+
+@register("logreg_lbfgs")
+def logreg_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L-BFGS logistic regression on TF vectors; test predictions (rows-only check)."""
+    tr, te, _, _ = _tf_sets(spark, sf_dir)
+    model = classify.ml_logistic(tr, max_iter=200)
+    return model.transform(te).select("doc_id", F.col("label").cast("int").alias("label"),
+                                      F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("svm_text")
+def svm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 via LinearSVC with regParam = 1 / (n lambda), lambda = 100 (rows-only check)."""
+    tr, te, _, _ = _tf_sets(spark, sf_dir)
+    n = tr.count()
+    model = classify.ml_svm(tr, reg_param=1.0 / (n * 100.0), max_iter=300)
+    return model.transform(te).select("doc_id", F.col("label").cast("int").alias("label"),
+                                      F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("svm_weighted_text")
+def svm_weighted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M17 via LinearSVC with class weights NR (positives) and PR (negatives), no penalty."""
+    tr, te, _, _ = _tf_sets(spark, sf_dir)
+    nr, pr = classify.class_ratios(tr, F.col("label"))
+    weighted = tr.withColumn("weight", F.when(F.col("label") > 0, F.lit(nr)).otherwise(F.lit(pr)))
+    model = classify.ml_svm(weighted, reg_param=0.0, max_iter=300, weight_col="weight")
+    return model.transform(te).select("doc_id", F.col("label").cast("int").alias("label"),
+                                      F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("logreg_top_words")
+def logreg_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 + M22: the five words with the largest L-BFGS coefficients (rows-only check)."""
+    tr, _, vocab, words = _tf_sets(spark, sf_dir)
+    coef = classify.ml_logistic(tr, max_iter=200).coefficients.toArray()
+    top = np.argsort(-coef, kind="stable")[:5]  # the coefficient vector is bounded by VOCAB_K
+    rows = [(i + 1, int(p), float(coef[p])) for i, p in enumerate(top)]
+    weights = spark.createDataFrame(rows, "rank int, pos int, weight double")
+    return weights.join(vocab.lookup_table(), "pos").select("rank", "word", "weight")
+
+
+@register("logreg_text_gd")
+def logreg_text_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14 exact GD on TF-IDF cells (sparse backend): cost trace (rows-only check)."""
+    train, _ = _labelled_split(spark, sf_dir)
+    model = V.TfIdfModel.fit(train, T.tokens_letters("text"), VOCAB_K)
+    cells = model.transform(train, T.tokens_letters("text")).select("doc_id", "pos", F.col("tfidf").alias("w"))
+    arrays = knn.long_to_arrays(cells, "doc_id").join(train.select("doc_id", "label"), "doc_id")
+    d = model.vocab.table.count()
+    rng = np.random.default_rng(42)
+    w0 = rng.normal(0.0, 0.1, d).tolist()
+    cfg = classify.GDConfig(loss="logistic", lr=0.1, iterations=20, reg=1e-5, tol=1e-3, grow_on_equal=True)
+    trace = classify.fit_gd(classify.Sparse(arrays, d, F.col("label")), w0, cfg)
+    rows = [(int(t[0]), float(t[1]), float(np.linalg.norm(t[2:-1])), float(t[-1])) for t in trace]
+    return spark.createDataFrame(rows, "iteration long, cost double, w_norm double, learning_rate double")
