@@ -81,15 +81,23 @@ def valid_doc_line(line: Column | str) -> Column:
 def tokens_letters(text: Column | str) -> Column:
     """Non-letters to space, lower case, split on whitespace: ``array<string>``."""
     spaced = F.lower(F.regexp_replace(_col(text), "[^a-zA-Z]+", " "))
-    return F.filter(F.split(spaced, " "), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+# Whole-text forms of per-token rules: one regex pass over a document instead of one per
+# token, and no lambda variables, so equal tokenisers give equal (reusable) plans.
+_WS = PY_WHITESPACE
+_NOT_WS = "[^" + PY_WHITESPACE[1:]
 
 
 def tokens_stripped(text: Column | str, edge_chars: str = EDGE_CHARS, min_len: int = 2) -> Column:
     """Whitespace split, lower, strip ``edge_chars`` at both ends, keep length >= min_len."""
     cls = _class(edge_chars)
-    words = F.filter(F.split(_col(text), PY_WHITESPACE + "+"), lambda w: w != F.lit(""))
-    cleaned = F.transform(words, lambda w: F.regexp_replace(F.lower(w), f"^{cls}+|{cls}+$", ""))
-    return F.filter(cleaned, lambda w: F.length(w) >= F.lit(min_len))
+    t = F.lower(_col(text))
+    t = F.regexp_replace(t, f"(?<=^|{_WS}){cls}+|{cls}+(?={_WS}|$)", "")
+    if min_len > 1:
+        t = F.regexp_replace(t, f"(?<=^|{_WS}){_NOT_WS}{{1,{min_len - 1}}}(?={_WS}|$)", "")
+    return F.array_remove(F.split(t, _WS + "+"), "")
 
 
 def tokens_single_space(text: Column | str) -> Column:
@@ -104,9 +112,11 @@ def topic_tokens(text: Column | str) -> Column:
     and stripped of ASCII punctuation at both ends, and must then be longer than 2.
     """
     cls = _class(ASCII_PUNCTUATION)
-    raw = F.filter(F.split(_col(text), " ", -1), lambda w: w.rlike(WORD_PATTERN))
-    cleaned = F.transform(raw, lambda w: F.regexp_replace(F.lower(w), f"^{cls}+|{cls}+$", ""))
-    return F.filter(cleaned, lambda w: F.length(w) > F.lit(2))
+    t = F.regexp_replace(_col(text), f"(?<=^| )(?![^ ]*{WORD_PATTERN[:-1]})[^ ]+", "")
+    t = F.lower(t)
+    t = F.regexp_replace(t, f"(?<=^| ){cls}+|{cls}+(?= |$)", "")
+    t = F.regexp_replace(t, "(?<=^| )[^ ]{1,2}(?= |$)", "")
+    return F.array_remove(F.split(t, " ", -1), "")
 
 
 def label_from_id(doc_id: Column | str, token: str = "AU", positive: int = 1, negative: int = 0) -> Column:

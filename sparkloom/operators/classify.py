@@ -79,9 +79,13 @@ def row_terms(cfg: GDConfig, w: list[float], xs: list[Column], y: Column) -> tup
 class Columns:
     """Dense, few features given as Columns: one JVM aggregation per iteration."""
 
-    def __init__(self, data: DataFrame, features: list[Column], label: Column):
+    def __init__(self, data: DataFrame, features: list[Column], label: Column, checkpoint: bool = False):
+        from sparkloom.session import materialize
+
         self.data = data.select(*[f.cast("double").alias(f"x{i}") for i, f in enumerate(features)],
                                 label.cast("double").alias("y"))
+        if checkpoint:
+            self.data = materialize(self.data)
         self.d = len(features)
 
     def count(self) -> int:
@@ -136,8 +140,13 @@ class Sparse:
 
     SCHEMA = T.StructType([T.StructField("pos", T.LongType()), T.StructField("g", T.DoubleType())])
 
-    def __init__(self, data: DataFrame, d: int, label: Column, idx: str = "idx", val: str = "val"):
+    def __init__(self, data: DataFrame, d: int, label: Column, idx: str = "idx", val: str = "val",
+                 checkpoint: bool = True):
+        from sparkloom.session import materialize
+
         self.data = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y"))
+        if checkpoint:
+            self.data = materialize(self.data)
         self.d = d
 
     def count(self) -> int:
@@ -147,16 +156,14 @@ class Sparse:
         sc = self.data.sparkSession.sparkContext
         bw = sc.broadcast(np.asarray(w, dtype=np.float64))
         cells = self.data.mapInPandas(_sparse_kernel(cfg, bw, self.d), self.SCHEMA)
-        rows = cells.groupBy("pos").agg(F.sum("g").alias("g")).collect()  # at most d + 1 rows
+        sums = cells.groupBy("pos").agg(F.sum("g").alias("g")).toPandas()  # at most d + 1 rows
         bw.unpersist()
-        grad = [0.0] * self.d
-        loss = 0.0
-        for r in rows:
-            if r["pos"] < 0:
-                loss = float(r["g"])
-            else:
-                grad[int(r["pos"])] = float(r["g"])
-        return loss, grad
+        pos = sums["pos"].to_numpy()
+        g = sums["g"].to_numpy()
+        grad = np.zeros(self.d)
+        grad[pos[pos >= 0]] = g[pos >= 0]
+        loss = float(g[pos < 0].sum())
+        return loss, grad.tolist()
 
 
 # ------------------------------------------------------------------ driver loop

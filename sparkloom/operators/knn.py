@@ -104,31 +104,52 @@ def _score_block(ix: dict, rows: np.ndarray, idx: np.ndarray, val: np.ndarray, n
     return scores
 
 
-def _merge_topk(best, scores, cats, ids, k):
-    if best is not None:
-        scores = np.concatenate([best[0], scores])
-        cats = np.concatenate([best[1], cats])
-        ids = np.concatenate([best[2], ids])
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        sel = scores >= kth
-        scores, cats, ids = scores[sel], cats[sel], ids[sel]
-    order = np.lexsort((ids, cats, -scores))[:k]
-    return scores[order], cats[order], ids[order]
+def _block_candidates(s: np.ndarray, cats: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exact top-k rows of every query column of one block, all queries at once.
+
+    Rows strictly above the k-th largest score are kept; rows tied with it are kept in
+    (category, id) order until k rows are reached. Returns (row, query) index pairs.
+    """
+    n, nq = s.shape
+    if n <= k:
+        return np.nonzero(np.ones((n, nq), dtype=bool))
+    thr = np.partition(s, n - k, axis=0)[n - k]
+    above = s > thr
+    need = k - above.sum(axis=0)
+    order = np.lexsort((ids, cats))
+    tie_sorted = s[order] == thr
+    keep_sorted = tie_sorted & (np.cumsum(tie_sorted, axis=0) <= need[None, :])
+    keep = above
+    keep[order] |= keep_sorted
+    return np.nonzero(keep)
+
+
+def _compact(q, sc, ca, ii, k):
+    """Keep the k best (score desc, category, id) candidates of every query."""
+    order = np.lexsort((ii, ca, -sc, q))
+    q, sc, ca, ii = q[order], sc[order], ca[order], ii[order]
+    if len(q) == 0:
+        return q, sc, ca, ii
+    starts = np.r_[0, np.nonzero(np.diff(q))[0] + 1]
+    sizes = np.diff(np.r_[starts, len(q)])
+    rank = np.arange(len(q)) - np.repeat(starts, sizes)
+    keep = rank < k
+    return q[keep], sc[keep], ca[keep], ii[keep]
 
 
 def _topk_partition(bindex, k: int, cosine: bool, digits: int):
     def run(batches):
         ix = bindex.value
         nq = len(ix["qids"])
-        best = [None] * nq
+        buf: list[list[np.ndarray]] = [[], [], [], []]
+        buffered = 0
         for pdf in batches:
             if pdf.empty:
                 continue
             idx_l = pdf["idx"].to_numpy()
             val_l = pdf["val"].to_numpy()
             ids_all = pdf["id"].to_numpy().astype(np.int64)
-            cats_all = pdf["category"].astype(str).to_numpy()
+            cats_all = pdf["category"].astype(str).to_numpy().astype(str)
             lengths = np.fromiter((len(a) for a in idx_l), dtype=np.int64, count=len(idx_l))
             start = 0
             while start < len(pdf):
@@ -148,18 +169,18 @@ def _topk_partition(bindex, k: int, cosine: bool, digits: int):
                 rows = np.repeat(np.arange(n), lengths[start:stop])
                 s = np.round(_score_block(ix, rows, idx, val, n, cosine), digits)
                 ids, cats = ids_all[start:stop], cats_all[start:stop]
-                for q in range(nq):
-                    best[q] = _merge_topk(best[q], s[:, q], cats, ids, k)
+                r, q = _block_candidates(s, cats, ids, k)
+                for part, arr in zip(buf, (q, s[r, q], cats[r], ids[r])):
+                    part.append(arr)
+                buffered += len(r)
+                if buffered > 8 * k * max(nq, 1):
+                    merged = _compact(*(np.concatenate(p) for p in buf), k)
+                    buf = [[a] for a in merged]
+                    buffered = len(merged[0])
                 start = stop
-        out = []
-        for q in range(nq):
-            if best[q] is None:
-                continue
-            sc, ca, ii = best[q]
-            out.append(pd.DataFrame({"query_id": np.full(len(sc), ix["qids"][q], dtype=np.int64),
-                                     "id": ii, "category": ca, "score": sc}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
+        if buffered:
+            q, sc, ca, ii = _compact(*(np.concatenate(p) for p in buf), k)
+            yield pd.DataFrame({"query_id": ix["qids"][q].astype(np.int64), "id": ii, "category": ca, "score": sc})
 
     return run
 
@@ -178,16 +199,26 @@ def top_k_neighbours(
     spark = candidates.sparkSession
     cand = candidates.select(F.col("id").cast("long"), F.col("category").cast("string"), "idx", "val")
     qc = query_cells.select(F.col("query_id").cast("long"), F.col("pos").cast("long"), F.col("w").cast("double"))
-    n_cells = qc.count()
-    n_chunks = max(1, math.ceil(n_cells / max_query_cells))
-    if n_chunks > 1:
+    # size check: fetch at most max_query_cells + 1 cells; more means chunked passes
+    first = qc.limit(max_query_cells + 1).toPandas()
+    if len(first) <= max_query_cells:
+        n_chunks, pieces = 1, [first]
+    else:
+        from sparkloom.session import materialize
+
+        qc = materialize(qc)
+        n_chunks = max(2, math.ceil(qc.count() / max_query_cells))
         # several passes over the candidates: keep them instead of recomputing the TF-IDF
         cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+        pieces = None
     parts = []
     for chunk in range(n_chunks):
-        part = qc if n_chunks == 1 else qc.where(F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)) == chunk)
-        # bounded: at most about max_query_cells rows reach the driver per chunk
-        index = _inverted_index(part.toPandas())
+        if pieces is not None:
+            pdf = pieces[chunk]
+        else:
+            # bounded: about max_query_cells rows reach the driver per chunk
+            pdf = qc.where(F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)) == chunk).toPandas()
+        index = _inverted_index(pdf)
         if len(index["qids"]) == 0:
             continue
         bindex = spark.sparkContext.broadcast(index)
@@ -210,16 +241,28 @@ def vote(neighbours: DataFrame) -> DataFrame:
 
 def knn_text(
     model, docs: DataFrame, categories: DataFrame, queries: DataFrame, k: int = 10, metric: str = "dot",
-    tokens=None, doc_id: str = "doc_id", query_id: str = "query_id", text: str = "text",
+    tokens=None, doc_id: str = "doc_id", query_id: str = "query_id", text: str = "text", vocab_k: int = 20000,
 ) -> DataFrame:
     """Classify each query text by the categories of its k nearest documents.
 
-    ``model`` is a fitted ``TfIdfModel``; ``categories`` is ``(doc_id, category)``, 1:n.
+    ``model`` is a fitted ``TfIdfModel`` or None to fit one (dictionary of ``vocab_k``
+    words, idf) on ``docs``; ``categories`` is ``(doc_id, category)``, 1:n.
     """
     from sparkloom.functions.text import tokens_letters
 
     tokens = tokens if tokens is not None else tokens_letters(text)
-    dvec = model.transform(docs, tokens, doc_id).select(doc_id, "pos", F.col("tfidf").alias("w"))
+    if model is None:
+        # tokenise the corpus once: the checkpointed bag of words feeds both the fit
+        # (dictionary, idf) and the document vectors
+        from sparkloom.operators.vocab import TfIdfModel, bag_of_words, n_docs_of
+        from sparkloom.session import materialize
+
+        bow = materialize(bag_of_words(docs, tokens, doc_id))
+        model = TfIdfModel.fit_bow(bow, n_docs_of(docs), vocab_k, id_col=doc_id).localized()
+        dvec = model.transform_bow(bow, doc_id)
+    else:
+        dvec = model.transform(docs, tokens, doc_id)
+    dvec = dvec.select(doc_id, "pos", F.col("tfidf").alias("w"))
     cand = long_to_arrays(dvec, doc_id).join(categories, doc_id).select(
         F.col(doc_id).alias("id"), "category", "idx", "val"
     )

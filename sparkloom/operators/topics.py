@@ -173,15 +173,14 @@ def cluster_term_counts(doc_arrays: DataFrame, log_mu: np.ndarray, log_pi: np.nd
     bparams = spark.sparkContext.broadcast((np.asarray(log_mu, np.float64), np.asarray(log_pi, np.float64)))
     withu = doc_arrays.select("idx", "cnt", uniforms_column(seed, iteration, id_col, k).alias("u"))
     cells = withu.mapInPandas(_stats_kernel(bparams, v), STATS_SCHEMA)
-    rows = cells.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt")).collect()  # <= K * (V + 1) rows
+    sums = cells.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt")).toPandas()  # <= K * (V + 1) rows
     bparams.unpersist()
+    cl, pos, cnt = sums["cluster"].to_numpy(), sums["pos"].to_numpy(), sums["cnt"].to_numpy()
     ndocs = np.zeros(k)
     counts = np.zeros((k, v))
-    for r in rows:
-        if r["pos"] < 0:
-            ndocs[r["cluster"]] = r["cnt"]
-        else:
-            counts[r["cluster"], r["pos"]] = r["cnt"]
+    head = pos < 0
+    ndocs[cl[head]] = cnt[head]
+    counts[cl[~head], pos[~head]] = cnt[~head]
     return ndocs, counts
 
 
@@ -214,13 +213,11 @@ class GibbsModel:
 def fit_gibbs(doc_arrays: DataFrame, vocab: V.Vocabulary, k: int = 20, alpha: float = 0.1, beta: float = 0.1,
               iterations: int = 200, seed: int = 0, fixed_pi: bool = False, checkpoint: bool = True) -> GibbsModel:
     """K-cluster mixture of multinomials by Gibbs sampling."""
-    from sparkloom.session import checkpoint_dir
+    from sparkloom.session import materialize
 
-    spark = doc_arrays.sparkSession
     v = vocab.table.count()  # dictionary size, at most vocab.k
     if checkpoint:
-        checkpoint_dir(spark)
-        doc_arrays = doc_arrays.checkpoint(eager=True)
+        doc_arrays = materialize(doc_arrays)
     rng = np.random.default_rng(seed)
     log_pi = log_dirichlet(rng, np.full(k, alpha))
     log_mu = log_dirichlet(rng, np.full((k, v), beta))
@@ -237,8 +234,9 @@ def fit_gibbs(doc_arrays: DataFrame, vocab: V.Vocabulary, k: int = 20, alpha: fl
 def smoothed_log_mu(cluster_terms: DataFrame, n_clusters: int, v: int, beta: float) -> np.ndarray:
     """log of (count + beta) / (total + V beta) per cluster from ``(cluster, pos, cnt)``."""
     counts = np.zeros((n_clusters, v))
-    for r in cluster_terms.collect():  # at most K x V rows
-        counts[int(r["cluster"]), int(r["pos"])] = float(r["cnt"])
+    cells = cluster_terms.select("cluster", "pos", "cnt").toPandas()  # at most K x V rows
+    counts[cells["cluster"].to_numpy(dtype=np.int64), cells["pos"].to_numpy(dtype=np.int64)] = cells["cnt"].to_numpy(
+        dtype=np.float64)
     sm = counts + beta
     return np.log(sm) - np.log(sm.sum(axis=1, keepdims=True))
 

@@ -35,6 +35,17 @@ def explode_tokens(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> D
     return docs.select(F.col(id_col), F.explode(tokens).alias("word"))
 
 
+def bag_of_words(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, word, cnt)``: the corpus tokenised once, counted per document.
+
+    All tokens of a document come from one row, so the partial aggregate before the
+    exchange is already complete per document. Every later step (vocabulary, term counts,
+    document frequency) derives from this one table, so within a plan Spark reuses its
+    exchange (ReuseExchange) instead of tokenising the corpus again.
+    """
+    return explode_tokens(docs, tokens, id_col).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("cnt"))
+
+
 def word_counts(docs: DataFrame, tokens: Column) -> DataFrame:
     """``(word, count)`` over all token occurrences of the corpus."""
     return (
@@ -63,20 +74,24 @@ class Vocabulary:
     k: int
 
     @classmethod
-    def fit(cls, docs: DataFrame, tokens: Column, k: int = 20000) -> "Vocabulary":
-        return cls(top_k(word_counts(docs, tokens), k), k)
+    def fit(cls, docs: DataFrame, tokens: Column, k: int = 20000, id_col: str = "doc_id") -> "Vocabulary":
+        return cls.fit_bow(bag_of_words(docs, tokens, id_col), k)
+
+    @classmethod
+    def fit_bow(cls, bow: DataFrame, k: int = 20000) -> "Vocabulary":
+        counts = bow.groupBy("word").agg(F.sum("cnt").alias("count"))
+        return cls(top_k(counts, k), k)
 
     def lookup_table(self) -> DataFrame:
         return bounded_broadcast(self.table.select("word", "pos"), self.k)
 
     def doc_terms(self, docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
         """``(id_col, pos, cnt)``: in-vocabulary term counts per document."""
-        return (
-            explode_tokens(docs, tokens, id_col)
-            .join(self.lookup_table(), "word")
-            .groupBy(id_col, "pos")
-            .agg(F.count(F.lit(1)).alias("cnt"))
-        )
+        return self.bow_terms(bag_of_words(docs, tokens, id_col), id_col)
+
+    def bow_terms(self, bow: DataFrame, id_col: str = "doc_id") -> DataFrame:
+        """Bag-of-words rows restricted to the dictionary, words replaced by positions."""
+        return bow.join(self.lookup_table(), "word").select(id_col, "pos", "cnt")
 
     def tail(self, n: int = 20) -> DataFrame:
         """The last ``n`` dictionary positions, highest first."""
@@ -95,8 +110,12 @@ def presence(doc_terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def document_frequency(doc_terms: DataFrame) -> DataFrame:
-    """``(pos, df)``: number of documents containing each dictionary word."""
-    return doc_terms.groupBy("pos").agg(F.count(F.lit(1)).alias("df"))
+    """``(pos, df)``: number of documents containing each dictionary word.
+
+    Counts non-null ``cnt`` (= rows) so the plan keeps the same bag-of-words columns as the
+    other branches and shares their exchange.
+    """
+    return doc_terms.groupBy("pos").agg(F.count("cnt").alias("df"))
 
 
 def idf(doc_freq: DataFrame, n_docs: Column, smoothing: bool = False) -> DataFrame:
@@ -133,6 +152,28 @@ class TfIdfModel:
         terms = vocab.doc_terms(docs, tokens, id_col)
         return cls(vocab, idf(document_frequency(terms), n_docs_of(docs), smoothing))
 
+    @classmethod
+    def fit_bow(cls, bow: DataFrame, n_docs: Column, k: int = 20000, smoothing: bool = False,
+                id_col: str = "doc_id") -> "TfIdfModel":
+        """Fit from an existing bag-of-words table (e.g. a checkpointed one)."""
+        vocab = Vocabulary.fit_bow(bow, k)
+        return cls(vocab, idf(document_frequency(vocab.bow_terms(bow, id_col)), n_docs, smoothing))
+
+    def localized(self) -> "TfIdfModel":
+        """Evaluate the model once: (word, pos, count, idf) rows, at most k of them, become
+        a small in-memory table, so later plans broadcast it instead of refitting."""
+        spark = self.vocab.table.sparkSession
+        rows = self.vocab.table.join(self.idf_table.select("pos", "df", "idf"), "pos", "left").toPandas()
+        local = spark.createDataFrame(rows).select(
+            F.col("word"), F.col("count").cast("long"), F.col("pos").cast("int"),
+            F.col("df").cast("long"), F.col("idf").cast("double"))
+        return TfIdfModel(Vocabulary(local.select("word", "count", "pos"), self.vocab.k),
+                          local.where(F.col("df").isNotNull()).select("pos", "df", "idf"))
+
     def transform(self, docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
         terms = self.vocab.doc_terms(docs, tokens, id_col)
         return tfidf(term_frequency(terms, id_col), self.idf_table, self.vocab.k, id_col)
+
+    def transform_bow(self, bow: DataFrame, id_col: str = "doc_id") -> DataFrame:
+        terms = self.vocab.bow_terms(bow, id_col)
+        return tfidf(term_frequency(terms, id_col), self.idf_table, self.vocab.k, id_col)

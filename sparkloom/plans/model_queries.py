@@ -20,8 +20,7 @@ def _knn_text(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cats = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"))
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    model = V.TfIdfModel.fit(docs, T.tokens_letters("text"), VOCAB_K)
-    return knn.knn_text(model, docs, cats, queries, KNN_K, metric)
+    return knn.knn_text(None, docs, cats, queries, KNN_K, metric, vocab_k=VOCAB_K)
 
 
 @register("knn_text_votes")

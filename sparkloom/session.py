@@ -62,3 +62,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A location under the checkpoint folder for intermediate tables written by a job."""
     return os.path.join(checkpoint_dir(spark), "tables", name)
+
+
+def materialize(df):
+    """Write ``df`` to the checkpoint folder and cut its lineage (reliable, not local).
+
+    Used before iterative algorithms: every iteration then re-reads the checkpoint instead
+    of recomputing the feature pipeline, and a lost executor costs one re-read.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
