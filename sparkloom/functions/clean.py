@@ -39,7 +39,7 @@ def parse_trip_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     parts = F.split(F.col(value), ",", -1)
     cols = [F.size(parts).alias("n_fields")]
     for i, name in enumerate(TRIP_FIELDS):
-        field = parts.getItem(i)
+        field = F.get(parts, i)  # NULL past the end of a short line (getItem raises under ANSI)
         if name in STRING_FIELDS:
             cols.append(field.alias(name))
         else:

@@ -131,7 +131,7 @@ def hour_text(ts: Column | str) -> Column:
 
 def hour_of_datetime_text(value: Column | str) -> Column:
     """Hour field of a ``yyyy-MM-dd HH:mm:ss`` string, kept as text ('09')."""
-    return F.split(F.split(_col(value), " ", -1).getItem(1), ":", -1).getItem(0)
+    return F.get(F.split(F.get(F.split(_col(value), " ", -1), 1), ":", -1), 0)
 
 
 def cluster_of_assignment(line: Column | str) -> Column:

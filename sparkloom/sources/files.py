@@ -38,9 +38,12 @@ def read_trips_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("quote", "\u0000")
         .csv(path)
     )
-    return df.withColumn(
-        "n_fields", F.when(F.col("_corrupt_record").isNull(), F.lit(clean.N_FIELDS)).otherwise(F.lit(-1))
-    )
+    # CSV column pruning parses only the referenced fields, so a bad value in an unread
+    # field would not mark the record; n_fields therefore reads every field, and any
+    # filter on it makes the scan parse whole records.
+    every_field = F.length(F.concat_ws("\u0001", *[F.col(n).cast("string") for n in clean.TRIP_FIELDS])) >= 0
+    ok = F.col("_corrupt_record").isNull() & every_field
+    return df.withColumn("n_fields", F.when(ok, F.lit(clean.N_FIELDS)).otherwise(F.lit(-1)))
 
 
 def parse_wiki_lines(lines: DataFrame, value: str = "value") -> DataFrame:
