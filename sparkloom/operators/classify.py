@@ -237,23 +237,58 @@ def predict(scored_z: Column, rule: str = "ge0", positive=1, negative=0) -> Colu
 
 
 # ------------------------------------------------------------------ pyspark.ml forms
+# Rows of training data per task of an iterative fit. Every L-BFGS function evaluation is
+# one treeAggregate job over the cached training blocks, so a small training set spread
+# over many partitions pays task and tree-level overhead hundreds of times; a large one
+# keeps its partitions (the bound only ever merges partitions, never adds them).
+ROWS_PER_FIT_TASK = 50_000
+
+
+def right_sized(train: DataFrame, rows_per_task: int = ROWS_PER_FIT_TASK) -> tuple[DataFrame, DataFrame, int]:
+    """Cache ``train``, count it, and merge partitions down to ``ceil(n / rows_per_task)``.
+
+    Returns ``(sized, cached, n)``; unpersist ``cached`` once the fit is done.
+    """
+    from pyspark import StorageLevel
+
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    want = max(1, math.ceil(n / rows_per_task))
+    sized = cached.coalesce(want) if want < cached.rdd.getNumPartitions() else cached
+    return sized, cached, n
+
+
+def _fit(estimator, train: DataFrame, rows_per_task: int = ROWS_PER_FIT_TASK):
+    sized, cached, _ = right_sized(train, rows_per_task)
+    try:
+        return estimator.fit(sized)
+    finally:
+        cached.unpersist()
+
+
 def ml_logistic(train: DataFrame, max_iter: int = 200, reg_param: float = 0.0, features: str = "features",
                 label: str = "label"):
     """M13/M15 (and M14 with ``reg_param = 2 lambda / n``): no intercept, no standardisation."""
     from pyspark.ml.classification import LogisticRegression
 
-    return LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg_param,
-                              elasticNetParam=0.0, fitIntercept=False, standardization=False).fit(train)
+    return _fit(LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg_param,
+                                   elasticNetParam=0.0, fitIntercept=False, standardization=False), train)
 
 
-def ml_svm(train: DataFrame, reg_param: float, max_iter: int = 300, weight_col: str | None = None,
-           features: str = "features", label: str = "label"):
-    """M16 (``reg_param = 1 / (n lambda)``) and M17 (``weight_col`` with NR / PR weights)."""
+def ml_svm(train: DataFrame, reg_param: float | None = None, max_iter: int = 300, weight_col: str | None = None,
+           features: str = "features", label: str = "label", lam: float | None = None):
+    """M16 (``reg_param = 1 / (n lambda)``; pass ``lam`` to have n counted on the cached input)
+    and M17 (``weight_col`` with NR / PR weights)."""
     from pyspark.ml.classification import LinearSVC
 
-    kw = {"weightCol": weight_col} if weight_col else {}
-    return LinearSVC(featuresCol=features, labelCol=label, regParam=reg_param, maxIter=max_iter,
-                     fitIntercept=False, standardization=False, **kw).fit(train)
+    sized, cached, n = right_sized(train)
+    try:
+        reg = reg_param if lam is None else 1.0 / (n * lam)
+        kw = {"weightCol": weight_col} if weight_col else {}
+        return LinearSVC(featuresCol=features, labelCol=label, regParam=reg, maxIter=max_iter,
+                         fitIntercept=False, standardization=False, **kw).fit(sized)
+    finally:
+        cached.unpersist()
 
 
 # ------------------------------------------------------------------ text features for pyspark.ml

@@ -164,8 +164,7 @@ def logreg_lbfgs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def svm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M16 via LinearSVC with regParam = 1 / (n lambda), lambda = 100 (rows-only check)."""
     tr, te, _, _ = _tf_sets(spark, sf_dir)
-    n = tr.count()
-    model = classify.ml_svm(tr, reg_param=1.0 / (n * 100.0), max_iter=300)
+    model = classify.ml_svm(tr, lam=100.0, max_iter=300)
     return model.transform(te).select("doc_id", F.col("label").cast("int").alias("label"),
                                       F.col("prediction").cast("int").alias("prediction"))
 
