@@ -63,18 +63,19 @@ def log_dirichlet(rng: np.random.Generator, alpha: np.ndarray) -> np.ndarray:
     return logg - (m + np.log(np.exp(logg - m).sum(axis=-1, keepdims=True)))
 
 
-def doc_term_arrays(docs: DataFrame, tokens: Column, vocab: V.Vocabulary, id_col: str = "doc_id") -> DataFrame:
-    """``(doc_id, idx[], cnt[])``, one row per document; documents without a dictionary
-    word keep empty arrays (a left join from the document table)."""
+def doc_term_arrays(docs: DataFrame, tokens: Column, vocab: V.Vocabulary, id_col: str = "doc_id",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, idx[], cnt[])``, one row per document; documents without a
+    dictionary word keep empty arrays (a left join from the document table)."""
     cells = vocab.doc_terms(docs, tokens, id_col)
     arr = F.sort_array(F.collect_list(F.struct(F.col("pos").alias("p"), F.col("cnt").alias("c"))))
     packed = cells.groupBy(id_col).agg(arr.alias("cells"))
-    base = docs.select(id_col)
+    base = docs.select(id_col, *keep)
     out = base.join(packed, id_col, "left")
     empty_i = F.array().cast("array<int>")
     empty_c = F.array().cast("array<bigint>")
     return out.select(
-        id_col,
+        id_col, *keep,
         F.coalesce(F.col("cells.p"), empty_i).alias("idx"),
         F.coalesce(F.col("cells.c"), empty_c).alias("cnt"),
     )
@@ -241,6 +242,15 @@ def smoothed_log_mu(cluster_terms: DataFrame, n_clusters: int, v: int, beta: flo
     return np.log(sm) - np.log(sm.sum(axis=1, keepdims=True))
 
 
+def cluster_cells_of_arrays(doc_arrays: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """``(cluster, pos, cnt)`` term counts per cluster from per-document arrays that
+    carry their cluster; one row per (document, word) is exploded and summed, with
+    map-side partial aggregation before the ``groupBy(cluster, pos)`` exchange."""
+    cell = F.explode(F.arrays_zip(F.col("idx").alias("p"), F.col("cnt").alias("c"))).alias("cell")
+    return doc_arrays.select(cluster, cell).groupBy(cluster, F.col("cell.p").alias("pos")).agg(
+        F.sum("cell.c").alias("cnt"))
+
+
 def full_grid_counts(cells: DataFrame, clusters: DataFrame, v: int, cluster: str = "cluster") -> DataFrame:
     """Every (cluster, pos) pair with its count, zero when absent.
 

@@ -82,6 +82,16 @@ class Vocabulary:
         counts = bow.groupBy("word").agg(F.sum("cnt").alias("count"))
         return cls(top_k(counts, k), k)
 
+    def materialized(self) -> "Vocabulary":
+        """The dictionary computed once (at most ``k`` rows) behind a reliable checkpoint.
+
+        ``table`` is otherwise a lazy plan (tokenise, count, top-k): every count, lookup or
+        join would tokenise the whole corpus again.
+        """
+        from sparkloom.session import materialize
+
+        return Vocabulary(materialize(self.table), self.k)
+
     def lookup_table(self) -> DataFrame:
         return bounded_broadcast(self.table.select("word", "pos"), self.k)
 

@@ -10,6 +10,7 @@ from sparkloom.functions import text as T
 from sparkloom.operators import topics
 from sparkloom.operators import vocab as V
 from sparkloom.plans.registry import register
+from sparkloom.session import materialize
 from sparkloom.sources.tables import table
 
 SEED = 42
@@ -26,7 +27,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vocab(docs: DataFrame, k: int) -> V.Vocabulary:
-    return V.Vocabulary(V.top_k(V.word_counts(docs, T.tokens_stripped("text")), k), k)
+    return V.Vocabulary(V.top_k(V.word_counts(docs, T.tokens_stripped("text")), k), k).materialized()
 
 
 def _cluster_cells(docs: DataFrame, vocab: V.Vocabulary) -> DataFrame:
@@ -47,12 +48,14 @@ def topic_assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocab = _vocab(docs, STEP_VOCAB)
     v = vocab.table.count()
     k = _n_clusters(docs)
-    log_mu = topics.smoothed_log_mu(_cluster_cells(docs, vocab), k, v, BETA)
+    # the corpus is tokenised once: per-document arrays (with their cluster) feed both the
+    # cluster term counts and the assignment pass
+    arrays = materialize(topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab, keep=("cluster",)))
+    log_mu = topics.smoothed_log_mu(topics.cluster_cells_of_arrays(arrays), k, v, BETA)
     sizes = np.zeros(k)
-    for r in docs.groupBy("cluster").count().collect():  # at most K rows
+    for r in arrays.groupBy("cluster").count().collect():  # at most K rows
         sizes[int(r["cluster"])] = r["count"]
     log_pi = np.log((sizes + ALPHA) / (sizes.sum() + k * ALPHA))
-    arrays = topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
     out = topics.assign_step(arrays, log_mu, log_pi, SEED, 0)
     return out.select("doc_id", "cluster", F.round("posterior", 6).alias("posterior"))
 
