@@ -166,7 +166,7 @@ class TfIdfModel:
     def fit_bow(cls, bow: DataFrame, n_docs: Column, k: int = 20000, smoothing: bool = False,
                 id_col: str = "doc_id") -> "TfIdfModel":
         """Fit from an existing bag-of-words table (e.g. a checkpointed one)."""
-        vocab = Vocabulary.fit_bow(bow, k)
+        vocab = Vocabulary.fit_bow(bow, k).materialized()
         return cls(vocab, idf(document_frequency(vocab.bow_terms(bow, id_col)), n_docs, smoothing))
 
     def localized(self) -> "TfIdfModel":

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import text as T
 from sparkloom.operators import vocab as V
 from sparkloom.plans.registry import register
+from sparkloom.session import materialize
 from sparkloom.sources.tables import documents_as_wiki_lines, table
 
 VOCAB_K = 20000
@@ -50,24 +51,33 @@ def _model_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabula
     return docs, V.Vocabulary.fit(docs, T.tokens_letters("text"), VOCAB_K)
 
 
+def _bow(docs: DataFrame) -> DataFrame:
+    """The corpus tokenised once, behind a reliable checkpoint: the dictionary, the term
+    cells and the document frequencies all read it instead of tokenising again."""
+    return materialize(V.bag_of_words(docs, T.tokens_letters("text")))
+
+
 @register("term_frequency")
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, vocab = _model_docs(spark, sf_dir)
-    tf = V.term_frequency(vocab.doc_terms(docs, T.tokens_letters("text")))
+    bow = _bow(_docs(spark, sf_dir))
+    vocab = V.Vocabulary.fit_bow(bow, VOCAB_K).materialized()
+    tf = V.term_frequency(vocab.bow_terms(bow))
     return tf.select("doc_id", "pos", "cnt", "tf")
 
 
 @register("document_frequency")
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, vocab = _model_docs(spark, sf_dir)
-    dfreq = V.document_frequency(vocab.doc_terms(docs, T.tokens_letters("text")))
+    bow = _bow(_docs(spark, sf_dir))
+    vocab = V.Vocabulary.fit_bow(bow, VOCAB_K).materialized()
+    dfreq = V.document_frequency(vocab.bow_terms(bow))
     return dfreq.join(vocab.lookup_table(), "pos").select("pos", "word", "df")
 
 
 def _tfidf(spark: SparkSession, sf_dir: str, smoothing: bool) -> DataFrame:
     docs = _docs(spark, sf_dir)
-    model = V.TfIdfModel.fit(docs, T.tokens_letters("text"), VOCAB_K, smoothing)
-    out = model.transform(docs, T.tokens_letters("text"))
+    bow = _bow(docs)
+    model = V.TfIdfModel.fit_bow(bow, V.n_docs_of(docs), VOCAB_K, smoothing)
+    out = model.transform_bow(bow)
     return out.select("doc_id", "pos", F.round("tfidf", ROUND).alias("tfidf"))
 
 
@@ -92,7 +102,7 @@ def train_test_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 def idf_train_apply_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary and idf fitted on the training documents, applied to the test ones."""
     train, test = train_test_docs(spark, sf_dir)
-    model = V.TfIdfModel.fit(train, T.tokens_letters("text"), VOCAB_K)
+    model = V.TfIdfModel.fit_bow(_bow(train), V.n_docs_of(train), VOCAB_K)
     out = model.transform(test, T.tokens_letters("text"))
     return out.select("doc_id", "pos", F.round("tfidf", ROUND).alias("tfidf"))
 
