@@ -49,7 +49,10 @@ def hash_uniform(seed: int, iteration: Column | int, doc_id: Column | str, k: Co
 
 
 def uniforms_column(seed: int, iteration: int, doc_id: str, n_clusters: int) -> Column:
-    return F.array(*[hash_uniform(seed, iteration, doc_id, k) for k in range(n_clusters)])
+    """``array<double>`` of the K uniforms of a document: one hash expression applied per
+    element (K inlined copies would outgrow the codegen method limit and run interpreted)."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n_clusters - 1)),
+                       lambda k: hash_uniform(seed, iteration, F.col(doc_id), k))
 
 
 def log_dirichlet(rng: np.random.Generator, alpha: np.ndarray) -> np.ndarray:
