@@ -10,6 +10,7 @@ from sparkloom.functions import text as T
 from sparkloom.operators import knn
 from sparkloom.operators import vocab as V
 from sparkloom.plans.registry import register
+from sparkloom.session import materialize
 from sparkloom.sources.tables import table
 
 VOCAB_K = 20000
@@ -195,8 +196,9 @@ def logreg_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logreg_text_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M14 exact GD on TF-IDF cells (sparse backend): cost trace (rows-only check)."""
     train, _ = _labelled_split(spark, sf_dir)
-    model = V.TfIdfModel.fit(train, T.tokens_letters("text"), VOCAB_K)
-    cells = model.transform(train, T.tokens_letters("text")).select("doc_id", "pos", F.col("tfidf").alias("w"))
+    bow = materialize(V.bag_of_words(train, T.tokens_letters("text")))  # tokenised once
+    model = V.TfIdfModel.fit_bow(bow, V.n_docs_of(train), VOCAB_K)
+    cells = model.transform_bow(bow).select("doc_id", "pos", F.col("tfidf").alias("w"))
     arrays = knn.long_to_arrays(cells, "doc_id").join(train.select("doc_id", "label"), "doc_id")
     d = model.vocab.table.count()
     rng = np.random.default_rng(42)
