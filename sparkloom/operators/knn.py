@@ -258,7 +258,8 @@ def knn_text(
         from sparkloom.session import materialize
 
         bow = materialize(bag_of_words(docs, tokens, doc_id))
-        model = TfIdfModel.fit_bow(bow, n_docs_of(docs), vocab_k, id_col=doc_id).localized()
+        model = TfIdfModel.fit_bow(bow, n_docs_of(docs), vocab_k, id_col=doc_id,
+                                   materialize_vocab=False).localized()
         dvec = model.transform_bow(bow, doc_id)
     else:
         dvec = model.transform(docs, tokens, doc_id)

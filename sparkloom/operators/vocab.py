@@ -164,9 +164,15 @@ class TfIdfModel:
 
     @classmethod
     def fit_bow(cls, bow: DataFrame, n_docs: Column, k: int = 20000, smoothing: bool = False,
-                id_col: str = "doc_id") -> "TfIdfModel":
-        """Fit from an existing bag-of-words table (e.g. a checkpointed one)."""
-        vocab = Vocabulary.fit_bow(bow, k).materialized()
+                id_col: str = "doc_id", materialize_vocab: bool = True) -> "TfIdfModel":
+        """Fit from an existing bag-of-words table (e.g. a checkpointed one).
+
+        The dictionary is written once (``materialize_vocab``) because the idf and every
+        transform read it; skip that when the model is ``localized()`` right away.
+        """
+        vocab = Vocabulary.fit_bow(bow, k)
+        if materialize_vocab:
+            vocab = vocab.materialized()
         return cls(vocab, idf(document_frequency(vocab.bow_terms(bow, id_col)), n_docs, smoothing))
 
     def localized(self) -> "TfIdfModel":
