@@ -23,7 +23,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from sparkloom.plans.registry import all_queries
-    from sparkloom.session import get_spark
+    from sparkloom.session import drop_scratch_tables, get_spark
 
     spark = get_spark(
         "sparkloom-bench", master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
@@ -43,6 +43,7 @@ def main() -> None:
         t0 = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - t0, 3)
+        drop_scratch_tables(spark)  # the query's written intermediates are consumed
         print(f"# {name}: {timings[name]:.2f}s", file=sys.stderr, flush=True)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)

@@ -62,9 +62,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    # one folder per application, so dropping it never touches another job's tables
+    return os.path.join(checkpoint_dir(spark), f"sparkloom-{spark.sparkContext.applicationId}")
+
+
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A location under the checkpoint folder for intermediate tables written by a job."""
-    return os.path.join(checkpoint_dir(spark), "tables", name)
+    return os.path.join(_scratch_root(spark), name)
+
+
+def drop_scratch_tables(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables (call once their readers are done)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
 
 
 def materialize(df):

@@ -115,3 +115,15 @@ def test_writers(spark, tmp_path):
     files.write_table(df, big, partition_by=["g"])
     back = spark.read.parquet(big)
     assert back.count() == 100 and sorted(r["g"] for r in back.select("g").distinct().collect()) == [0, 1, 2]
+
+
+def test_materialize_writes_and_drops_scratch_tables(spark):
+    from sparkloom.session import _scratch_root, drop_scratch_tables, materialize
+
+    df = materialize(spark.range(50).select((F.col("id") * 2).alias("x")))
+    assert df.agg(F.sum("x")).first()[0] == 2450
+    assert "InMemoryFileIndex" in df._jdf.queryExecution().executedPlan().toString() or df.inputFiles()
+    root = _scratch_root(spark)
+    assert os.path.isdir(root)
+    drop_scratch_tables(spark)
+    assert not os.path.exists(root)
