@@ -145,7 +145,7 @@ def _vocab_words(vocab: V.Vocabulary) -> list[str]:
 
 def _tf_sets(spark: SparkSession, sf_dir: str):
     train, test = _labelled_split(spark, sf_dir)
-    vocab = V.Vocabulary.fit(train, T.tokens_letters("text"), VOCAB_K)
+    vocab = V.Vocabulary.fit(train, T.tokens_letters("text"), VOCAB_K).materialized()
     words = _vocab_words(vocab)
     tr = classify.text_vectors(train, T.tokens_letters("text"), words)
     te = classify.text_vectors(test, T.tokens_letters("text"), words)
