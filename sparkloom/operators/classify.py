@@ -292,21 +292,34 @@ def ml_svm(train: DataFrame, reg_param: float | None = None, max_iter: int = 300
 
 
 # ------------------------------------------------------------------ text features for pyspark.ml
-def text_vectors(docs: DataFrame, tokens: Column, vocab_words: list[str], idf: list[float] | None = None,
-                 out: str = "features") -> DataFrame:
-    """TF (count / in-dictionary tokens) or TF-IDF ``ml`` vectors, built in the JVM.
+class TextVectorizer:
+    """TF (count / in-dictionary tokens) or TF-IDF ``ml`` vectors for a fixed dictionary.
 
     ``vocab_words`` is the fitted dictionary in position order (bounded by its size k);
     ``CountVectorizerModel.from_vocabulary`` counts, ``Normalizer(p=1)`` turns counts into
-    term frequencies and ``ElementwiseProduct`` applies the idf weights.
+    term frequencies and ``ElementwiseProduct`` applies the idf weights, all in the JVM.
+    Build it once and apply it to every split: constructing the model ships the dictionary
+    to the JVM word by word.
     """
-    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-    from pyspark.ml.linalg import Vectors
-
-    with_tokens = docs.withColumn("_tokens", tokens)
-    cv = CountVectorizerModel.from_vocabulary(vocab_words, inputCol="_tokens", outputCol="_counts")
-    tf = Normalizer(inputCol="_counts", outputCol="_tf" if idf is not None else out, p=1.0).transform(
-        cv.transform(with_tokens))
-    if idf is not None:
-        tf = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol=out).transform(tf)
-    return tf.drop("_tokens", "_counts", "_tf")
+
+    def __init__(self, vocab_words: list[str], idf: list[float] | None = None, out: str = "features"):
+        from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+        from pyspark.ml.linalg import Vectors
+
+        self.out = out
+        self.cv = CountVectorizerModel.from_vocabulary(vocab_words, inputCol="_tokens", outputCol="_counts")
+        self.norm = Normalizer(inputCol="_counts", outputCol="_tf" if idf is not None else out, p=1.0)
+        self.idf = None if idf is None else ElementwiseProduct(
+            scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol=out)
+
+    def transform(self, docs: DataFrame, tokens: Column) -> DataFrame:
+        tf = self.norm.transform(self.cv.transform(docs.withColumn("_tokens", tokens)))
+        if self.idf is not None:
+            tf = self.idf.transform(tf)
+        return tf.drop("_tokens", "_counts", "_tf")
+
+
+def text_vectors(docs: DataFrame, tokens: Column, vocab_words: list[str], idf: list[float] | None = None,
+                 out: str = "features") -> DataFrame:
+    """One-off form of :class:`TextVectorizer`."""
+    return TextVectorizer(vocab_words, idf, out).transform(docs, tokens)

@@ -147,8 +147,9 @@ def _tf_sets(spark: SparkSession, sf_dir: str):
     train, test = _labelled_split(spark, sf_dir)
     vocab = V.Vocabulary.fit(train, T.tokens_letters("text"), VOCAB_K).materialized()
     words = _vocab_words(vocab)
-    tr = classify.text_vectors(train, T.tokens_letters("text"), words)
-    te = classify.text_vectors(test, T.tokens_letters("text"), words)
+    vectorizer = classify.TextVectorizer(words)  # built once, applied to both splits
+    tr = vectorizer.transform(train, T.tokens_letters("text"))
+    te = vectorizer.transform(test, T.tokens_letters("text"))
     return tr, te, vocab, words
 
 
