@@ -252,7 +252,7 @@ def knn_text(
 
     tokens = tokens if tokens is not None else tokens_letters(text)
     if model is None:
-        # tokenise the corpus once: the checkpointed bag of words feeds both the fit
+        # tokenise the corpus once: the written bag of words feeds both the fit
         # (dictionary, idf) and the document vectors
         from sparkloom.operators.vocab import TfIdfModel, bag_of_words, n_docs_of
         from sparkloom.session import materialize

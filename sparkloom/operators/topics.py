@@ -13,8 +13,8 @@ pi ~ Dir(alpha), mu_k ~ Dir(beta). One sweep:
 3. the driver draws pi ~ Dir(alpha + n_k) and mu_k ~ Dir(beta + counts_k) in log space
    (no underflow to log 0) from a seeded generator.
 
-The document table (``doc_id, idx[], cnt[]``) is checkpointed once, so every sweep's
-lineage is "checkpoint -> mapInPandas -> aggregate" and a lost executor recomputes one
+The document table (``doc_id, idx[], cnt[]``) is written once (``materialize``), so every sweep's
+lineage is "table scan -> mapInPandas -> aggregate" and a lost executor recomputes one
 sweep, not the history. Differences from the surveyed job: pi is resampled each sweep
 (it computed the new alpha but never used it; ``fixed_pi=True`` restores that), and a
 document without dictionary words keeps posterior pi instead of failing.

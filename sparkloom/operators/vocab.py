@@ -83,7 +83,7 @@ class Vocabulary:
         return cls(top_k(counts, k), k)
 
     def materialized(self) -> "Vocabulary":
-        """The dictionary computed once (at most ``k`` rows) behind a reliable checkpoint.
+        """The dictionary computed once (at most ``k`` rows) and written to the checkpoint folder.
 
         ``table`` is otherwise a lazy plan (tokenise, count, top-k): every count, lookup or
         join would tokenise the whole corpus again.
@@ -165,7 +165,7 @@ class TfIdfModel:
     @classmethod
     def fit_bow(cls, bow: DataFrame, n_docs: Column, k: int = 20000, smoothing: bool = False,
                 id_col: str = "doc_id", materialize_vocab: bool = True) -> "TfIdfModel":
-        """Fit from an existing bag-of-words table (e.g. a checkpointed one).
+        """Fit from an existing bag-of-words table (e.g. a written one).
 
         The dictionary is written once (``materialize_vocab``) because the idf and every
         transform read it; skip that when the model is ``localized()`` right away.

@@ -52,7 +52,7 @@ def _model_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabula
 
 
 def _bow(docs: DataFrame) -> DataFrame:
-    """The corpus tokenised once, behind a reliable checkpoint: the dictionary, the term
+    """The corpus tokenised once and written to the checkpoint folder: the dictionary, the term
     cells and the document frequencies all read it instead of tokenising again."""
     return materialize(V.bag_of_words(docs, T.tokens_letters("text")))
 
