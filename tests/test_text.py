@@ -127,3 +127,17 @@ def test_materialize_writes_and_drops_scratch_tables(spark):
     assert os.path.isdir(root)
     drop_scratch_tables(spark)
     assert not os.path.exists(root)
+
+
+def test_spread_only_when_scan_is_narrower_than_the_cluster(spark, tmp_path):
+    from sparkloom.sources.tables import spread
+
+    cores = spark.sparkContext.defaultParallelism
+    narrow = str(tmp_path / "narrow")
+    spark.range(100).coalesce(1).write.parquet(narrow)
+    df = spark.read.parquet(narrow)
+    assert df.rdd.getNumPartitions() == 1
+    spread_df = spread(df)
+    assert spread_df.rdd.getNumPartitions() == cores and spread_df.count() == 100
+    wide = spark.range(0, 100, 1, cores * 2)
+    assert spread(wide) is wide  # already wide enough: no extra exchange
