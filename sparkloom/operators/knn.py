@@ -55,7 +55,7 @@ def long_to_arrays(long_df: DataFrame, id_col: str, pos: str = "pos", val: str =
 
 def dense_to_arrays(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """A dense ``array<float|double>`` column as ``idx[] = 0..d-1, val[]``."""
-    vec = F.transform(F.col(vec_col), lambda x: x.cast("double"))
+    vec = F.col(vec_col).cast("array<double>")
     return df.select(
         F.col(id_col),
         F.sequence(F.lit(0), F.size(vec_col) - 1).alias("idx"),
