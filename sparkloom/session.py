@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +95,24 @@ def materialize(df):
     path = scratch_table_path(spark, f"{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application.
+
+    Arrow and Pandas kernels are pickled by reference, so a worker must be able to import
+    ``sparkloom`` whatever folder it was started in. Spark copies the zip to every executor.
+    """
+    package = os.path.dirname(os.path.abspath(__file__))
+    name = f"sparkloom-{spark.sparkContext.applicationId}.zip"
+    if any(f.endswith(name) for f in spark.sparkContext.listFiles):
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, name)
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for at, _, names in os.walk(package):
+                for source in sorted(names):
+                    if source.endswith(".py"):
+                        full = os.path.join(at, source)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(path)
