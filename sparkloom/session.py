@@ -107,12 +107,14 @@ def ship_package(spark: SparkSession) -> None:
     name = f"sparkloom-{spark.sparkContext.applicationId}.zip"
     if any(f.endswith(name) for f in spark.sparkContext.listFiles):
         return
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, name)
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
-            for at, _, names in os.walk(package):
-                for source in sorted(names):
-                    if source.endswith(".py"):
-                        full = os.path.join(at, source)
-                        archive.write(full, os.path.relpath(full, os.path.dirname(package)))
-        spark.sparkContext.addPyFile(path)
+    # Spark's file server streams the zip from this driver-side file for as long as the
+    # application runs; executors never read the folder itself
+    folder = tempfile.mkdtemp(prefix="sparkloom-zip-")
+    path = os.path.join(folder, name)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for at, _, names in os.walk(package):
+            for source in sorted(names):
+                if source.endswith(".py"):
+                    full = os.path.join(at, source)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
