@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, quality_rules
+from sparkloom.llm import decontaminate, jaccard_join, quality_rules
 from sparkloom.llm.tables import read
 
 
@@ -32,9 +32,14 @@ def op4_quality_rules(spark, sf_dir):
     )
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join.classes(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op4_quality_rules": op4_quality_rules,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLE_SQL = {}
