@@ -214,8 +214,10 @@ def _prefixes(docs: DataFrame, shared, cfg: Settings, buckets: int) -> DataFrame
 
 
 def _possible(a, b, pa_, pb, percent):
-    """May sets of sizes a and b that share the shingle at places pa_ and pb be similar?"""
-    most = np.minimum(pa_, pb) + 1 + np.minimum(a - pa_ - 1, b - pb - 1)
+    """May sets of sizes a and b be similar if the shingle at places pa_ and pb is the first
+    that they share? A similar pair passes this at its first shared shingle, which lies in
+    both prefixes, so pairs that fail it under other shingles are not lost."""
+    most = 1 + np.minimum(a - pa_ - 1, b - pb - 1)
     return 100 * most >= percent * (a + b - most)
 
 
