@@ -52,6 +52,7 @@ class Settings:
     hot: int = 50_000
     block: int = 512
     frequent: int = 200_000  # length of the list of frequent shingles
+    slots: int = 1 << 20  # of the table that keeps texts without a pair out of a join
 
 
 def shingle_sets(words: kernel.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,8 +314,12 @@ def _verify(docs: DataFrame, pairs: DataFrame, shared, cfg: Settings, buckets: i
     hub = many.select("a", "ah", F.explode(F.sequence(F.lit(0), (F.col("shares") - 1).cast("int"))).alias("share")).select(
         F.col("a").alias("doc_id"), "a", "ah", "share", F.col("ah").alias("h"), F.lit(True).alias("hub"))
     partner = dealt.select(F.col("b").alias("doc_id"), "a", "ah", "share", F.col("bh").alias("h"), F.lit(False).alias("hub"))
-    wanted = hub.unionAll(partner).groupBy("doc_id").agg(F.collect_list(target).alias("targets"))
-    rows = docs.join(wanted, "doc_id").select("doc_id", "text", "targets")
+    wanted = materialize(hub.unionAll(partner).groupBy("doc_id").agg(F.collect_list(target).alias("targets")))
+    # most texts are in no pair: those whose id falls into an empty slot stay out of the join.
+    # The slots are a table of fixed size; when all are full, nothing is saved or lost.
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(cfg.slots)).alias("slot")
+    near = docs.select("doc_id", "text", slot).join(F.broadcast(wanted.select(slot).distinct()), "slot", "left_semi")
+    rows = near.join(wanted, "doc_id").select("doc_id", "text", "targets")
 
     def cut(batches):
         order = shared.value
