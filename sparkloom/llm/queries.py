@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, jaccard_join, quality_rules
+from sparkloom.llm import decontaminate, jaccard_join, mixing, quality_rules, secrets
 from sparkloom.llm.tables import read
 
 
@@ -22,6 +22,12 @@ def op1_decontaminate(spark, sf_dir):
     )
 
 
+def op2_mixing(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies"
+    )
+
+
 def op4_quality_rules(spark, sf_dir):
     ledger = quality_rules.with_fail_bits(quality_rules.measure(read(spark, sf_dir, "documents")))
     return ledger.select(
@@ -36,10 +42,25 @@ def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.classes(read(spark, sf_dir, "documents"))
 
 
+def op9_secrets(spark, sf_dir):
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{secrets.KINDS[kind]}")
+
+    return found.select(
+        "doc_id", count(0), count(1), count(2),
+        F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),
+        secrets.rendered(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_mixing": op2_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_secrets": op9_secrets,
 }
 
 ORACLE_SQL = {}
