@@ -39,13 +39,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield (first row, last row + 1, bytes, offsets), each of ``limit`` bytes or one row."""
+def chunks(
+    column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 30
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Yield (first row, last row + 1, bytes, offsets), each of ``limit`` bytes and ``rows``
+    rows at most, or of one row."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
-        hi = min(hi, n)
+        hi = min(hi, lo + rows, n)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, jaccard_join, mixing, quality_rules, secrets
+from sparkloom.llm import (
+    decontaminate, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets, url_filter,
+)
 from sparkloom.llm.tables import read
 
 
@@ -28,6 +30,15 @@ def op2_mixing(spark, sf_dir):
     )
 
 
+def op3_quality_classifier(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality_cnn.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_cnn.score(docs, net).select(
+        "doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_quality_rules(spark, sf_dir):
     ledger = quality_rules.with_fail_bits(quality_rules.measure(read(spark, sf_dir, "documents")))
     return ledger.select(
@@ -38,10 +49,32 @@ def op4_quality_rules(spark, sf_dir):
     )
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op5_url_filter(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
+
+
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.classes(read(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    profiles = language.Profiles(language.learn(docs))
+    return language.identify(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", quality_cnn.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_secrets(spark, sf_dir):
     found = secrets.scan(read(spark, sf_dir, "documents"))
 
@@ -55,12 +88,21 @@ def op9_secrets(spark, sf_dir):
     )
 
 
+def op10_html_text(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filter": op5_url_filter,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_language_id": op8_language_id,
     "op9_secrets": op9_secrets,
+    "op10_html_text": op10_html_text,
 }
 
 ORACLE_SQL = {}

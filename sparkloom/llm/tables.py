@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def extended(schema: StructType, **fields: str) -> StructType:
+    """A copy of ``schema`` with more fields, given as name=type."""
+    out = StructType(list(schema.fields))
+    for name, kind in fields.items():
+        out = out.add(name, kind)
+    return out
