@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.llm import (
-    decontaminate, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets, url_filter,
+    decontaminate, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
+    suffix_dedup, url_filter,
 )
 from sparkloom.llm.tables import read
 
@@ -63,6 +64,10 @@ def op5_url_filter(spark, sf_dir):
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "url_score")
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.summary(suffix_dedup.marked(read(spark, sf_dir, "documents")))
+
+
 def op7_jaccard_join(spark, sf_dir):
     return jaccard_join.classes(read(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
     "op5_url_filter": op5_url_filter,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_language_id": op8_language_id,
     "op9_secrets": op9_secrets,
