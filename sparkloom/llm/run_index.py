@@ -17,28 +17,32 @@ import numpy as np
 def _suffix_order(symbols: np.ndarray, ends: np.ndarray, longest: int, depth: int):
     """(suffix array, for each position an identifier of its first ``depth`` symbols)."""
     n = len(symbols)
+    at = np.arange(n, dtype=np.int32)
+    left = np.repeat(ends, np.diff(np.append(-1, ends))).astype(np.int32) - at  # symbols before the sentinel
     # seven 9-bit symbols to start with; what follows a sentinel does not count
-    left = np.repeat(ends, np.diff(np.append(-1, ends))) - np.arange(n)  # symbols before the sentinel
     key = np.zeros(n, np.uint64)
-    padded = np.append(symbols.astype(np.uint64), np.zeros(7, np.uint64))
+    padded = np.append(symbols, np.zeros(7, symbols.dtype)).astype(np.uint64)
     for k in range(7):
         key = (key << np.uint64(9)) | np.where(left >= k, padded[k : k + n], 0)
-    width, name, same = 7, None, None
+    width, before, same = 7, 0, None
     while True:
-        order = np.argsort(key, kind="stable")  # ties stay in text order
-        new = np.append(True, key[order][1:] != key[order][:-1])
+        order = np.argsort(key)
         # a suffix that reaches its sentinel differs from all others: text order decides
-        new |= left[order] < width
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
+        ended = np.flatnonzero((left[order] < width) & (left[order] >= before))
+        own = order[ended]
+        order[ended] = own[np.lexsort((own, key[own]))]
+        sorted_key = key[order]
+        new = np.append(True, sorted_key[1:] != sorted_key[:-1]) | (left[order] < width)
+        rank = np.empty(n, np.int32)
+        rank[order] = np.cumsum(new, dtype=np.int32) - 1
         if same is None and 2 * width >= depth:
-            shift = np.minimum(np.arange(n) + depth - width, n - 1)
-            same = rank * np.int64(n) + rank[shift]  # equal iff the first depth symbols are
+            shift = np.minimum(at + (depth - width), n - 1)
+            same = rank.astype(np.int64) * n + rank[shift]  # equal iff the first depth symbols are
         if width > longest or new.all():
             return order, same if same is not None else rank
-        ahead = np.minimum(np.arange(n) + width, n - 1)
-        key = rank.astype(np.uint64) * np.uint64(n) + np.where(left >= width, rank[ahead], 0).astype(np.uint64)
-        width *= 2
+        ahead = rank[np.minimum(at + width, n - 1)]
+        key = rank.astype(np.uint64) * np.uint64(n) + np.where(left >= width, ahead, 0).astype(np.uint64)
+        before, width = width, 2 * width
 
 
 class RunLengthIndex:
@@ -48,10 +52,10 @@ class RunLengthIndex:
         m = len(sizes)
         self.sizes, self.depth = sizes, depth
         ends = np.cumsum(sizes + 1) - 1  # positions of the sentinels
-        symbols = np.zeros(len(data) + m, np.int64)
+        symbols = np.zeros(len(data) + m, np.int16)
         inside = np.ones(len(symbols), bool)
         inside[ends] = False
-        symbols[inside] = data.astype(np.int64) + 1
+        symbols[inside] = data.astype(np.int16) + 1
         self.ends, self.symbols = ends, symbols
         order, same = _suffix_order(symbols, ends, int(sizes.max(initial=0)) + 1, depth)
         bwt = symbols[order - 1]  # position 0 wraps to the last sentinel

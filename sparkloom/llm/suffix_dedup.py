@@ -10,10 +10,12 @@ to meet, by content:
 2. Cells go to buckets by anchor, as a few bytes each. Cells with equal bytes (64-bit hash)
    have all windows in common: all but the earliest are removed whole. An anchor with only
    one kind of cell is done.
-3. Where an anchor has several kinds of cells (edges of copied passages, edits), the bytes
-   of the earliest cell of each kind are fetched and indexed: a run-length Burrows-Wheeler
-   index per bucket (``run_index``), through which the cells are streamed. A window is removed
-   if the interval of its match holds an earlier one.
+3. Where an anchor has several kinds of cells (edges of copied passages, edits), two kinds
+   may still share windows. The starts of a cell fall into ``PARTS`` parts, and all windows of
+   a part have a core of bytes in common; kinds without an equal core (16-bit marks) are done.
+   The bytes of the earliest cell of each other kind are fetched and indexed: a run-length
+   Burrows-Wheeler index per bucket (``run_index``), through which the cells are streamed. A
+   window is removed if the interval of its match holds an earlier one.
 4. Each document gets its ranges, and removes them.
 
 Cells that repeat inside a task are settled there, so a passage that a third of all rows
@@ -38,14 +40,14 @@ from sparkloom.llm import kernel
 from sparkloom.llm.run_index import RunLengthIndex
 from sparkloom.session import materialize
 
-WINDOW, GRAM = 100, 24
+WINDOW, GRAM, PARTS = 100, 24, 4
 SLAB = 4 << 20
-BUCKET_BYTES, BLOCK_BYTES, INDEX_BYTES = 48 << 20, 4 << 20, 3 << 20
+BUCKET_BYTES, BLOCK_BYTES, INDEX_BYTES = 48 << 20, 4 << 20, 1 << 20
 HOT = 20_000
 _FLUSH = 400_000  # cells that a task holds before it sends them
 _LAST = np.iinfo(np.int64).max
 
-_CELL = np.dtype([("anchor", "u8"), ("cell", "u8"), ("doc", "u4"), ("at", "u4"), ("low", "u1"), ("high", "u1")])
+_CELL = np.dtype([("anchor", "u8"), ("cell", "u8"), ("doc", "u4"), ("at", "u4"), ("low", "u1"), ("high", "u1"), ("marks", "u2", (PARTS,))])
 _DOC = np.dtype([("id", "i8"), ("text", "i8"), ("block", "i4")])
 _RANGE = np.dtype([("id", "i8"), ("text", "i8"), ("start", "u4"), ("end", "u4")])
 
@@ -60,12 +62,12 @@ def _sliding_min(v: np.ndarray, width: int) -> np.ndarray:
 
 def cells(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM):
     """Cells of the texts of a chunk: (text, anchor hash, cell hash, anchor position, first
-    byte, end), positions within the text."""
+    byte, end, marks of the parts' cores), positions within the text."""
     sizes = np.diff(offsets)
     starts_per_text = np.maximum(sizes - window + 1, 0)
     if not starts_per_text.any():
         none = np.zeros(0, np.int64)
-        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
+        return none, none.view(np.uint64), none.view(np.uint64), none, none, none, np.zeros((0, PARTS), np.uint16)
     ranges = kernel.RangeHash(data)
     at = len(data) - gram + 1
     grams = kernel.mix((ranges.sums[gram:] - ranges.sums[:-gram]) * kernel.powers(kernel._BASE_INVERSE, at))
@@ -80,8 +82,14 @@ def cells(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int
     last = np.append(first[1:], len(start)) - 1
     text, a, low, high = text[first], a[first], start[first], start[last] + window
     cell = kernel.mix(ranges.of(low, high) ^ (a - low).astype(np.uint64))
+    marks = np.zeros((len(a), PARTS), np.uint16)
+    edge = [(gram - window) * (PARTS - j) // PARTS for j in range(PARTS + 1)]  # of starts, from the anchor
+    for j in range(PARTS):
+        own = np.flatnonzero(np.maximum(low - a, edge[j]) <= np.minimum(high - window - a, edge[j + 1]))
+        core = ranges.of(a[own] + edge[j + 1], a[own] + edge[j] + window)
+        marks[own, j] = core % np.uint64(65535) + np.uint64(1)
     base = offsets[:-1][text]
-    return text, grams[a], cell, a - base, low - base, high - base
+    return text, grams[a], cell, a - base, low - base, high - base, marks
 
 
 def _text_cells(column: pa.Array):
@@ -93,8 +101,8 @@ def _text_cells(column: pa.Array):
         else:
             for s in range(0, len(data), SLAB):
                 piece = data[s : s + SLAB + WINDOW - 1]
-                text, anchor, cell, at, low, high = cells(piece, np.array([0, len(piece)]))
-                yield lo + text, anchor, cell, at + s, low + s, high + s
+                text, anchor, cell, at, low, high, marks = cells(piece, np.array([0, len(piece)]))
+                yield lo + text, anchor, cell, at + s, low + s, high + s, marks
 
 
 def _earliest(group: list[np.ndarray], order: list[np.ndarray]):
@@ -147,10 +155,10 @@ def _send(docs: DataFrame, buckets: int) -> DataFrame:
             table["id"] = np.asarray(batch.column(0).fill_null(_LAST))
             table["text"], table["block"] = np.asarray(batch.column(2)), np.asarray(batch.column(3))
             tables.append(table)
-            for row, anchor, cell, at, low, high in _text_cells(batch.column(1)):
+            for row, anchor, cell, at, low, high, marks in _text_cells(batch.column(1)):
                 some = np.zeros(len(row), _CELL)
                 some["anchor"], some["cell"], some["doc"], some["at"] = anchor, cell, row + known, at
-                some["low"], some["high"] = at - low, high - at
+                some["low"], some["high"], some["marks"] = at - low, high - at, marks
                 held.append(some)
                 amount += len(row)
                 if amount > _FLUSH:
@@ -176,12 +184,13 @@ def _columns(cell: np.ndarray) -> bytes:
 
 
 def _cells_of(blob: bytes) -> np.ndarray:
-    n, out, at = len(blob) // 22, None, 0
+    n, at = len(blob) // (_CELL.itemsize - 4), 0
     out = np.zeros(n, _CELL)
-    for name, kind in [("anchor", "u4"), ("cell", "u8"), ("doc", "u4"), ("at", "u4"), ("low", "u1"), ("high", "u1")]:
-        size = np.dtype(kind).itemsize * n
-        out[name] = np.frombuffer(blob[at : at + size], kind)
-        at += size
+    for name in _CELL.names:
+        kind, shape = ("u4", ()) if name == "anchor" else (_CELL[name].base, _CELL[name].shape)
+        values = np.frombuffer(blob, kind, n * int(np.prod(shape, dtype=int)), at)
+        out[name] = values.reshape(n, *shape)
+        at += values.nbytes
     return out
 
 
@@ -213,13 +222,22 @@ def _settle(sent: DataFrame, hot: int) -> DataFrame:
             by, first, new = _earliest([cell["anchor"], cell["cell"]], [doc["id"][cell["doc"]], cell["at"]])
             cell = cell[by]
             late = cell[~first]
-            kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(np.append(True, cell["anchor"][1:] != cell["anchor"][:-1])))
-            of_anchor = np.cumsum(np.append(True, cell["anchor"][1:] != cell["anchor"][:-1])) - 1
-            some = cell[first & (kinds[of_anchor] > 1)]
+            starts = np.append(True, cell["anchor"][1:] != cell["anchor"][:-1])
+            of_anchor = np.cumsum(starts) - 1
+            kinds = np.bincount(of_anchor[new])
+            # a kind stays open if another kind of its anchor has an equal core
+            open_ = np.zeros(len(cell), bool)
+            for j in range(PARTS):
+                core = of_anchor * 65536 + cell["marks"][:, j]
+                keys, n = np.unique(core[new], return_counts=True)
+                open_ |= (cell["marks"][:, j] > 0) & (n[np.searchsorted(keys, core)] > 1)
+            some, many = cell[first & open_], (kinds[of_anchor] > hot)[first & open_]
             wanted = np.zeros(len(some), _WANTED)
-            wanted[list(_RANGE.names)] = _ranges(doc, some)
+            ranges = _ranges(doc, some)
+            for name in _RANGE.names:
+                wanted[name] = ranges[name]
             wanted["anchor"] = some["anchor"] * np.uint64(1 << 16) + np.uint64(key[0].as_py() % (1 << 16))
-            wanted["hot"] = (kinds[of_anchor] > hot)[first & (kinds[of_anchor] > 1)]
+            wanted["hot"] = many
             gone = dict(_by_block(doc["block"][late["doc"]], _ranges(doc, late)))
             want = dict(_by_block(doc["block"][some["doc"]], wanted))
             for block in sorted(gone.keys() | want.keys()):
