@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import kernel
 from sparkloom.llm.components import components
+from sparkloom.llm.tables import split_by_slot
 from sparkloom.session import materialize
 
 _LOCAL_REPEATS = 3  # a task reports shingles that it saw so often among _FLUSH
@@ -315,10 +316,8 @@ def _verify(docs: DataFrame, pairs: DataFrame, shared, cfg: Settings, buckets: i
         F.col("a").alias("doc_id"), "a", "ah", "share", F.col("ah").alias("h"), F.lit(True).alias("hub"))
     partner = dealt.select(F.col("b").alias("doc_id"), "a", "ah", "share", F.col("bh").alias("h"), F.lit(False).alias("hub"))
     wanted = materialize(hub.unionAll(partner).groupBy("doc_id").agg(F.collect_list(target).alias("targets")))
-    # most texts are in no pair: those whose id falls into an empty slot stay out of the join.
-    # The slots are a table of fixed size; when all are full, nothing is saved or lost.
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(cfg.slots)).alias("slot")
-    near = docs.select("doc_id", "text", slot).join(F.broadcast(wanted.select(slot).distinct()), "slot", "left_semi")
+    # most texts are in no pair and stay out of the join
+    near, _ = split_by_slot(docs.select("doc_id", "text"), F.xxhash64("doc_id"), wanted, F.xxhash64("doc_id"), cfg.slots)
     rows = near.join(wanted, "doc_id").select("doc_id", "text", "targets")
 
     def cut(batches):
@@ -454,5 +453,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg: Settings = Settings()) -> DataFrame:
     """``docs`` without the documents that have a smaller id in their component."""
     marked = materialize(classes(docs, id_col, text_col, cfg))
-    drop = marked.filter("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(drop, id_col, "left_anti").select(*docs.columns)
+    drop = materialize(marked.filter("component_id <> doc_id").select("doc_id").distinct())
+    near, far = split_by_slot(docs, F.xxhash64(F.col(id_col).cast("long")), drop, F.xxhash64("doc_id"), cfg.slots)
+    drop = drop.withColumnRenamed("doc_id", "__drop")
+    near = near.join(drop, near[id_col].cast("long") == drop["__drop"], "left_anti")
+    return near.select(*docs.columns).unionAll(far.select(*docs.columns))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sparkloom.llm.tables import split_by_slot
 from sparkloom.session import materialize
 
 # fixed values: the base patterns and least lengths; kinds in their order
@@ -191,7 +192,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     found = scan(docs, id_col, text_col).filter(F.size("spans") > 0).dropDuplicates(["doc_id", "text_key"])
     found = materialize(found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans")))
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    both = docs.join(found, docs[id_col].eqNullSafe(found["__d"]) & (key == found["__t"]), "left")
+    near, far = split_by_slot(docs, key, found, F.col("__t"))
+    both = near.join(found, near[id_col].eqNullSafe(found["__d"]) & (key == found["__t"]), "left")
 
     def step(state, s):
         between = F.substring(F.col(text_col), state["at"] + 1, s["start"] - state["at"])
@@ -202,4 +204,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     rest = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda s: F.concat(s["out"], F.substring(F.col(text_col), s["at"] + 1, F.length(text_col))))
     clean = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(rest)
-    return both.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    both = both.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return both.unionAll(far.select(*docs.columns))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -16,3 +17,18 @@ def extended(schema: StructType, **fields: str) -> StructType:
     for name, kind in fields.items():
         out = out.add(name, kind)
     return out
+
+
+def split_by_slot(rows: DataFrame, key: Column, hits: DataFrame, hit_key: Column, slots: int = 1 << 20):
+    """(rows whose key may be among the keys of ``hits``, all other rows).
+
+    Keys are hashed into a table of ``slots`` slots, whose size does not depend on the data;
+    a row whose slot no hit falls into needs no join, so its text is not shuffled. When all
+    slots are full nothing is saved, and nothing is lost.
+    """
+    taken = F.broadcast(hits.select(F.pmod(hit_key, F.lit(slots)).alias("__slot")).distinct())
+    marked = rows.withColumn("__slot", F.coalesce(F.pmod(key, F.lit(slots)), F.lit(-1)))
+    return (
+        marked.join(taken, "__slot", "left_semi").drop("__slot"),
+        marked.join(taken, "__slot", "left_anti").drop("__slot"),
+    )
