@@ -170,15 +170,18 @@ def _copies(rows: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", **options) -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_target``, ``mix_copies`` and ``mix_taken``."""
     units = materialize(settle(docs, id_col, text_col, source_col, **options))
-    key = ["__id", "__source", "__size"]
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    left = docs.select("*", F.col(id_col).alias("__id"), F.col(source_col).cast("string").alias("__source"), size.alias("__size"))
+
+    def key(*columns):  # NULL fields of two structs are equal; one exchange serves join and window
+        return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
+
+    left = docs.withColumn("__size", size)
+    left = left.withColumn("__key", key(F.col(id_col), F.col(source_col).cast("string"), F.col("__size")))
     right = units.select(
-        F.col("doc_id").alias("__i"), F.col("source").alias("__s"), F.col("size").alias("__n"), "m", "whole", "extra",
-        F.col("target").alias("mix_target"))
-    right = right.select(*[F.col(c).alias(f"__{c.strip('_')}_u") for c in right.columns])
-    both = left.join(right, left["__id"].eqNullSafe(right["__i_u"]) & left["__source"].eqNullSafe(right["__s_u"]) & (left["__size"] == right["__n_u"]))
-    number = F.when(F.col("__m_u") > 1, F.row_number().over(W.partitionBy(*key).orderBy(F.lit(0)))).otherwise(F.lit(1))
+        key(F.col("doc_id"), F.col("source"), F.col("size")).alias("__key"), F.col("m").alias("__m_u"),
+        F.col("whole").alias("__whole_u"), F.col("extra").alias("__extra_u"), F.col("target").alias("__mix_target_u"))
+    both = left.join(right, "__key")
+    number = F.when(F.col("__m_u") > 1, F.row_number().over(W.partitionBy("__key").orderBy(F.lit(0)))).otherwise(F.lit(1))
     share = F.floor(F.col("__extra_u") / F.col("__m_u")) + F.when(number <= F.col("__extra_u") % F.col("__m_u"), 1).otherwise(0)
     copies = (F.col("__whole_u") + share).cast("long")
     out = both.withColumn("mix_copies", copies)
