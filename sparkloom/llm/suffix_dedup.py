@@ -42,7 +42,7 @@ from sparkloom.session import materialize
 
 WINDOW, GRAM, PARTS = 100, 24, 4
 SLAB = 4 << 20
-BUCKET_BYTES, BLOCK_BYTES, INDEX_BYTES = 48 << 20, 4 << 20, 1 << 20
+BUCKET_BYTES, BLOCK_BYTES, INDEX_BYTES = 24 << 20, 4 << 20, 1 << 20
 HOT = 20_000
 _FLUSH = 400_000  # cells that a task holds before it sends them
 _LAST = np.iinfo(np.int64).max
