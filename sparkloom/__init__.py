@@ -9,7 +9,6 @@ functions  Column builders: tokenisers, document-line parsing, trip cleaning pre
 operators  the analytic operators: reports, vocabulary / TF-IDF, kNN, linear models,
            classifiers, the Gibbs topic model and evaluation
 plans      the query registry run against the driver tables, with its DuckDB oracle SQL
-streaming  (nothing: the surveyed jobs are batch only)
 """
 
 from sparkloom.session import checkpoint_dir, get_spark

@@ -43,7 +43,8 @@ def parse_trip_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         if name in STRING_FIELDS:
             cols.append(field.alias(name))
         else:
-            cols.append(field.try_cast("double").alias(name))
+            number = field.try_cast("double")
+            cols.append(F.when(~F.isnan(number), number).alias(name))  # NaN is not a number either
     return lines.select(*cols)
 
 

@@ -56,9 +56,9 @@ def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def row_terms(cfg: GDConfig, w: list[float], xs: list[Column], y: Column) -> tuple[Column, list[Column]]:
-    """(loss term, gradient terms) of one row for the current weights."""
-    z = dot_columns(w, xs)
+def row_terms(cfg: GDConfig, w: list[float], xs: list[Column], y: Column, z: Column | None = None) -> tuple[Column, list[Column]]:
+    """(loss term, gradient terms) of one row for the current weights; ``z`` is their score."""
+    z = dot_columns(w, xs) if z is None else z
     if cfg.loss == "logistic":
         s = sigmoid(z) - y
         return softplus(z) - y * z, [x * s for x in xs]
@@ -67,11 +67,10 @@ def row_terms(cfg: GDConfig, w: list[float], xs: list[Column], y: Column) -> tup
     if cfg.loss == "hinge":
         return F.greatest(F.lit(0.0), margin), [F.when(active, -y * x).otherwise(F.lit(0.0)) for x in xs]
     if cfg.loss == "weighted_hinge":
-        nr, pr = (F.lit(float(v)) for v in cfg.class_weights)
-        one = F.lit(1.0)
-        loss = F.greatest(F.lit(0.0), nr * ((one + y) / 2) * margin + pr * ((one - y) / 2) * margin)
-        grads = [F.when(active, (x / 2) * (pr * (one - y) - nr * (one + y))).otherwise(F.lit(0.0)) for x in xs]
-        return loss, grads
+        positive, negative = (F.lit(float(v)) for v in cfg.class_weights)
+        weight = F.when(y > 0, positive).otherwise(negative)
+        step = F.when(active, -weight * y).otherwise(F.lit(0.0))
+        return weight * F.greatest(F.lit(0.0), margin), [step * x for x in xs]
     raise ValueError(cfg.loss)
 
 
@@ -93,8 +92,8 @@ class Columns:
 
     def sums(self, cfg: GDConfig, w: list[float]) -> tuple[float, list[float]]:
         xs = [F.col(f"x{i}") for i in range(self.d)]
-        loss, grads = row_terms(cfg, w, xs, F.col("y"))
-        row = self.data.agg(F.sum(loss).alias("loss"), *[F.sum(g).alias(f"g{i}") for i, g in enumerate(grads)]).first()
+        loss, grads = row_terms(cfg, w, xs, F.col("y"), F.col("z"))
+        row = self.data.withColumn("z", dot_columns(w, xs)).agg(F.sum(loss).alias("loss"), *[F.sum(g).alias(f"g{i}") for i, g in enumerate(grads)]).first()
         return float(row["loss"] or 0.0), [float(row[f"g{i}"] or 0.0) for i in range(self.d)]
 
 
@@ -124,9 +123,9 @@ def _sparse_kernel(cfg: GDConfig, bw, d: int):
                     loss += float(np.sum(np.maximum(0.0, margin)))
                     coef = np.where(active, -y, 0.0)
                 else:
-                    h = nr * ((1 + y) / 2) * margin + pr * ((1 - y) / 2) * margin
-                    loss += float(np.sum(np.maximum(0.0, h)))
-                    coef = np.where(active, 0.5 * (pr * (1 - y) - nr * (1 + y)), 0.0)
+                    weight = np.where(y > 0, nr, pr)
+                    loss += float(np.dot(weight, np.maximum(0.0, margin)))
+                    coef = np.where(active, -weight * y, 0.0)
             grad += np.bincount(idx, weights=val * coef[rows], minlength=d)
         nz = np.nonzero(grad)[0]
         yield pd.DataFrame({"pos": np.concatenate([[-1], nz]).astype(np.int64),
@@ -237,31 +236,14 @@ def predict(scored_z: Column, rule: str = "ge0", positive=1, negative=0) -> Colu
 
 
 # ------------------------------------------------------------------ pyspark.ml forms
-# Rows of training data per task of an iterative fit. Every L-BFGS function evaluation is
-# one treeAggregate job over the cached training blocks, so a small training set spread
-# over many partitions pays task and tree-level overhead hundreds of times; a large one
-# keeps its partitions (the bound only ever merges partitions, never adds them).
-ROWS_PER_FIT_TASK = 50_000
-
-
-def right_sized(train: DataFrame, rows_per_task: int = ROWS_PER_FIT_TASK) -> tuple[DataFrame, DataFrame, int]:
-    """Cache ``train``, count it, and merge partitions down to ``ceil(n / rows_per_task)``.
-
-    Returns ``(sized, cached, n)``; unpersist ``cached`` once the fit is done.
-    """
+def _fit(estimator_of, train: DataFrame):
+    """Fit on the cached training rows in the partitions they come in; how many those are is
+    the caller's (or the session's) choice. ``estimator_of(n)`` gets the number of rows."""
     from pyspark import StorageLevel
 
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    want = max(1, math.ceil(n / rows_per_task))
-    sized = cached.coalesce(want) if want < cached.rdd.getNumPartitions() else cached
-    return sized, cached, n
-
-
-def _fit(estimator, train: DataFrame, rows_per_task: int = ROWS_PER_FIT_TASK):
-    sized, cached, _ = right_sized(train, rows_per_task)
     try:
-        return estimator.fit(sized)
+        return estimator_of(cached.count()).fit(cached)
     finally:
         cached.unpersist()
 
@@ -271,8 +253,8 @@ def ml_logistic(train: DataFrame, max_iter: int = 200, reg_param: float = 0.0, f
     """M13/M15 (and M14 with ``reg_param = 2 lambda / n``): no intercept, no standardisation."""
     from pyspark.ml.classification import LogisticRegression
 
-    return _fit(LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg_param,
-                                   elasticNetParam=0.0, fitIntercept=False, standardization=False), train)
+    return _fit(lambda n: LogisticRegression(featuresCol=features, labelCol=label, maxIter=max_iter, regParam=reg_param,
+                                             elasticNetParam=0.0, fitIntercept=False, standardization=False), train)
 
 
 def ml_svm(train: DataFrame, reg_param: float | None = None, max_iter: int = 300, weight_col: str | None = None,
@@ -281,14 +263,14 @@ def ml_svm(train: DataFrame, reg_param: float | None = None, max_iter: int = 300
     and M17 (``weight_col`` with NR / PR weights)."""
     from pyspark.ml.classification import LinearSVC
 
-    sized, cached, n = right_sized(train)
-    try:
-        reg = reg_param if lam is None else 1.0 / (n * lam)
-        kw = {"weightCol": weight_col} if weight_col else {}
+    kw = {"weightCol": weight_col} if weight_col else {}
+
+    def estimator(n: int):
+        reg = reg_param if lam is None else 1.0 / (max(n, 1) * lam)
         return LinearSVC(featuresCol=features, labelCol=label, regParam=reg, maxIter=max_iter,
-                         fitIntercept=False, standardization=False, **kw).fit(sized)
-    finally:
-        cached.unpersist()
+                         fitIntercept=False, standardization=False, **kw)
+
+    return _fit(estimator, train)
 
 
 # ------------------------------------------------------------------ text features for pyspark.ml

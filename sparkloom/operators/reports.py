@@ -30,7 +30,8 @@ def ratio_of_sums(
     digits: int = RATIO_DIGITS,
 ) -> DataFrame:
     """``sum(numerator) / (sum(denominator) / denominator_scale)`` per key, rounded."""
-    ratio = F.sum(numerator) / (F.sum(denominator) / F.lit(float(denominator_scale)))
+    # a key whose denominators sum to zero has no ratio: NULL, which ranks last
+    ratio = F.try_divide(F.sum(numerator), F.sum(denominator) / F.lit(float(denominator_scale)))
     return df.groupBy(key).agg(F.round(ratio, digits).alias(name))
 
 

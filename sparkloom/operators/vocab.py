@@ -6,7 +6,7 @@ Everything stays in *long* form — ``(doc_id, pos, value)`` rows — instead of
 Shuffle budget of a TF-IDF build:
   1. ``groupBy(word)`` for corpus counts; map-side partial aggregation absorbs hot words.
   2. top-k: TakeOrderedAndProject keeps k rows per partition; the vocabulary is bounded by
-     ``k`` and is broadcast (checked against ``MAX_BROADCAST_VOCAB``).
+     ``k``; Spark broadcasts it when its measured bytes allow.
   3. ``groupBy(doc_id, pos)``: all tokens of a document come from one input row, so the
      partial aggregate is already complete before the exchange; only (doc, pos, cnt)
      cells cross the network.
@@ -21,15 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest vocabulary we broadcast; a larger one is joined by shuffle instead.
-MAX_BROADCAST_VOCAB = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, row_bound: int, limit: int = MAX_BROADCAST_VOCAB) -> DataFrame:
-    """Broadcast ``df`` only when its proven row bound is within ``limit``."""
-    return F.broadcast(df) if row_bound <= limit else df
-
-
 def explode_tokens(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, word)``, one row per token occurrence."""
     return docs.select(F.col(id_col), F.explode(tokens).alias("word"))
@@ -93,7 +84,7 @@ class Vocabulary:
         return Vocabulary(materialize(self.table), self.k)
 
     def lookup_table(self) -> DataFrame:
-        return bounded_broadcast(self.table.select("word", "pos"), self.k)
+        return self.table.select("word", "pos")
 
     def doc_terms(self, docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
         """``(id_col, pos, cnt)``: in-vocabulary term counts per document."""
@@ -142,7 +133,7 @@ def n_docs_of(docs: DataFrame) -> Column:
 def tfidf(tf: DataFrame, idf_table: DataFrame, k: int, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, pos, tf, idf, tfidf)``; the idf side has at most ``k`` rows."""
     return (
-        tf.join(bounded_broadcast(idf_table.select("pos", "idf"), k), "pos")
+        tf.join(idf_table.select("pos", "idf"), "pos")
         .select(id_col, "pos", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
     )
 

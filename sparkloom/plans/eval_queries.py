@@ -10,8 +10,8 @@ from sparkloom.plans.registry import register
 from sparkloom.sources.files import parse_assignments
 from sparkloom.sources.tables import documents_as_assignments, table
 
-# Fixed values of the stand-in linear scorer over the first four embedding dimensions.
-SCORER_WEIGHTS = [1.0, -1.0, 1.0, -1.0]
+# Fixed values of the stand-in linear scorer over all 64 embedding dimensions.
+SCORER_WEIGHTS = [1.0, -1.0] * 32
 
 
 def scored_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,7 +84,7 @@ def linreg_gd_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- classifiers on embeddings
 from sparkloom.operators import classify  # noqa: E402
 
-N_EMB_FEATURES = 4
+N_EMB_FEATURES = 64  # all embedding values
 GD_ITERATIONS = 5
 W0 = [0.1] * N_EMB_FEATURES
 
@@ -204,7 +204,7 @@ def logreg_text_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = model.vocab.table.count()
     rng = np.random.default_rng(42)
     w0 = rng.normal(0.0, 0.1, d).tolist()
-    cfg = classify.GDConfig(loss="logistic", lr=0.1, iterations=20, reg=1e-5, tol=1e-3, grow_on_equal=True)
+    cfg = classify.GDConfig(loss="logistic", lr=0.1, iterations=2000, reg=1e-5, tol=1e-3, grow_on_equal=True)
     trace = classify.fit_gd(classify.Sparse(arrays, d, F.col("label")), w0, cfg)
     rows = [(int(t[0]), float(t[1]), float(np.linalg.norm(t[2:-1])), float(t[-1])) for t in trace]
     return spark.createDataFrame(rows, "iteration long, cost double, w_norm double, learning_rate double")

@@ -374,7 +374,7 @@ def _sdot(a: list[str], b: list[str]) -> str:
 
 
 def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: float, grow_on_equal: bool,
-                      d: int = 4, w0: float = 0.1) -> str:
+                      d: int = 64, w0: float = 0.1) -> str:
     signed = loss != "logistic"
     y = "CASE WHEN label >= 5 THEN 1 ELSE {neg} END".format(neg=-1 if signed else 0)
     xs = [f"x{i}" for i in range(d)]
@@ -384,6 +384,7 @@ def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: fl
     z = f"({xs[0]} * {ws[0]})"
     for i in range(1, d):
         z = f"({z} + ({xs[i]} * {ws[i]}))"
+    score, z = z, "z"  # computed once per row, below the sums
     if loss == "logistic":
         row_loss = f"((greatest({z}, {zero}) + ln({one} + exp(-abs({z})))) - (y * {z}))"
         grads = [f"({x} * (({one} / ({one} + exp(-{z}))) - y))" for x in xs]
@@ -393,10 +394,9 @@ def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: fl
             row_loss = f"greatest({zero}, {margin})"
             grads = [f"CASE WHEN {margin} >= {zero} THEN ((-y) * {x}) ELSE {zero} END" for x in xs]
         else:
-            h = (f"(((nr * (({one} + y) / 2)) * {margin}) + ((pr * (({one} - y) / 2)) * {margin}))")
-            row_loss = f"greatest({zero}, {h})"
-            grads = [f"CASE WHEN {margin} >= {zero} THEN (({x} / 2) * ((pr * ({one} - y)) - (nr * ({one} + y)))) "
-                     f"ELSE {zero} END" for x in xs]
+            weight = "(CASE WHEN y > 0 THEN nr ELSE pr END)"
+            row_loss = f"({weight} * greatest({zero}, {margin}))"
+            grads = [f"CASE WHEN {margin} >= {zero} THEN (((-{weight}) * y) * {x}) ELSE {zero} END" for x in xs]
     ww = _sdot(ws, ws)
     if loss == "logistic":
         cost = f"(loss + ({dbl(reg)} * {ww}))"
@@ -418,7 +418,8 @@ def gd_classifier_sql(loss: str, lr: float, iterations: int, reg: float, tol: fl
         prev = f"p{k - 1}"
         ctes.append(f"s{k} AS (SELECT sum({row_loss}) AS loss, "
                     + ", ".join(f"sum({g}) AS g{i}" for i, g in enumerate(grads))
-                    + f" FROM data CROSS JOIN cnt CROSS JOIN (SELECT {', '.join(ws)} FROM {prev}) wt)")
+                    + f" FROM (SELECT *, {score} AS z FROM data CROSS JOIN cnt "
+                    f"CROSS JOIN (SELECT {', '.join(ws)} FROM {prev}) wt))")
         if loss == "logistic":
             old_norm = f"sqrt({_sdot(['p.' + w for w in ws], ['p.' + w for w in ws])})"
             new_norm = f"sqrt({_sdot([f'n{i}' for i in range(d)], [f'n{i}' for i in range(d)])})"
@@ -457,8 +458,8 @@ ORACLE_SQL["svm_weighted_gd_fixed_iters"] = gd_classifier_sql("weighted_hinge",
 _SCORED = f"""
 scored AS (
   SELECT vec_id, CASE WHEN label >= 5 THEN 1 ELSE 0 END AS label,
-         CASE WHEN {_sdot([f'CAST(embedding[{i + 1}] AS DOUBLE)' for i in range(4)],
-                          [dbl(w) for w in (1.0, -1.0, 1.0, -1.0)])} >= 0 THEN 1 ELSE 0 END AS prediction
+         CASE WHEN {_sdot([f'CAST(embedding[{i + 1}] AS DOUBLE)' for i in range(64)],
+                          [dbl(w) for w in (1.0, -1.0) * 32])} >= 0 THEN 1 ELSE 0 END AS prediction
   FROM embeddings)
 """
 
@@ -534,8 +535,8 @@ dt AS (SELECT doc_id, regexp_replace(lower(raw), {lit('^' + PUNCT + '+|' + PUNCT
        FROM dt_raw WHERE regexp_matches(raw, {lit(WORD_PATTERN)})),
 dcnt AS (SELECT d.doc_id, v.pos, count(*) AS cnt FROM dt d JOIN tvocab v ON d.word = v.word
          WHERE length(d.word) > 2 GROUP BY d.doc_id, v.pos),
-dc AS (SELECT doc_id, CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS cluster FROM documents),
-kall AS (SELECT CAST(range AS INTEGER) AS cluster FROM range((SELECT max(cluster) + 1 FROM dc))),
+dc AS (SELECT doc_id, TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS cluster FROM documents),
+kall AS (SELECT CAST(range AS INTEGER) AS cluster FROM range(20)),
 ct AS (SELECT dc.cluster, dcnt.pos, sum(dcnt.cnt) AS cnt FROM dcnt JOIN dc ON dc.doc_id = dcnt.doc_id
        GROUP BY dc.cluster, dcnt.pos),
 gc AS (SELECT k.cluster, v.pos, CAST(coalesce(ct.cnt, 0) AS BIGINT) AS cnt
@@ -556,7 +557,7 @@ SELECT t.cluster AS topic, t.rank, v.word, round(t.prob, 9) AS prob FROM top t J
 """
 
 ORACLE_SQL["topic_assign_step"] = f"""
-WITH {topic_base(500)},
+WITH {topic_base(20000)},
 ks AS (SELECT cluster, count(*) AS n FROM dc GROUP BY cluster),
 logpi AS (SELECT k.cluster,
                  ln((CAST(coalesce(ks.n, 0) AS DOUBLE) + {dbl(0.1)})

@@ -15,15 +15,16 @@ from sparkloom.sources.tables import table
 
 SEED = 42
 ALPHA = BETA = 0.1
-STEP_VOCAB = 500
+STEP_VOCAB = 20000
 TOPIC_VOCAB = 20000
 GIBBS_K = 20
-GIBBS_ITERATIONS = 10
+N_CLUSTERS = 20  # clusters of the fixed reports: the number of the document sources
+GIBBS_ITERATIONS = 200
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", "text", F.regexp_extract("source", "([0-9]+)", 1).cast("int").alias("cluster"))
+    return docs.select("doc_id", "text", F.regexp_extract("source", "([0-9]+)", 1).try_cast("int").alias("cluster"))
 
 
 def _vocab(docs: DataFrame, k: int) -> V.Vocabulary:
@@ -37,23 +38,20 @@ def _cluster_cells(docs: DataFrame, vocab: V.Vocabulary) -> DataFrame:
     )
 
 
-def _n_clusters(docs: DataFrame) -> int:
-    return int(docs.agg(F.max("cluster")).first()[0]) + 1
-
-
 @register("topic_assign_step")
 def topic_assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One assignment sweep with mu = smoothed per-source term frequencies."""
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, STEP_VOCAB)
     v = vocab.table.count()
-    k = _n_clusters(docs)
+    k = N_CLUSTERS
     # the corpus is tokenised once: per-document arrays (with their cluster) feed both the
     # cluster term counts and the assignment pass
     arrays = materialize(topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab, keep=("cluster",)))
-    log_mu = topics.smoothed_log_mu(topics.cluster_cells_of_arrays(arrays), k, v, BETA)
+    known = arrays.filter(F.col("cluster") < k)  # others are assigned, but are in no cluster yet
+    log_mu = topics.smoothed_log_mu(topics.cluster_cells_of_arrays(known), k, v, BETA)
     sizes = np.zeros(k)
-    for r in arrays.groupBy("cluster").count().collect():  # at most K rows
+    for r in known.groupBy("cluster").count().collect():  # at most K rows
         sizes[int(r["cluster"])] = r["count"]
     log_pi = np.log((sizes + ALPHA) / (sizes.sum() + k * ALPHA))
     out = topics.assign_step(arrays, log_mu, log_pi, SEED, 0)
@@ -64,7 +62,7 @@ def _grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabulary]:
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, TOPIC_VOCAB)
     v = vocab.table.count()
-    clusters = spark.range(_n_clusters(docs)).select(F.col("id").cast("int").alias("cluster"))
+    clusters = spark.range(N_CLUSTERS).select(F.col("id").cast("int").alias("cluster"))
     return topics.full_grid_counts(_cluster_cells(docs, vocab), clusters, v), vocab
 
 
@@ -84,8 +82,9 @@ def topic_words_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _gibbs(spark: SparkSession, sf_dir: str):
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, TOPIC_VOCAB)
-    arrays = topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
-    model = topics.fit_gibbs(arrays, vocab, GIBBS_K, ALPHA, BETA, GIBBS_ITERATIONS, SEED)
+    # tokenised once: the fit and the final assignment read the same written arrays
+    arrays = materialize(topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab))
+    model = topics.fit_gibbs(arrays, vocab, GIBBS_K, ALPHA, BETA, GIBBS_ITERATIONS, SEED, checkpoint=False)
     return model, arrays
 
 

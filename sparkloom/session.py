@@ -57,7 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    scratch = tempfile.mkdtemp(prefix="sparkloom-ckpt-")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    scratch = tempfile.mkdtemp(prefix="sparkloom-ckpt-")  # one machine: tests, a laptop
     spark.sparkContext.setCheckpointDir(scratch)
     spark.conf.set("spark.checkpoint.dir", scratch)
     return scratch

@@ -89,3 +89,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def write_sorted_assignments(assignments: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """``(cluster, doc_id)`` rows in order of cluster, then document.
+
+    A range-partitioned sort: part files follow each other in order, and a large cluster
+    spreads over several of them."""
+    assignments.orderBy("cluster", "doc_id").write.mode(mode).parquet(path)

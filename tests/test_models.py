@@ -170,14 +170,3 @@ def test_class_ratios_and_decision_rules(spark):
     assert (nr, pr) == (0.75, 0.25)
     out = df.select(C.predict(F.col("z"), "ge0").alias("ge"), C.predict(F.col("z"), "gt0", 1, -1).alias("gt"))
     assert [(r["ge"], r["gt"]) for r in out.collect()] == [(1, -1), (1, 1), (0, -1), (1, 1)]
-
-
-def test_right_sized_only_merges_partitions(spark):
-    df = spark.range(0, 1000, 1, 8)
-    sized, cached, n = C.right_sized(df, rows_per_task=300)
-    assert n == 1000 and sized.rdd.getNumPartitions() == 4  # ceil(1000 / 300)
-    assert sized.count() == 1000
-    cached.unpersist()
-    big, cached2, _ = C.right_sized(spark.range(0, 1000, 1, 2), rows_per_task=10)
-    assert big.rdd.getNumPartitions() == 2  # never more partitions than the input has
-    cached2.unpersist()

@@ -7,7 +7,6 @@ from __future__ import annotations
 import glob
 import os
 import re
-import string
 
 from conftest import fixture_path
 from pyspark.sql import functions as F
@@ -21,63 +20,43 @@ def _lines(name):
         return fh.read().splitlines()
 
 
-def _py_letters(t):
-    return re.sub("[^a-zA-Z]", " ", t).lower().split()
-
-
-def _py_stripped(t):
-    return [w for w in (x.lower().strip(T.EDGE_CHARS) for x in t.split()) if len(w) > 1]
-
-
-def _py_topic(t):
-    out = []
-    for raw in t.split(" "):
-        if re.search(r"[A-Za-z]\w+", raw):
-            w = raw.lower().strip(string.punctuation)
-            if len(w) > 2:
-                out.append(w)
-    return out
-
-
-def test_wiki_line_parsing_matches_python(spark):
-    lines = _lines("pages.txt")
+def test_wiki_line_parsing(spark):
     parsed = files.read_wiki_pages(spark, fixture_path("pages.txt")).collect()
-    expected = []
-    for v in lines:
-        if "id" in v and "url=" in v:
-            doc_id = v[v.index('id="') + 4: v.index('" url=')]
-            body = v[v.index('">') + 2:][:-6]
-            expected.append((doc_id, body))
-    assert sorted((r["doc_id"], r["text"]) for r in parsed) == sorted(expected)
-    assert ("103", "") in expected and len(expected) == len(lines) - 1
+    got = {r["doc_id"]: r["text"] for r in parsed}
+    assert len(parsed) == 7
+    assert got["101"] == "Hello World, hello SPARK spark spark!"
+    assert got["102"] == "Caf\u00e9 cr\u00e8me: na\u00efve r\u00e9sum\u00e9 42 times"
+    assert got["103"] == ""
+    assert got["104"] == "12345 !!! ???"
+    assert got["105"] == 'a "quoted">inside body'
+    assert got["106"] == "no closing ta"  # the last six characters go, whatever they are
+    assert got["AU107"] == "Repeated repeated REPEATED words words"
 
 
 def test_header_and_body_variants(spark):
-    lines = _lines("newsgroups.txt")
-    df = spark.createDataFrame([(v,) for v in lines], "value string").select(
+    rows = [('<doc id="7" url="">x <b>y</b></doc>', '<doc id="7" url="">', ">x <b>y</b>", "x y"),
+            ("no header", "", "", "no header")]
+    df = spark.createDataFrame([(r[0],) for r in rows], "value string").select(
         "value", T.header_of_line("value").alias("h"), T.body_from_first_gt("value").alias("b"),
         T.strip_tags("value").alias("s"))
-    for r in df.collect():
-        v = r["value"]
-        m = re.search("(<[^>]+>)", v)
-        assert r["h"] == (m.group(1) if m else "")
-        assert r["b"] == v[v.find(">"): v.find("</doc>")]
-        assert r["s"] == re.sub("<[^>]+>", "", v)
-
-
-def test_tokenisers_match_python(spark):
-    texts = [t for t in _lines("pages.txt") + _lines("newsgroups.txt")] + [
-        "  double  spaces\tand\ttabs ", "(word), [x] -- ok. it's e-mail a@b.com", "", "Ünïcödé ÀB ab",
-    ]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select(
-        "i", T.tokens_letters("t").alias("letters"), T.tokens_stripped("t").alias("stripped"),
-        T.topic_tokens("t").alias("topic"), T.tokens_single_space("t").alias("raw"))
-    for r in df.collect():
-        t = texts[r["i"]]
-        assert r["letters"] == _py_letters(t), t
-        assert r["stripped"] == _py_stripped(t), t
-        assert r["topic"] == _py_topic(t), t
-        assert r["raw"] == t.split(" "), t
+    for got, (value, head, body, bare) in zip(df.collect(), rows):
+        assert (got["value"], got["h"], got["s"]) == (value, head, bare)
+        if head:
+            assert got["b"] == body
+
+
+def test_tokenisers(spark):
+    text = "(Word), [x] -- ok. It's e-mail  a@b.com"
+    r = spark.createDataFrame([(text,)], "t string").select(
+        T.tokens_letters("t").alias("letters"), T.tokens_stripped("t").alias("stripped"),
+        T.topic_tokens("t").alias("topic"), T.tokens_single_space("t").alias("raw")).first()
+    assert r["letters"] == ["word", "x", "ok", "it", "s", "e", "mail", "a", "b", "com"]
+    assert r["stripped"] == ["word", "ok", "it's", "e-mail", "a@b.com"]
+    assert r["topic"] == ["word", "it's", "e-mail", "a@b.com"]
+    assert r["raw"] == ["(Word),", "[x]", "--", "ok.", "It's", "e-mail", "", "a@b.com"]
+    empty = spark.createDataFrame([("",)], "t string").select(
+        T.tokens_letters("t").alias("a"), T.tokens_stripped("t").alias("b"), T.topic_tokens("t").alias("c")).first()
+    assert tuple(empty) == ([], [], [])
 
 
 def test_label_from_id(spark):
@@ -129,15 +108,9 @@ def test_materialize_writes_and_drops_scratch_tables(spark):
     assert not os.path.exists(root)
 
 
-def test_spread_only_when_scan_is_narrower_than_the_cluster(spark, tmp_path):
-    from sparkloom.sources.tables import spread
-
-    cores = spark.sparkContext.defaultParallelism
-    narrow = str(tmp_path / "narrow")
-    spark.range(100).coalesce(1).write.parquet(narrow)
-    df = spark.read.parquet(narrow)
-    assert df.rdd.getNumPartitions() == 1
-    spread_df = spread(df)
-    assert spread_df.rdd.getNumPartitions() == cores and spread_df.count() == 100
-    wide = spark.range(0, 100, 1, cores * 2)
-    assert spread(wide) is wide  # already wide enough: no extra exchange
+def test_sorted_assignments(spark, tmp_path):
+    df = spark.createDataFrame([(i % 3, f"d{i:02d}") for i in range(30)], "cluster int, doc_id string").repartition(4)
+    files.write_sorted_assignments(df, str(tmp_path / "sorted"))
+    parts = sorted(glob.glob(str(tmp_path / "sorted" / "part-*")))
+    rows = [tuple(r) for p in parts for r in spark.read.parquet(p).collect()]
+    assert rows == sorted(rows) and len(rows) == 30

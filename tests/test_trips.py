@@ -94,3 +94,16 @@ def test_hour_keeps_leading_zero(spark):
     df = spark.createDataFrame([("2013-01-01 09:15:00",)], "v string").select(
         hour_of_datetime_text("v").alias("a"), hour_text(F.to_timestamp("v")).alias("b"))
     assert df.first().asDict() == {"a": "09", "b": "09"}
+
+
+def test_zero_denominators_and_nan(spark):
+    from sparkloom.functions import clean
+    from sparkloom.operators import reports
+
+    rows = spark.createDataFrame([("a", 5.0, 60.0), ("a", 5.0, -60.0), ("b", 1.0, 60.0)], "k string, x double, y double")
+    got = reports.top_n(reports.ratio_of_sums(rows, "k", "x", "y", "r", 60.0), "r", "k").collect()
+    assert [(r["k"], r["r"]) for r in got] == [("b", 1.0), ("a", None)]
+    fields = ["m", "h", "p", "d", "600", "2", "0", "0", "0", "0", "CRD", "10", "1", "1", "1", "nan", "NaN"]
+    line = clean.parse_trip_lines(spark.createDataFrame([(",".join(fields),)], "value string"))
+    assert line.filter(clean.with_time_and_total(line)).count() == 0
+    assert line.filter(clean.in_clean_range(line)).count() == 0

@@ -93,15 +93,6 @@ def test_train_model_applied_to_test(spark, train):
     assert tf10 == {voc["the"][0]: 2 / 4, voc["cat"][0]: 1 / 4, voc["and"][0]: 1 / 4}
 
 
-def test_broadcast_only_with_a_bound(spark, train):
-    small = V.bounded_broadcast(train, 10, limit=100)
-    big = V.bounded_broadcast(train, 1000, limit=100)
-    joined_small = train.join(small, "doc_id")._jdf.queryExecution().executedPlan().toString()
-    joined_big = train.join(big, "doc_id")
-    assert "BroadcastHashJoin" in joined_small or "BroadcastExchange" in joined_small
-    assert joined_big.count() == len(TRAIN)
-
-
 def test_local_model_equals_lazy_model(spark, train):
     model = V.TfIdfModel.fit(train, tokens_letters("text"), 6)
     local = model.localized()
