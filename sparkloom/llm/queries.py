@@ -8,6 +8,7 @@ from sparkloom.llm import (
     decontaminate, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
     suffix_dedup, url_filter,
 )
+from sparkloom.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
 from sparkloom.llm.tables import read
 
 
@@ -110,5 +111,3 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_html_text": op10_html_text,
 }
-
-ORACLE_SQL = {}

@@ -79,3 +79,11 @@ def test_empty_tables_and_removal(spark):
     assert kept.schema == docs.schema
     assert sorted(r.doc_id for r in kept.collect()) == sorted(
         r[0] for r in brute(TEXTS, ITEMS) if not r[5])
+
+
+def test_query_equals_its_sql(spark):
+    from sparkloom.llm.oracle import ORACLE_SQL
+    from sparkloom.plans.check import compare, duckdb_connection
+
+    problems, n, _, _ = compare(spark, duckdb_connection(SF), "op1", op1_decontaminate, ORACLE_SQL["op1_decontaminate"], SF)
+    assert not problems and n == 200
