@@ -80,9 +80,10 @@ _GRAM = _U((1 << 50) - 1)
 def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", rows: int = SAMPLE_ROWS, size: int = PROFILE):
     """{language: n-gram codes in rank order} from documents that are not held out."""
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    # the rate of each language; the table is as long as there are languages
+    # one row a language, far less than the profiles that every task gets anyway, so it goes to
+    # the texts; a join by language would gather a language's texts in one task
     rates = known.groupBy(lang_col).agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).alias("__every"))
-    picked = known.select(F.col(lang_col), F.col(text_col), F.xxhash64(id_col).alias("__h")).join(rates, lang_col)
+    picked = known.select(F.col(lang_col), F.col(text_col), F.xxhash64(id_col).alias("__h")).join(F.broadcast(rates), lang_col)
     picked = picked.filter(F.pmod("__h", "__every") == 0).select(lang_col, text_col)
 
     def count(batches):
