@@ -25,10 +25,10 @@ def con():
 
 
 def test_entry_contract(spark):
-    assert set(entry_mod.queries()) == set(NAMES)
-    assert set(entry_mod.oracle_sql()) <= set(NAMES)
+    assert set(NAMES) <= set(entry_mod.queries())
+    assert set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
     df = entry_mod.entry(spark)
-    assert df.count() >= 0 and len(df.columns) > 0
+    assert df.count() > 0 and len(df.columns) > 0
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -37,7 +37,7 @@ def test_query_matches_oracle(spark, con, name):
     sql = ORACLE_SQL.get(name)
     if sql is None:
         df = fn(spark, SF)
-        assert df.count() >= 0
+        assert df.count() > 0
         return
     problems, n, _, _ = compare(spark, con, name, fn, sql, SF)
     assert not problems, problems
