@@ -10,9 +10,12 @@ global order, frequent shingles last, and the order is cut into fragments.
    Prefix shingles go to buckets by hash; a bucket pairs the documents of each shingle if
    size and position allow the overlap. A shingle with many documents pairs them with one
    hub only, the document whose shingles are the most frequent ones.
-3. Pairs are verified: the sets of both documents are cut into the fragments, each fragment
-   counts its part of every pair's overlap, and the parts are summed per pair.
-4. Links give components. Only then are the documents of a crowded shingle that are still in
+3. Each set has a parity sketch, a few bytes long: bit i tells whether an odd number of its
+   shingles hash to i. Two sketches differ in no more bits than their sets differ in shingles,
+   so pairs whose sketches differ in too many cannot be similar and go.
+4. The other pairs are verified: the sets of both documents are cut into the fragments, each
+   fragment counts its part of every pair's overlap, and the parts are summed per pair.
+5. Links give components. Only then are the documents of a crowded shingle that are still in
    different components paired with each other and verified; pairs inside a component cannot
    change it. So no link between components is lost, and no group is expanded to all pairs.
 
@@ -84,6 +87,36 @@ def _digests(bounds: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out[0], out[1]
 
 
+def parity_sketches(bounds: np.ndarray, keys: np.ndarray) -> pa.Array:
+    """Parity of the number of shingles per bin of each set. The bins are a power of two, at
+    least the set's size, so sketches of similar sets fold onto each other (see `_distance`)."""
+    n = np.diff(bounds)
+    bins = np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    ends = np.cumsum(bins)
+    owner = np.repeat(np.arange(len(n)), n)
+    at = (keys & (bins[owner] - 1).astype(np.uint64)).astype(np.int64) + (ends - bins)[owner]
+    odd = (np.bincount(at, minlength=int(ends[-1]) if len(ends) else 0) & 1).astype(np.uint8)
+    offsets = np.append(0, ends // 8).astype(np.int32)
+    return pa.BinaryArray.from_buffers(
+        pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(np.packbits(odd, bitorder="little"))])
+
+
+def _distance(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Bits in which the sketches of each pair differ, the longer one folded to the shorter."""
+    short = np.array([min(len(x), len(y)) for x, y in zip(a, b)], np.int64)
+    out = np.zeros(len(a), np.int64)
+
+    def folded(sketch, length):
+        bits = np.frombuffer(sketch, np.uint8)
+        return np.bitwise_xor.reduce(bits.reshape(-1, length), 0)
+
+    for length in np.unique(short).tolist():
+        for some in np.array_split(own := np.flatnonzero(short == length), -(-len(own) * length // kernel.CHUNK_BYTES)):
+            x, y = (np.stack([folded(side[i], length) for i in some]) for side in (a, b))
+            out[some] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
+
+
 def _chunk_sets(column, size):
     for lo, hi, data, offsets in kernel.chunks(column):
         words = kernel.Words(kernel.LOWER[data], offsets, kernel.NOT_SPACE)
@@ -91,8 +124,8 @@ def _chunk_sets(column, size):
 
 
 def _profile(docs: DataFrame, cfg: Settings) -> DataFrame:
-    """One pass: rows of kind 0 are documents (id, set size, two digests), rows of kind 1 are
-    shingles that a task saw repeatedly (hash, occurrences)."""
+    """One pass: rows of kind 0 are documents (id, set size, two digests, their mix, sketch),
+    rows of kind 1 are shingles that a task saw repeatedly (hash, occurrences)."""
 
     def run(batches):
         held, amount = [], 0
@@ -100,12 +133,14 @@ def _profile(docs: DataFrame, cfg: Settings) -> DataFrame:
         def repeated():
             key, n = np.unique(np.concatenate(held), return_counts=True)
             some = n >= _LOCAL_REPEATS
-            return _batch(1, key[some].view(np.int64), n[some], np.zeros(some.sum(), np.int64), None)
+            none = np.zeros(some.sum(), np.int64)
+            return _batch(1, key[some].view(np.int64), n[some], none, none, none, pa.nulls(len(none), pa.binary()))
 
         for batch in batches:
             for lo, hi, bounds, keys in _chunk_sets(batch.column(1), cfg.words):
                 h1, h2 = _digests(bounds, keys)
-                yield _batch(0, batch.column(0)[lo:hi], np.diff(bounds), h1.view(np.int64), h2.view(np.int64))
+                yield _batch(0, batch.column(0)[lo:hi], np.diff(bounds), h1.view(np.int64), h2.view(np.int64),
+                             (h1 ^ kernel.mix(h2)).view(np.int64), parity_sketches(bounds, keys))
                 held.append(keys)
                 amount += len(keys)
                 if amount > _FLUSH:
@@ -114,13 +149,12 @@ def _profile(docs: DataFrame, cfg: Settings) -> DataFrame:
         if held:
             yield repeated()
 
-    def _batch(kind, a, n, h1, h2):
-        m = len(a)
+    def _batch(kind, a, n, h1, h2, h, sketch):
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, kind, np.int32)), pa.array(a, pa.int64()), pa.array(np.asarray(n, np.int64)),
-             pa.array(h1), pa.array(h1 * 0 if h2 is None else h2)], names=["kind", "id", "n", "h1", "h2"])
+            [pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(np.asarray(n, np.int64)),
+             pa.array(h1), pa.array(h2), pa.array(h), sketch], names=["kind", "id", "n", "h1", "h2", "h", "sketch"])
 
-    return docs.mapInArrow(run, "kind int, id long, n long, h1 long, h2 long")
+    return docs.mapInArrow(run, "kind int, id long, n long, h1 long, h2 long, h long, sketch binary")
 
 
 class Order:
@@ -303,17 +337,39 @@ def _hub_pairs(groups: DataFrame) -> DataFrame:
     return hubs.join(best, "token").select("best.a", "best.ah", F.col("a").alias("b"), F.col("ah").alias("bh")).filter("a <> b")
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, shared, cfg: Settings, buckets: int) -> DataFrame:
+def _shares(pairs: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with the share of its hub that each falls into, and the shares of each hub."""
+    many = pairs.groupBy("a", "ah").agg(F.ceil(F.count("*") / cfg.block).alias("shares"))
+    dealt = pairs.join(many, ["a", "ah"]).withColumn("share", F.pmod(F.xxhash64("b", "bh"), F.col("shares")).cast("int"))
+    return dealt, many.select("a", "ah", F.explode(F.sequence(F.lit(0), (F.col("shares") - 1).cast("int"))).alias("share"))
+
+
+def _near(pairs: DataFrame, sketches: DataFrame, cfg: Settings) -> DataFrame:
+    """``pairs`` without those whose parity sketches differ too much for the similarity."""
+    dealt, hubs = _shares(materialize(pairs.select("a", "ah", "b", "bh").distinct()), cfg)
+    side = {x: sketches.select(F.col("id").alias(x), F.col("h").alias(f"{x}h"), F.col("n").alias(f"{x}n"),
+                               F.col("sketch").alias(f"{x}s")) for x in "ab"}
+    both = dealt.join(side["b"], ["b", "bh"]).join(hubs.join(side["a"], ["a", "ah"]), ["a", "ah", "share"])
+
+    def run(batches):
+        for batch in batches:
+            # 100 * common >= percent * all, for sets that differ in ``apart`` shingles
+            apart = _distance(batch.column("as").to_pylist(), batch.column("bs").to_pylist())
+            total = batch.column("an").to_numpy() + batch.column("bn").to_numpy()
+            yield batch.select(["a", "ah", "b", "bh"]).filter(
+                pa.array((100 + cfg.percent) * apart <= (100 - cfg.percent) * total))
+
+    return both.select("a", "ah", "b", "bh", "an", "as", "bn", "bs").mapInArrow(run, "a long, ah long, b long, bh long")
+
+
+def _verify(docs: DataFrame, pairs: DataFrame, sketches: DataFrame, shared, cfg: Settings, buckets: int) -> DataFrame:
     """The linked ones of ``pairs (a, ah, b, bh)``, as ``(a, b)``.
 
     Each pair is worked on in its hub's share; a document's fragments go to every share it
     has a pair in. Fragments count separately, the sum decides."""
-    pairs = materialize(pairs.select("a", "ah", "b", "bh").distinct())
-    many = pairs.groupBy("a", "ah").agg(F.ceil(F.count("*") / cfg.block).alias("shares"))
-    dealt = pairs.join(many, ["a", "ah"]).withColumn("share", F.pmod(F.xxhash64("b", "bh"), F.col("shares")).cast("int"))
+    dealt, hubs = _shares(materialize(_near(pairs, sketches, cfg)), cfg)
     target = F.struct("a", "ah", "share", "h", "hub")
-    hub = many.select("a", "ah", F.explode(F.sequence(F.lit(0), (F.col("shares") - 1).cast("int"))).alias("share")).select(
-        F.col("a").alias("doc_id"), "a", "ah", "share", F.col("ah").alias("h"), F.lit(True).alias("hub"))
+    hub = hubs.select(F.col("a").alias("doc_id"), "a", "ah", "share", F.col("ah").alias("h"), F.lit(True).alias("hub"))
     partner = dealt.select(F.col("b").alias("doc_id"), "a", "ah", "share", F.col("bh").alias("h"), F.lit(False).alias("hub"))
     wanted = materialize(hub.unionAll(partner).groupBy("doc_id").agg(F.collect_list(target).alias("targets")))
     # most texts are in no pair and stay out of the join
@@ -418,6 +474,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg
     spark = docs.sparkSession
     profile = materialize(_profile(docs, cfg))
     sets = profile.filter("kind = 0").select(F.col("id").alias("doc_id"), "n", "h1", "h2")
+    sketches = materialize(
+        profile.filter("kind = 0 and n > 0 and id is not null").groupBy("id", "h")
+        .agg(F.max("n").alias("n"), F.first("sketch").alias("sketch")))
     total = sets.agg(F.sum("n"), F.count("*")).first()
     frequent = (
         profile.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
@@ -429,7 +488,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg
 
     groups = materialize(_groups(_prefixes(docs, shared, cfg, buckets), cfg))
     pairs = groups.filter("kind = 0").select("a", "ah", "b", "bh").unionByName(_hub_pairs(groups))
-    links = materialize(_verify(docs, pairs, shared, cfg, buckets))
+    links = materialize(_verify(docs, pairs, sketches, shared, cfg, buckets))
 
     # equal sets are one class, and repeated rows of an id are one document
     same = sets.filter("n > 0 and doc_id is not null").groupBy("n", "h1", "h2").agg(
@@ -442,7 +501,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cfg
 
     nodes = components(edges(links))
     if not groups.filter("kind = 1").isEmpty():
-        more = _verify(docs, _second_round(groups, nodes, cfg), shared, cfg, buckets)
+        more = _verify(docs, _second_round(groups, nodes, cfg), sketches, shared, cfg, buckets)
         extra = more.select(F.col("a").alias("u"), F.col("b").alias("v"))
         known = nodes.select(F.col("node").alias("u"), F.col("component").alias("v"))
         nodes = components(known.unionAll(extra))

@@ -94,3 +94,23 @@ def test_components(spark):
         for u, v in edges:
             parent[u] = parent[v] = min(parent[u], parent[v])
     assert got == {x: c for x, c in parent.items() if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def test_sketches_never_differ_in_more_bits_than_the_sets():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in (1, 5, 63, 64, 65, 127, 128, 129, 1000, 5000):
+        base = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        sets += [base, base[: max(1, len(base) - len(base) // 9)], np.append(base, np.uint64(7))]
+    bounds = np.append(0, np.cumsum([len(s) for s in sets]))
+    sketches = jj.parity_sketches(bounds, np.concatenate(sets)).to_pylist()
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i + 1)]
+    apart = jj._distance([sketches[i] for i, _ in pairs], [sketches[j] for _, j in pairs])
+    for (i, j), d in zip(pairs, apart.tolist()):
+        assert d <= len(np.setxor1d(sets[i], sets[j]))
+        assert d == 0 or i != j
+    assert apart[pairs.index((len(sets) - 1, 0))] > 0  # unrelated sets differ
+    assert jj._distance([], []).tolist() == []
+    assert jj.parity_sketches(np.array([0, 0]), np.zeros(0, np.uint64)).to_pylist() == [bytes(8)]
