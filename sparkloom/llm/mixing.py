@@ -176,10 +176,13 @@ def mix_documents(docs: DataFrame, id_col="doc_id", text_col="text", source_col=
         return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
 
     left = docs.withColumn("__size", size)
-    left = left.withColumn("__key", key(F.col(id_col), F.col(source_col).cast("string"), F.col("__size")))
     right = units.select(
         key(F.col("doc_id"), F.col("source"), F.col("size")).alias("__key"), F.col("m").alias("__m_u"),
         F.col("whole").alias("__whole_u"), F.col("extra").alias("__extra_u"), F.col("target").alias("__mix_target_u"))
+    # cast here: where only the nullability of a field differs, the join would cast by itself, and
+    # the window would then shuffle the texts once more by the key without the cast
+    own = key(F.col(id_col), F.col(source_col).cast("string"), F.col("__size"))
+    left = left.withColumn("__key", own.cast(right.schema["__key"].dataType))
     both = left.join(right, "__key")
     number = F.when(F.col("__m_u") > 1, F.row_number().over(W.partitionBy("__key").orderBy(F.lit(0)))).otherwise(F.lit(1))
     share = F.floor(F.col("__extra_u") / F.col("__m_u")) + F.when(number <= F.col("__extra_u") % F.col("__m_u"), 1).otherwise(0)

@@ -73,3 +73,14 @@ def test_draws_are_unbiased(spark):
     for (s, n), t in hits.items():
         share = sum(1 for d, x, q in rows if q == s and len(space_words(x)) == n) * n / size[s]
         assert t == pytest.approx(target[s] * share, rel=0.45)
+
+
+def test_join_and_window_share_one_exchange(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = mixing.mix_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert plan.count("Exchange hashpartitioning") == 2  # documents and units, once each
