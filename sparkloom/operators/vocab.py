@@ -66,7 +66,8 @@ class Vocabulary:
 
     @classmethod
     def fit(cls, docs: DataFrame, tokens: Column, k: int = 20000, id_col: str = "doc_id") -> "Vocabulary":
-        return cls.fit_bow(bag_of_words(docs, tokens, id_col), k)
+        # corpus counts need no (document, word) cells, so one exchange of distinct words is enough
+        return cls(top_k(word_counts(docs, tokens), k), k)
 
     @classmethod
     def fit_bow(cls, bow: DataFrame, k: int = 20000) -> "Vocabulary":
@@ -149,8 +150,9 @@ class TfIdfModel:
     def fit(
         cls, docs: DataFrame, tokens: Column, k: int = 20000, smoothing: bool = False, id_col: str = "doc_id"
     ) -> "TfIdfModel":
-        vocab = Vocabulary.fit(docs, tokens, k)
-        terms = vocab.doc_terms(docs, tokens, id_col)
+        bow = bag_of_words(docs, tokens, id_col)
+        vocab = Vocabulary.fit_bow(bow, k)
+        terms = vocab.bow_terms(bow, id_col)
         return cls(vocab, idf(document_frequency(terms), n_docs_of(docs), smoothing))
 
     @classmethod

@@ -17,9 +17,10 @@ VOCAB_K = 20000
 KNN_K = 10
 
 
-def _knn_text(spark: SparkSession, sf_dir: str, metric: str) -> DataFrame:
+def _knn_text(spark: SparkSession, sf_dir: str, metric: str, cats: DataFrame | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cats = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"))
+    if cats is None:
+        cats = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("category"))
     queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return knn.knn_text(None, docs, cats, queries, KNN_K, metric, vocab_k=VOCAB_K)
 
@@ -34,6 +35,15 @@ def knn_text_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _knn_text(spark, sf_dir, "cosine")
 
 
+@register("knn_text_multi_category")
+def knn_text_multi_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with up to two categories each (source and lang); every category is a candidate."""
+    cats = table(spark, sf_dir, "documents").select(
+        "doc_id", F.explode(F.array("source", "lang")).alias("category")
+    ).where(F.col("category").isNotNull())
+    return _knn_text(spark, sf_dir, "dot", cats)
+
+
 @register("knn_dense_votes")
 def knn_dense_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings with ids divisible by 5 are the queries, the others the labelled base."""
@@ -82,7 +92,7 @@ def linreg_gd_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- classifiers on embeddings
-from sparkloom.operators import classify  # noqa: E402
+from sparkloom.operators import classify, evaluate  # noqa: E402
 
 N_EMB_FEATURES = 64  # all embedding values
 GD_ITERATIONS = 5
@@ -182,6 +192,24 @@ def svm_weighted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       F.col("prediction").cast("int").alias("prediction"))
 
 
+@register("logreg_test_report")
+def logreg_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A22 of the fitted M15 on the test documents (rows-only check)."""
+    return evaluate.binary_summary(logreg_lbfgs(spark, sf_dir))
+
+
+@register("svm_test_report")
+def svm_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A22 of the fitted M16 on the test documents (rows-only check)."""
+    return evaluate.binary_summary(svm_text(spark, sf_dir))
+
+
+@register("svm_weighted_test_report")
+def svm_weighted_test_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A22 of the fitted M17 on the test documents (rows-only check)."""
+    return evaluate.binary_summary(svm_weighted_text(spark, sf_dir))
+
+
 @register("logreg_top_words")
 def logreg_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 + M22: the five words with the largest L-BFGS coefficients (rows-only check)."""

@@ -239,7 +239,7 @@ FROM documents
 """
 
 # ---------------------------------------------------------------- kNN
-def knn_text_sql(cosine: bool) -> str:
+def knn_text_sql(cosine: bool, categories: str = "SELECT doc_id, source AS category FROM documents") -> str:
     score = "sum(q.w * d.w)"
     if cosine:
         score = ("CASE WHEN max(qn.nrm) * max(dn.nrm) > 0 THEN sum(q.w * d.w) / (max(qn.nrm) * max(dn.nrm)) "
@@ -256,9 +256,9 @@ pairs AS (SELECT qn.query_id, dn.doc_id FROM qn CROSS JOIN dn),
 dots AS (SELECT q.query_id, d.doc_id, {score} AS s
          FROM qv q JOIN dv d ON q.pos = d.pos JOIN qn ON qn.query_id = q.query_id JOIN dn ON dn.doc_id = d.doc_id
          GROUP BY q.query_id, d.doc_id),
-cand AS (SELECT p.query_id, p.doc_id, doc.source AS category, round(coalesce(x.s, 0), 9) AS score
+cand AS (SELECT p.query_id, p.doc_id, c.category, round(coalesce(x.s, 0), 9) AS score
          FROM pairs p LEFT JOIN dots x ON p.query_id = x.query_id AND p.doc_id = x.doc_id
-         JOIN documents doc ON doc.doc_id = p.doc_id),
+         JOIN ({categories}) c ON c.doc_id = p.doc_id),
 top AS (SELECT * FROM cand
         QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, category, doc_id) <= 10),
 votes AS (SELECT query_id, category, count(*) AS votes FROM top GROUP BY query_id, category)
@@ -270,6 +270,9 @@ FROM votes
 
 ORACLE_SQL["knn_text_votes"] = knn_text_sql(False)
 ORACLE_SQL["knn_text_cosine"] = knn_text_sql(True)
+ORACLE_SQL["knn_text_multi_category"] = knn_text_sql(False, """
+  SELECT doc_id, source AS category FROM documents WHERE source IS NOT NULL
+  UNION ALL SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL""")
 
 ORACLE_SQL["knn_dense_votes"] = """
 WITH base AS (SELECT vec_id, CAST(label AS VARCHAR) AS category, CAST(embedding AS DOUBLE[]) AS v

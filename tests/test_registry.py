@@ -41,3 +41,13 @@ def test_query_matches_oracle(spark, con, name):
         return
     problems, n, _, _ = compare(spark, con, name, fn, sql, SF)
     assert not problems, problems
+
+
+@pytest.mark.parametrize("name", ["logreg_test_report", "svm_test_report", "svm_weighted_test_report"])
+def test_report_covers_every_labelled_test_document(spark, con, name):
+    row = all_queries()[name](spark, SF).first()
+    sides = con.execute(
+        "SELECT count(*) FILTER (WHERE quality = 1), count(*) FILTER (WHERE quality = 0) "
+        "FROM documents JOIN labels USING (doc_id) WHERE doc_id % 5 = 0 AND quality IS NOT NULL").fetchone()
+    assert (row.tp + row.fn, row.fp + row.tn) == sides
+    assert row.tp > 0 and row.f1 == pytest.approx(2 * row.tp / (2 * row.tp + row.fp + row.fn))
