@@ -19,8 +19,9 @@ global order, frequent shingles last, and the order is cut into fragments.
    different components paired with each other and verified; pairs inside a component cannot
    change it. So no link between components is lost, and no group is expanded to all pairs.
 
-A shingle that more than ``hot`` documents are expected to share is dealt over several
-buckets; the hubs of the buckets then meet. A crowded shingle's second round is dealt out in
+A shingle that ``hot`` or more documents are expected to share is dealt over several buckets
+(shares 1 and up); each of them, however few documents it gets, names a hub and lists its
+members, and the hubs then meet. A crowded shingle's second round is dealt out in
 blocks of ``block`` documents, and a hub with many partners in shares of ``block``.
 
 Empty and edge input: a text without words has an empty set and links with nothing; a text
@@ -231,6 +232,7 @@ def _prefixes(docs: DataFrame, shared, cfg: Settings, buckets: int) -> DataFrame
                 bucket = (mixed % np.uint64(buckets)).astype(np.int64)
                 shares = 1 + count[take] // cfg.hot
                 share = (kernel.mix(docs["h"].view(np.uint64))[doc] % shares.astype(np.uint64)).astype(np.int64)
+                share += shares > 1  # share 0 is for the shingles that are in one bucket as a whole
                 route = share * buckets + bucket
                 by = np.lexsort((doc, route))
                 cuts = np.flatnonzero(np.diff(route[by])) + 1

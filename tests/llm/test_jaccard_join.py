@@ -73,6 +73,17 @@ def test_crowded_groups(spark, cfg, monkeypatch):
     assert by_id(jj.classes(docs, cfg=cfg), *COLUMNS) == brute(rows, cfg.words, cfg.percent)
 
 
+@pytest.mark.parametrize("near, hot", [(2, 10), (10, 60)])
+def test_hot_shingles_of_few_distinct_sets(spark, near, hot):
+    """Copies make the shingles hot; each share gets fewer distinct sets than a crowd has."""
+    base = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(base)) for i in range(200)]
+    rows += [(1000 + i, " ".join(base[: 8 * i] + [f"e{i}"] + base[8 * i + 1 :])) for i in range(near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = by_id(jj.classes(docs, cfg=jj.Settings(hot=hot)), *COLUMNS)
+    assert got == brute(rows) and {r[2] for r in got} == {0}
+
+
 def test_edges(spark):
     rows = list(enumerate(NASTY)) + [(40, "a"), (41, "A"), (42, "a b"), (43, "b a"), (44, "a b"), (44, "a b"), (None, "a b"),
                                      (None, None), (45, "word " * 3000)]
