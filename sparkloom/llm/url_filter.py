@@ -3,9 +3,11 @@
 URLs that a rule allows or blocks train two byte models, one per verdict: variable-order
 Markov models up to ``ORDER`` bytes of context. Each order's estimate is smoothed with the
 next lower one (Dirichlet, ``STRENGTH`` pseudo counts), down to uniform bytes; an order without
-evidence falls through. Counts live in hashed tables of fixed size, so the models are bounded
-whatever the number of URLs. A URL's score is the difference of its log-likelihoods per byte;
-the threshold is calibrated on held-out URLs of known verdict (best balanced accuracy over a
+evidence falls through. Counts are exact: a context and its byte are one number (`_keys`), and
+the counted strings are a written table that grows with the URLs. URLs are scored in blocks:
+the strings of a block are looked up order by order, where a string has at most 256 longer
+ones, so no join has a crowded key. A URL's score is the difference of its log-likelihoods per
+byte; the threshold is calibrated on held-out URLs of known verdict (best balanced accuracy over a
 histogram of scores).
 
 Empty and edge input: a NULL URL, or one without ``://``, has empty host and path and no rule;
@@ -26,8 +28,10 @@ from pyspark.sql import functions as F
 from sparkloom.llm import kernel
 from sparkloom.llm.decontaminate import ascii_lower
 from sparkloom.llm.tables import extended
+from sparkloom.session import materialize
 
-ORDER, SLOT_BITS, STRENGTH = 5, 15, 2.0
+ORDER, STRENGTH = 5, 2.0
+BLOCK_BYTES = 1 << 20  # of URLs that are scored together
 BINS, SCALE = 400, 100  # score histogram: hundredths from -2 to 2
 
 
@@ -60,66 +64,106 @@ def with_rule(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> Data
     return pages.withColumn("rule", name.otherwise(F.lit(None))).withColumn("rule_verdict", verdict.otherwise(F.lit(None)))
 
 
-def _slots(data: np.ndarray, offsets: np.ndarray):
-    """Per order: (positions with that much context, context slot, context+byte slot)."""
-    ranges, position = kernel.RangeHash(data), np.arange(len(data))
-    start = np.repeat(offsets[:-1], np.diff(offsets))
-    for k in range(ORDER + 1):
-        at = position[position - start >= k]
-        context = ranges.of(at - k, at) >> np.uint64(64 - SLOT_BITS)
-        joint = ranges.of(at - k, at + 1) >> np.uint64(64 - SLOT_BITS)
-        yield k, at, context.astype(np.int64), joint.astype(np.int64)
+def _keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per position: (bytes of context it has, up to ``ORDER``; context and byte as a number)."""
+    inside = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    value = np.zeros(len(data), np.int64)
+    for j in range(min(ORDER, len(data) - 1), -1, -1):
+        value[j:] = (value[j:] << 8) | np.where(inside[j:] >= j, data[: len(data) - j], 0)
+    return np.minimum(inside, ORDER), value
+
+
+def _key(order, value):
+    return (np.asarray(order, np.int64) << 48) | value
 
 
-def train(urls: DataFrame) -> np.ndarray:
-    """Counts from ``urls (url, good boolean)``: [verdict, order, context or joint, slot]."""
-    shape = (2, ORDER + 1, 2, 1 << SLOT_BITS)
+def train(urls: DataFrame) -> DataFrame:
+    """``(key, good, bad)`` from ``urls (url, good boolean)``: how often each string of a
+    context and its byte occurs in the accepted and in the rejected URLs."""
 
     def count(batches):
-        total = np.zeros(shape, np.int64)
         for batch in batches:
             good = np.asarray(batch.column(1)).astype(int)
             for lo, hi, data, offsets in kernel.chunks(batch.column(0)):
                 mark = np.repeat(good[lo:hi], np.diff(offsets))
-                for k, at, context, joint in _slots(data, offsets):
-                    for g in (0, 1):
-                        own = mark[at] == g
-                        total[g, k, 0] += np.bincount(context[own], minlength=shape[3])
-                        total[g, k, 1] += np.bincount(joint[own], minlength=shape[3])
-        flat = total.ravel()
-        some = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(flat[some])], names=["slot", "n"])
-
-    rows = urls.select("url", "good").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(int(np.prod(shape)), np.float32)
-    out[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy()
-    return out.reshape(shape)
-
-
-def log_ratio(column: pa.Array, counts: np.ndarray) -> np.ndarray:
-    """Log-likelihood difference, accepted minus rejected, per byte of each text."""
-    out = []
-    for lo, hi, data, offsets in kernel.chunks(column):
-        prob = np.full((2, len(data)), 1 / 256)
-        for k, at, context, joint in _slots(data, offsets):
-            for g in (0, 1):
-                seen, both = counts[g, k, 0][context], counts[g, k, 1][joint]
-                prob[g, at] = (np.minimum(both, seen) + STRENGTH * prob[g, at]) / (seen + STRENGTH)
-        sums = np.append(0.0, np.cumsum(np.log(prob[1]) - np.log(prob[0])))
-        out.append((sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(np.diff(offsets), 1))
-    return np.concatenate(out) if out else np.zeros(0)
-
-
-def score(pages: DataFrame, counts: np.ndarray, url_col: str = "url", out_col: str = "url_score") -> DataFrame:
-    shared = pages.sparkSession.sparkContext.broadcast(counts)  # fixed size, 1.6 MB
-    at = pages.columns.index(url_col)
-
-    def run(batches):
-        for batch in batches:
-            values = log_ratio(batch.column(at), shared.value)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, out_col])
+                order, value = _keys(data, offsets)
+                for k in range(ORDER + 1):
+                    at = np.flatnonzero(order >= k)
+                    key, own = np.unique(_key(k, value[at] & ((1 << 8 * (k + 1)) - 1)), return_inverse=True)
+                    n = np.bincount(own, minlength=len(key))
+                    n_good = np.bincount(own, weights=mark[at], minlength=len(key)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(n_good), pa.array(n - n_good)], names=["key", "good", "bad"])
+
+    rows = urls.select("url", "good").mapInArrow(count, "key long, good long, bad long")
+    return materialize(rows.groupBy("key").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
+
 
-    return pages.mapInArrow(run, extended(pages.schema, **{out_col: "double"}))
+def _order_of(key: Column) -> Column:
+    return F.shiftright(key, 48)
+
+
+def _shorter(key: Column, k: int) -> Column:
+    """The key of the last ``k + 1`` bytes."""
+    return key.bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).bitwiseOR(F.lit(k << 48))
+
+
+def _ratios(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(key, ratio)``: log-likelihood difference of each string ``wanted (key)``."""
+    orders = [F.when(_order_of(F.col("key")) >= k, _shorter(F.col("key"), k)) for k in range(ORDER + 1)]
+    wanted = materialize(wanted.select(F.explode(F.array(*orders)).alias("key")).filter("key is not null").distinct())
+    levels, below = [], None
+    for k in range(ORDER + 1):
+        context = F.shiftright(F.col("key"), 8)
+        own = counts.filter((F.col("key") >= (k << 48)) & (F.col("key") < ((k + 1) << 48)))
+        seen = own.groupBy(context.alias("context")).agg(F.sum("good").alias("seen_good"), F.sum("bad").alias("seen_bad"))
+        level = wanted.filter((F.col("key") >= (k << 48)) & (F.col("key") < ((k + 1) << 48)))
+        level = level.join(own, "key", "left").withColumn("context", context).join(seen, "context", "left")
+        if k:
+            lower = below.select(F.col("key").alias("lower"), F.col("p_good").alias("q_good"), F.col("p_bad").alias("q_bad"))
+            level = level.withColumn("lower", _shorter(F.col("key"), k - 1)).join(lower, "lower")
+        else:
+            level = level.withColumn("q_good", F.lit(1 / 256)).withColumn("q_bad", F.lit(1 / 256))
+        below = materialize(level.select("key", *[
+            ((F.coalesce(F.col(x), F.lit(0)) + STRENGTH * F.col(f"q_{x}")) / (F.coalesce(F.col(f"seen_{x}"), F.lit(0)) + STRENGTH)).alias(f"p_{x}")
+            for x in ("good", "bad")]))
+        levels.append(below)
+    both = levels[0]
+    for level in levels[1:]:
+        both = both.unionAll(level)
+    return both.select("key", (F.log("p_good") - F.log("p_bad")).alias("ratio"))
+
+
+def score(pages: DataFrame, counts: DataFrame, url_col: str = "url", out_col: str = "url_score") -> DataFrame:
+    """``pages`` with the log-likelihood difference, accepted minus rejected, per byte of each URL."""
+    columns, schema = pages.columns, extended(pages.schema, **{out_col: "double"})
+    rows = materialize(pages.withColumn("__row", F.monotonically_increasing_id()))
+    size = rows.agg(F.sum(F.octet_length(url_col))).first()[0] or 0
+    # by row, so that copies of one URL do not meet in one block
+    rows = rows.withColumn("__block", F.pmod(F.xxhash64("__row"), F.lit(max(8, size // BLOCK_BYTES))).cast("int"))
+
+    def strings(key, table):
+        found = [np.zeros(0, np.int64)]
+        for _, _, data, offsets in kernel.chunks(table.column(1).combine_chunks()):
+            found.append(np.unique(_key(*_keys(data, offsets))))
+        found = np.unique(np.concatenate(found))
+        return pa.table({"block": pa.array(np.full(len(found), key[0].as_py(), np.int32)), "key": pa.array(found)})
+
+    wanted = materialize(rows.select("__block", url_col).groupBy("__block").applyInArrow(strings, "block int, key long"))
+    known = wanted.join(_ratios(wanted.select("key"), counts), "key").select("block", "key", "ratio")
+
+    def run(left, right):
+        key, ratio = (right.column(c).to_numpy() for c in ("key", "ratio"))
+        order = np.argsort(key)
+        key, ratio = key[order], ratio[order]
+        out = [np.zeros(0)]
+        for lo, hi, data, offsets in kernel.chunks(left.column(url_col).combine_chunks()):
+            text = np.repeat(np.arange(hi - lo), np.diff(offsets))
+            each = ratio[np.searchsorted(key, _key(*_keys(data, offsets)))] if len(data) else np.zeros(0)
+            out.append(np.bincount(text, weights=each, minlength=hi - lo) / np.maximum(np.diff(offsets), 1))
+        return left.select(columns).append_column(out_col, pa.array(np.concatenate(out)))
+
+    return rows.groupBy("__block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -141,9 +185,10 @@ def calibrate(scored: DataFrame) -> float:
 def judge(pages: DataFrame, rules: list[Rule], url_col: str = "url") -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``url_score`` and ``verdict``."""
     ruled = with_rule(pages, rules, url_col)
-    known = ruled.filter("rule is not null").select(F.col(url_col).alias("url"), (F.col("rule_verdict") == "allow").alias("good"))
-    held = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
-    counts = train(known.filter(~held))
-    threshold = calibrate(score(known.filter(held), counts))
+    good = (F.col("rule_verdict") == "allow").alias("good")
+    held = F.pmod(F.xxhash64(F.col(url_col)), F.lit(5)) == 0
+    counts = train(ruled.filter("rule is not null").filter(~held).select(F.col(url_col).alias("url"), good))
+    scored = materialize(score(ruled, counts, url_col))
+    threshold = calibrate(scored.filter("rule is not null").filter(held).select("url_score", good))
     model = F.when((F.length(F.coalesce(F.col(url_col), F.lit(""))) > 0) & (F.col("url_score") >= threshold), "allow").otherwise("block")
-    return score(ruled, counts, url_col).withColumn("verdict", F.coalesce("rule_verdict", model)).drop("rule_verdict")
+    return scored.withColumn("verdict", F.coalesce("rule_verdict", model)).drop("rule_verdict")

@@ -134,3 +134,32 @@ def test_url_edges_and_models(spark):
     scored = url_filter.score(made, counts, out_col="url_score")
     cut = url_filter.calibrate(scored)
     assert all((r.url_score >= cut) == r.good for r in scored.collect())
+
+
+def test_url_counts_are_exact(spark):
+    """More distinct contexts than a table of fixed size can tell apart."""
+    rng = np.random.default_rng(8)
+    made = [("".join(chr(33 + c) for c in rng.integers(0, 90, 30)), i % 3 == 0) for i in range(3000)] + [("http://a.net/" + "b" * i, True) for i in range(20)]
+    joint, seen = Counter(), Counter()
+    for url, good in made:
+        for k in range(url_filter.ORDER + 1):
+            for i in range(k, len(url)):
+                joint[good, url[i - k : i + 1]] += 1
+                seen[good, k, url[i - k : i]] += 1
+
+    def naive(url):
+        total = 0.0
+        for i in range(len(url)):
+            p = {True: 1 / 256, False: 1 / 256}
+            for k in range(min(url_filter.ORDER, i) + 1):
+                for g in p:
+                    p[g] = (joint[g, url[i - k : i + 1]] + url_filter.STRENGTH * p[g]) / (seen[g, k, url[i - k : i]] + url_filter.STRENGTH)
+            total += np.log(p[True]) - np.log(p[False])
+        return total / max(len(url), 1)
+
+    assert len({c for _, k, c in seen if k == url_filter.ORDER}) > 1 << 15
+    urls = [u for u, _ in made[::10]] + ["", "x", "http://a.net/bbc", "#" * 50]
+    counts = url_filter.train(spark.createDataFrame(made, "url string, good boolean"))
+    scored = url_filter.score(spark.createDataFrame([(u,) for u in urls], "url string"), counts)
+    got = {r.url: r.url_score for r in scored.collect()}
+    assert all(got[u] == pytest.approx(naive(u), abs=1e-9) for u in urls)
