@@ -20,7 +20,8 @@ to meet, by content:
 
 Cells that repeat inside a task are settled there, so a passage that a third of all rows
 share arrives at its bucket once per task; an anchor with more than ``HOT`` kinds of cells is
-dealt out window by window, by the windows' own hash.
+dealt out window by window, by the windows' own hash, and of equal windows in a block of
+documents only the earliest is sent to the index.
 
 Empty and edge input: NULL text is empty; texts shorter than a window keep everything; a NULL
 id comes after all others; rows that repeat an id are the same document, so equal starts are
@@ -33,6 +34,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,7 +265,8 @@ def _texts(table: pa.Table):
 
 
 def _fetch(docs: DataFrame, settled: DataFrame, buckets: int) -> DataFrame:
-    """The bytes of the wanted cells, packed per index bucket."""
+    """The bytes of the wanted cells, packed per index bucket. Of a hot anchor's windows only the
+    earliest of each block is sent; the block's others are ``ranges`` to remove."""
 
     def run(key, left, right):
         ids, keys, texts = _texts(left)
@@ -272,6 +275,7 @@ def _fetch(docs: DataFrame, settled: DataFrame, buckets: int) -> DataFrame:
         wanted = [np.frombuffer(b, _WANTED) for b in right.column("wanted").to_pylist()]
         wanted = np.unique(np.concatenate(wanted)) if wanted else np.zeros(0, _WANTED)
         out: dict[int, tuple[list, list]] = {}
+        windows: dict[bytes, list] = {}  # of hot anchors
 
         def put(bucket, w, start, data):
             pieces, body = out.setdefault(bucket, ([], []))
@@ -285,22 +289,50 @@ def _fetch(docs: DataFrame, settled: DataFrame, buckets: int) -> DataFrame:
                 put(bucket, w, w[2], data)
                 continue
             for s in range(len(data) - WINDOW + 1):
-                one = data[s : s + WINDOW]
-                put(int.from_bytes(hashlib.blake2b(one, digest_size=8).digest(), "little") % buckets, w, w[2] + s, one)
-        rows = [(b, np.array(p, _PIECE).tobytes(), b"".join(d)) for b, (p, d) in sorted(out.items())]
-        columns = list(zip(*rows)) if rows else [[]] * 3
-        return pa.table([pa.array(list(c), k) for c, k in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "pieces", "body"])
+                windows.setdefault(data[s : s + WINDOW], []).append((w[0], w[2] + s, w[1]))
+        late = []
+        for one, found in windows.items():
+            least = min(found)[:2]
+            bucket = int.from_bytes(hashlib.blake2b(one, digest_size=8).digest(), "little") % buckets
+            for doc, start, text in found:
+                if (doc, start) == least:
+                    put(bucket, (doc, text), start, one)
+                else:
+                    late.append((doc, text, start, start + WINDOW))
+        rows = [(b, np.array(p, _PIECE).tobytes(), b"".join(d), -1, b"") for b, (p, d) in sorted(out.items())]
+        if late:
+            rows.append((block % buckets, b"", b"", block, _merged(np.sort(np.array(late, _RANGE))).tobytes()))
+        columns = list(zip(*rows)) if rows else [[]] * 5
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["bucket", "pieces", "body", "block", "ranges"])
 
     need = materialize(settled.filter("wanted_bytes > 0").select("block", "wanted"))
     return (
-        docs.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(run, "bucket int, pieces binary, body binary")
+        docs.groupBy("block").cogroup(need.groupBy("block")).applyInArrow(
+            run, "bucket int, pieces binary, body binary, block int, ranges binary")
     )
 
 
+def _merged(ranges: np.ndarray) -> np.ndarray:
+    """Sorted ranges, those whose starts follow on each other joined."""
+    new = np.ones(len(ranges), bool)
+    for name, step in (("id", 0), ("text", 0), ("start", 1)):
+        new[1:] &= ranges[name][1:] == ranges[name][:-1] + step
+    new[1:] = ~new[1:]
+    first = np.flatnonzero(new)
+    out = ranges[first]
+    out["end"] = ranges["end"][np.append(first[1:], len(ranges)) - 1]
+    return out
+
+
 def _indexed(pieces: DataFrame) -> DataFrame:
-    """Ranges to remove, from the run-length index of each bucket."""
+    """Ranges to remove, from the run-length index of each bucket, and those already known."""
 
     def run(table):
+        known = table.filter(pc.greater(pc.binary_length(table.column("ranges")), 0)).select(["block", "ranges"])
+        table = table.filter(pc.greater(pc.binary_length(table.column("pieces")), 0))
+        if not table.num_rows:
+            return known
         piece = np.concatenate([np.frombuffer(p, _PIECE) for p in table.column("pieces").to_pylist()])
         data = np.frombuffer(b"".join(table.column("body").to_pylist()), np.uint8)
         size = piece["size"].astype(np.int64)
@@ -327,7 +359,8 @@ def _indexed(pieces: DataFrame) -> DataFrame:
         out["end"] = piece["start"][own] + inside[where[last]] + WINDOW
         rows = [(b, part.tobytes()) for b, part in _by_block(piece["block"][own], out)]
         columns = list(zip(*rows)) if rows else [[]] * 2
-        return pa.table([pa.array(list(c), k) for c, k in zip(columns, (pa.int32(), pa.binary()))], names=["block", "ranges"])
+        found = pa.table([pa.array(list(c), k) for c, k in zip(columns, (pa.int32(), pa.binary()))], names=["block", "ranges"])
+        return pa.concat_tables([known, found])
 
     return pieces.groupBy("bucket").applyInArrow(run, "block int, ranges binary")
 

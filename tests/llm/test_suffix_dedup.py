@@ -63,6 +63,29 @@ def test_copies_and_edges(spark, hot, monkeypatch):
     assert suffix_dedup.summary(suffix_dedup.marked(docs.limit(0))).count() == 0
 
 
+def test_hot_windows_reach_the_index_once_per_block(spark):
+    """A passage in many different surroundings: the index gets each of its windows once a block."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = letters(150)
+    rows = [(i, letters(60) + passage + letters(60)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_id(suffix_dedup.summary(suffix_dedup.marked(docs, hot=5)), *COLUMNS) == brute(rows)
+    blocks = docs.withColumn("text_key", F.xxhash64("text")).withColumn("block", (F.col("doc_id") % 2).cast("int"))
+    settled = suffix_dedup.materialize(suffix_dedup._settle(suffix_dedup._send(blocks, 8), 5))
+    sent = {}
+    for r in suffix_dedup._fetch(blocks, settled, 8).collect():
+        at = 0
+        for size in np.frombuffer(r.pieces, suffix_dedup._PIECE)["size"].tolist():
+            if size == suffix_dedup.WINDOW:
+                one = bytes(r.body[at : at + size])
+                sent[one] = sent.get(one, 0) + 1
+            at += size
+    assert any(one.decode() in passage for one in sent) and max(sent.values()) <= 2
+
+
 def test_run_length_index():
     rng = random.Random(4)
     texts = [bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randrange(0, 40))) for _ in range(30)] + [b"ab" * 30, b"ab" * 25, b"", b"ab" * 30]
