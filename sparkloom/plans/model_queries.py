@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +140,33 @@ def svm_weighted_gd_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trace(spark, classify.fit_gd(classify.Columns(emb, xs, emb_label(True)), W0, cfg))
 
 
+SVM_ITERATIONS = 300  # of the surveyed jobs; the stop rule (M6) may end a fit earlier
+
+
+def _emb_arrays(emb: DataFrame) -> classify.Sparse:
+    """Embeddings for many iterations: weights are broadcast, so no iteration compiles a plan."""
+    cells = emb.where(F.col("embedding").isNotNull()).select(
+        F.sequence(F.lit(0), F.lit(N_EMB_FEATURES - 1)).alias("idx"),
+        F.slice("embedding", 1, N_EMB_FEATURES).cast("array<double>").alias("val"), emb_label(True).alias("y"))
+    return classify.Sparse(cells, N_EMB_FEATURES, F.col("y"))
+
+
+@register("svm_gd")
+def svm_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M16 + M6: exact hinge descent to its stop rule or limit (rows-only check)."""
+    emb, _ = emb_features(spark, sf_dir)
+    cfg = replace(SVM_CFG, iterations=SVM_ITERATIONS)
+    return _trace(spark, classify.fit_gd(_emb_arrays(emb), W0, cfg, emb.count()))
+
+
+@register("svm_weighted_gd")
+def svm_weighted_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M17 + M6: exact class-weighted hinge descent to its stop rule or limit (rows-only check)."""
+    emb, _ = emb_features(spark, sf_dir)
+    cfg = replace(WSVM_CFG, iterations=SVM_ITERATIONS, class_weights=classify.class_ratios(emb, emb_label(True)))
+    return _trace(spark, classify.fit_gd(_emb_arrays(emb), W0, cfg, emb.count()))
+
+
 # ---------------------------------------------------------------- text classifiers
 from sparkloom.plans.text_queries import train_test_docs  # noqa: E402
 

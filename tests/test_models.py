@@ -170,3 +170,39 @@ def test_class_ratios_and_decision_rules(spark):
     assert (nr, pr) == (0.75, 0.25)
     out = df.select(C.predict(F.col("z"), "ge0").alias("ge"), C.predict(F.col("z"), "gt0", 1, -1).alias("gt"))
     assert [(r["ge"], r["gt"]) for r in out.collect()] == [(1, -1), (1, 1), (0, -1), (1, 1)]
+
+
+def _svm_descent(x, y, weights=None):
+    """The surveyed SVM fits in NumPy: at most 300 iterations, stop rule M6."""
+    n, w, old, out = len(y), np.full(x.shape[1], 0.1), 0.0, []
+    lr, lam = (0.5, 100.0) if weights is None else (1.0, None)
+    c = np.full(n, 1.0 / n) if weights is None else np.where(y > 0, *weights)
+    for _ in range(300):
+        margin = 1 - y * (x @ w)
+        cost = float(c @ np.maximum(0, margin)) + (w @ w / (2 * n * lam) if lam else 0.0)
+        grad = -(c * y * (margin >= 0)) @ x + (w / (n * lam) if lam else 0.0)
+        new = w - lr * grad
+        stop = abs(math.sqrt(w @ w) - math.sqrt(abs(w @ new))) <= 5e-5
+        w = new
+        out.append((cost, *w))
+        if stop:
+            break
+        if cost != old:
+            lr, old = lr * (1.05 if cost < old else 0.5), cost
+    return out
+
+
+@pytest.mark.parametrize("name", ["svm_gd", "svm_weighted_gd"])
+def test_svm_descents_run_to_their_end(spark, name):
+    import duckdb
+
+    from sparkloom.plans.registry import all_queries
+
+    sf = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"select embedding, label from '{sf}/embeddings.parquet'").fetchall()
+    x, y = np.array([r[0] for r in rows], float), np.array([1 if r[1] >= 5 else -1 for r in rows])
+    ref = _svm_descent(x, y, ((y < 0).mean(), (y > 0).mean()) if name == "svm_weighted_gd" else None)
+    got = all_queries()[name](spark, sf).orderBy("iteration").collect()
+    assert len(got) == len(ref) > 5
+    for r, t in zip(got, ref):
+        assert list(r[1:-1]) == pytest.approx(list(t), rel=1e-4, abs=2e-5)
