@@ -14,13 +14,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-FIXTURES = os.path.join(ROOT, "tests", "fixtures")
-
-
-def fixture_path(name: str) -> str:
-    return os.path.join(FIXTURES, name)
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession

@@ -8,7 +8,7 @@ import glob
 import os
 import re
 
-from conftest import fixture_path
+from fixture_files import fixture_path
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T

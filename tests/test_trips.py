@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import fixture_path
+from fixture_files import fixture_path
 from pyspark.sql import functions as F
 
 from sparkloom.functions import clean
