@@ -24,4 +24,26 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(pos.n_hit, 0
 FROM d LEFT JOIN pos ON d.r = pos.r LEFT JOIN its ON d.r = its.r
 """
 
-ORACLE_SQL = {"op1_decontaminate": OP1}
+_DRAWS = ", ".join(
+    f"CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}"
+    for i in range(4)
+)
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           {_DRAWS} FROM documents),
+r AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo,
+             greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi FROM d),
+c AS (SELECT *, array_to_string(u[1 : lo], '') AS p, array_to_string(u[lo + 1 : hi], '') AS m,
+             array_to_string(u[hi + 1 : n], '') AS s,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                  THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(p || m || s) AS restored_sha256
+FROM c
+"""
+
+ORACLE_SQL = {"op1_decontaminate": OP1, "op12_fill_middle": OP12}

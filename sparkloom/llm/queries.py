@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.llm import (
-    decontaminate, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
+    decontaminate, fill_middle, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
     suffix_dedup, url_filter,
 )
 from sparkloom.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
@@ -99,6 +99,16 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op12_fill_middle(spark, sf_dir):
+    made = fill_middle.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_middle.restore(F.col("fim_text"), F.col("fim_form"))
+    return made.select(
+        "doc_id", F.col("fim_units").alias("n"), F.col("fim_form").alias("form"),
+        F.col("fim_prefix_chars").alias("prefix_chars"), F.col("fim_middle_chars").alias("middle_chars"),
+        F.sha2("fim_text", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
@@ -110,4 +120,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secrets": op9_secrets,
     "op10_html_text": op10_html_text,
+    "op12_fill_middle": op12_fill_middle,
 }

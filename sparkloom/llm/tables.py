@@ -32,3 +32,11 @@ def split_by_slot(rows: DataFrame, key: Column, hits: DataFrame, hit_key: Column
         marked.join(taken, "__slot", "left_semi").drop("__slot"),
         marked.join(taken, "__slot", "left_anti").drop("__slot"),
     )
+
+
+def refuse_clash(rows: DataFrame, *names: str) -> None:
+    """Raise if ``rows`` already has a column that an operator adds (in any letter case)."""
+    have = {c.lower() for c in rows.columns}
+    clash = [n for n in names if n.lower() in have]
+    if clash:
+        raise ValueError(f"the table already has the columns {', '.join(clash)}: rename them first")
