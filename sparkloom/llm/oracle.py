@@ -46,4 +46,34 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
 FROM c
 """
 
-ORACLE_SQL = {"op1_decontaminate": OP1, "op12_fill_middle": OP12}
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM (SELECT DISTINCT lang, r, term FROM t) GROUP BY ALL HAVING count(*) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(n.n, 0) AS n, v.v FROM g JOIN v USING (lang) LEFT JOIN n USING (lang, source)),
+p AS (SELECT gn.lang, gn.source, k.term, coalesce(c.c, 0) AS c,
+             1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (gn.n + gn.v) AS p
+      FROM gn JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + (1000000000 * (c + 1)) // (n + v) AS q
+      FROM (SELECT lang, term, CAST(sum(c) AS BIGINT) AS c FROM c GROUP BY ALL)
+      JOIN (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM c GROUP BY ALL) USING (lang) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                 CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+          UNION ALL
+          SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          WHERE a.lang NOT IN (SELECT lang FROM v)),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, (p.p - q.q) * (p.p - q.q) // q.q AS value
+          FROM p JOIN q USING (lang, term) WHERE p.c > 0 AND p.p > q.q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL = {"op1_decontaminate": OP1, "op12_fill_middle": OP12, "op13_source_divergence": OP13}

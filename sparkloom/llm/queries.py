@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.llm import (
-    decontaminate, fill_middle, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
+    decontaminate, divergence, fill_middle, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
     suffix_dedup, url_filter,
 )
 from sparkloom.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
@@ -109,6 +109,10 @@ def op12_fill_middle(spark, sf_dir):
     )
 
 
+def op13_source_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_mixing": op2_mixing,
@@ -121,4 +125,5 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_html_text": op10_html_text,
     "op12_fill_middle": op12_fill_middle,
+    "op13_source_divergence": op13_source_divergence,
 }
