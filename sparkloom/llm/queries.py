@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.llm import (
-    decontaminate, divergence, fill_middle, html_text, jaccard_join, language, mixing, quality_cnn, quality_rules, secrets,
-    suffix_dedup, url_filter,
+    decontaminate, divergence, fill_middle, html_text, jaccard_join, language, mixing, posting_lists, quality_cnn, quality_rules,
+    secrets, suffix_dedup, url_filter,
 )
 from sparkloom.llm.oracle import ORACLE_SQL  # noqa: F401  (registered with the queries)
 from sparkloom.llm.tables import read
@@ -99,6 +99,10 @@ def op10_html_text(spark, sf_dir):
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_nearest_vectors(spark, sf_dir):
+    return posting_lists.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op12_fill_middle(spark, sf_dir):
     made = fill_middle.transform(read(spark, sf_dir, "documents").select("doc_id", "text"))
     restored = fill_middle.restore(F.col("fim_text"), F.col("fim_form"))
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_secrets": op9_secrets,
     "op10_html_text": op10_html_text,
+    "op11_nearest_vectors": op11_nearest_vectors,
     "op12_fill_middle": op12_fill_middle,
     "op13_source_divergence": op13_source_divergence,
 }
