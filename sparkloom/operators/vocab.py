@@ -168,6 +168,12 @@ class TfIdfModel:
             vocab = vocab.materialized()
         return cls(vocab, idf(document_frequency(vocab.bow_terms(bow, id_col)), n_docs, smoothing))
 
+    def materialized(self) -> "TfIdfModel":
+        """The idf (at most ``k`` rows) computed once, for a model that is applied several times."""
+        from sparkloom.session import materialize
+
+        return TfIdfModel(self.vocab, materialize(self.idf_table))
+
     def localized(self) -> "TfIdfModel":
         """Evaluate the model once: (word, pos, count, idf) rows, at most k of them, become
         a small in-memory table, so later plans broadcast it instead of refitting."""

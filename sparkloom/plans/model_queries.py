@@ -51,16 +51,10 @@ def knn_dense_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings with ids divisible by 5 are the queries, the others the labelled base."""
     emb = table(spark, sf_dir, "embeddings")
     is_query = (F.col("vec_id") % 5) == 0
-    base = knn.dense_to_arrays(
-        emb.where(~is_query).select(F.col("vec_id").alias("id"), "embedding", F.col("label").cast("string").alias("category")),
-        "id", "embedding",
-    )
-    qarr = knn.dense_to_arrays(emb.where(is_query).select(F.col("vec_id").alias("query_id"), "embedding"),
-                               "query_id", "embedding")
-    qcells = qarr.select("query_id", F.posexplode(F.arrays_zip("idx", "val")).alias("i", "cell")).select(
-        "query_id", F.col("cell.idx").alias("pos"), F.col("cell.val").alias("w")
-    )
-    return knn.vote(knn.top_k_neighbours(base, qcells, KNN_K, "dot"))
+    base = emb.where(~is_query).select(
+        F.col("vec_id").alias("id"), F.col("label").cast("string").alias("category"), F.col("embedding").alias("vector"))
+    queries = emb.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return knn.vote(knn.top_k_dense(base, queries, KNN_K, "dot"))
 
 
 # ---------------------------------------------------------------- linear regression
