@@ -1,69 +1,82 @@
 """Mixture-of-multinomials topic model fitted by Gibbs sampling.
 
 Model: document d has one cluster c_d ~ pi; its words are drawn from mu_{c_d};
-pi ~ Dir(alpha), mu_k ~ Dir(beta). One sweep:
+pi ~ Dir(alpha), mu_k ~ Dir(beta). One sweep is one Spark job:
 
-1. assign every document: p(k | d) ~ pi_k * prod_w mu_k[w]^{x_dw}, computed in log space
-   from a broadcast ``log mu`` (K x V, bounded by the model size) inside ``mapInPandas``;
-   the draw is Gumbel-max with uniforms hashed from (seed, iteration, doc_id, k), so it is
-   exact sampling, reproducible, and independent of how documents are partitioned;
+1. assign every document: p(k | d) ~ pi_k * prod_w mu_k[w]^{x_dw}, in log space. The documents
+   lie in blocks (a table clustered by block, so no sweep shuffles them); the parameters, one
+   row per cluster, are sent to every block and met there by a cogroup. The draw is Gumbel-max
+   with uniforms hashed from (seed, iteration, doc_id, k), so it is exact sampling,
+   reproducible, and independent of how documents are partitioned;
 2. the same task adds its documents' counts into a K x V partial sum, so only
-   ``(cluster, pos, count)`` cells leave the task; ``groupBy(cluster, pos)`` reduces them
-   to at most K x V rows for the driver;
-3. the driver draws pi ~ Dir(alpha + n_k) and mu_k ~ Dir(beta + counts_k) in log space
-   (no underflow to log 0) from a seeded generator.
-
-The document table (``doc_id, idx[], cnt[]``) is written once (``materialize``), so every sweep's
-lineage is "table scan -> mapInPandas -> aggregate" and a lost executor recomputes one
-sweep, not the history. Differences from the surveyed job: pi is resampled each sweep
-(it computed the new alpha but never used it; ``fixed_pi=True`` restores that), and a
-document without dictionary words keeps posterior pi instead of failing.
+   ``(cluster, pos, count)`` cells leave the task; ``groupBy(cluster, pos)`` sums them;
+3. pi ~ Dir(alpha + n_k) and mu_k ~ Dir(beta + counts_k) are drawn where the counts lie, a
+   cluster in a task: every (cluster, pos) has its own Gamma variate by Marsaglia and Tsang's
+   method from hashed uniforms (:func:`log_gamma_draws`), so any engine that can hash can repeat
+   the draws.
+
+Nothing of the model passes through the driver, neither counts nor parameters. Differences from
+the surveyed job: pi is resampled each sweep (it computed the new alpha but never used it;
+``fixed_pi=True`` restores that), and a document without dictionary words keeps posterior pi
+instead of failing.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkloom.operators import vocab as V
 
 TWO_POW_52 = float(2**52)
+MAX_CLUSTERS = 4096  # K x V values are sent to every block of documents
+GAMMA_TRIALS = 12  # each is accepted with probability over 0.95
+PI = -1  # the ``pos`` of a cluster's own weight, beside those of its words
 
 
-def hash_uniform(seed: int, iteration: Column | int, doc_id: Column | str, k: Column | int) -> Column:
-    """U(0,1) from md5 of 'seed:iteration:doc_id:k' (13 hex digits = 52 bits, centred)."""
-    def c(v):
-        if isinstance(v, Column):
-            return v.cast("string")
-        if isinstance(v, str):
-            return F.col(v).cast("string")
-        return F.lit(str(v))
+def hash_uniforms(texts: list[str]) -> np.ndarray:
+    """U(0,1) from the md5 of each text (13 hex digits = 52 bits, centred)."""
+    bits = [int.from_bytes(hashlib.md5(t.encode()).digest()[:7], "big") >> 4 for t in texts]
+    return (np.array(bits, np.float64) + 0.5) / TWO_POW_52
 
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), c(iteration), c(doc_id), c(k))), 1, 13), 16, 10)
-    return (h.cast("double") + F.lit(0.5)) / F.lit(TWO_POW_52)
 
+def _three_uniforms(texts: list[str]) -> np.ndarray:
+    """Three U(0,1) from the md5 of each text (10 hex digits = 40 bits each, centred)."""
+    digests = np.frombuffer(b"".join(hashlib.md5(t.encode()).digest() for t in texts), np.uint8).reshape(-1, 16)
+    scale = 256.0 ** np.arange(4, -1, -1)
+    return np.stack([(digests[:, s : s + 5] @ scale + 0.5) / 2.0**40 for s in (0, 5, 10)])
 
-def uniforms_column(seed: int, iteration: int, doc_id: str, n_clusters: int) -> Column:
-    """``array<double>`` of the K uniforms of a document: one hash expression applied per
-    element (K inlined copies would outgrow the codegen method limit and run interpreted)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(n_clusters - 1)),
-                       lambda k: hash_uniform(seed, iteration, F.col(doc_id), k))
 
+def log_gamma_draws(shape: np.ndarray, keys: list[str]) -> np.ndarray:
+    """ln of Gamma(shape, 1) variates from hashed uniforms of (key, number).
 
-def log_dirichlet(rng: np.random.Generator, alpha: np.ndarray) -> np.ndarray:
-    """log of a Dirichlet(alpha) draw without underflow (Gamma(a) = Gamma(a+1) U^(1/a))."""
-    a = np.asarray(alpha, dtype=np.float64)
-    small = a < 1.0
-    logg = np.log(rng.standard_gamma(np.where(small, a + 1.0, a)))
-    u = rng.random(a.shape)
-    logg = np.where(small, logg + np.log(u) / a, logg)
-    m = logg.max(axis=-1, keepdims=True)
-    return logg - (m + np.log(np.exp(logg - m).sum(axis=-1, keepdims=True)))
+    Marsaglia and Tsang: with d = a - 1/3, c = 1 / sqrt(9 d), x normal (Box-Muller) and
+    v = (1 + c x)^3, d v is a draw when ln u < x^2 / 2 + d - d v + d ln v. The first trial
+    accepted counts; after ``GAMMA_TRIALS`` refusals (once in 10^15 draws) the variate is d.
+    A shape below 1 draws for shape + 1 and multiplies by U^(1 / shape), in log space, so that
+    tiny values do not underflow.
+    """
+    d = np.where(shape < 1, shape + 1, shape) - 1 / 3
+    out, left = np.log(d), np.arange(len(d))
+    for i in range(GAMMA_TRIALS):
+        u = _three_uniforms([f"{keys[r]}:{i}" for r in left.tolist()])
+        x = np.sqrt(-2 * np.log(u[0])) * np.cos(2 * math.pi * u[1])
+        root = 1 + x / np.sqrt(9 * d[left])
+        log_v = 3 * np.log(np.maximum(root, 1e-300))
+        accept = (root > 0) & (np.log(u[2]) < 0.5 * x * x + d[left] - d[left] * np.exp(log_v) + d[left] * log_v)
+        out[left[accept]] += log_v[accept]
+        left = left[~accept]
+        if not len(left):
+            break
+    small = np.flatnonzero(shape < 1)
+    out[small] += np.log(hash_uniforms([f"{keys[r]}:boost" for r in small.tolist()])) / shape[small]
+    return out
 
 
 def doc_term_arrays(docs: DataFrame, tokens: Column, vocab: V.Vocabulary, id_col: str = "doc_id",
@@ -84,165 +97,165 @@ def doc_term_arrays(docs: DataFrame, tokens: Column, vocab: V.Vocabulary, id_col
     )
 
 
-def _doc_scores(pdf: pd.DataFrame, log_mu: np.ndarray, log_pi: np.ndarray) -> tuple[np.ndarray, ...]:
-    n, k = len(pdf), len(log_pi)
-    lengths = np.fromiter((len(a) for a in pdf["idx"]), dtype=np.int64, count=n)
-    if lengths.sum():
-        idx = np.concatenate([np.asarray(a, dtype=np.int64) for a in pdf["idx"]])
-        cnt = np.concatenate([np.asarray(a, dtype=np.float64) for a in pdf["cnt"]])
-    else:
-        idx, cnt = np.zeros(0, np.int64), np.zeros(0)
-    rows = np.repeat(np.arange(n), lengths)
-    scores = np.empty((n, k))
-    for j in range(k):
-        scores[:, j] = log_pi[j] + np.bincount(rows, weights=cnt * log_mu[j, idx], minlength=n)
-    return scores, rows, idx, cnt
-
-
-def _assign(scores: np.ndarray, u: np.ndarray) -> np.ndarray:
-    return np.argmax(scores - np.log(-np.log(u)), axis=1)
-
-
-def _posterior_of(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    shifted = scores - scores.max(axis=1, keepdims=True)
-    p = np.exp(shifted)
-    p /= p.sum(axis=1, keepdims=True)
-    return p[np.arange(len(chosen)), chosen]
-
-
-STATS_SCHEMA = T.StructType([
-    T.StructField("cluster", T.IntegerType()), T.StructField("pos", T.IntegerType()),
-    T.StructField("cnt", T.DoubleType()),
-])
-ASSIGN_SCHEMA = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("cluster", T.IntegerType()),
-    T.StructField("posterior", T.DoubleType()),
-])
-
-
-def _stats_kernel(bparams, v: int):
-    def run(batches):
-        log_mu, log_pi = bparams.value
-        k = len(log_pi)
-        acc = np.zeros(k * v)
-        ndocs = np.zeros(k)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            scores, rows, idx, cnt = _doc_scores(pdf, log_mu, log_pi)
-            u = np.stack(pdf["u"].to_numpy()).astype(np.float64)
-            c = _assign(scores, u)
-            ndocs += np.bincount(c, minlength=k)
-            acc += np.bincount(c[rows] * v + idx, weights=cnt, minlength=k * v)
-        nz = np.nonzero(acc)[0]
-        yield pd.DataFrame({
-            "cluster": np.concatenate([np.arange(k), nz // v]).astype(np.int32),
-            "pos": np.concatenate([np.full(k, -1), nz % v]).astype(np.int32),
-            "cnt": np.concatenate([ndocs, acc[nz]]),
-        })
-
-    return run
-
-
-def _assign_kernel(bparams):
-    def run(batches):
-        log_mu, log_pi = bparams.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            scores, _, _, _ = _doc_scores(pdf, log_mu, log_pi)
-            u = np.stack(pdf["u"].to_numpy()).astype(np.float64)
-            c = _assign(scores, u)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype(np.int64), "cluster": c.astype(np.int32),
-                                "posterior": _posterior_of(scores, c)})
-
-    return run
-
-
-def assign_step(doc_arrays: DataFrame, log_mu: np.ndarray, log_pi: np.ndarray, seed: int, iteration: int,
-                id_col: str = "doc_id") -> DataFrame:
-    """M19b + M19c: ``(doc_id, cluster, posterior)`` for given parameters."""
-    spark = doc_arrays.sparkSession
-    bparams = spark.sparkContext.broadcast((np.asarray(log_mu, np.float64), np.asarray(log_pi, np.float64)))
-    withu = doc_arrays.select(F.col(id_col).alias("doc_id"), "idx", "cnt",
-                              uniforms_column(seed, iteration, id_col, len(log_pi)).alias("u"))
-    return withu.mapInPandas(_assign_kernel(bparams), ASSIGN_SCHEMA)
+def in_blocks(doc_arrays: DataFrame, blocks: int | None = None, id_col: str = "doc_id") -> tuple[DataFrame, int]:
+    """The documents written in blocks by a hash of their id (as many as the session has shuffle
+    partitions, which should be sized so that a block fits a task), and the number of blocks."""
+    from sparkloom.session import materialize_bucketed
+
+    n = blocks or int(doc_arrays.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
+    return materialize_bucketed(doc_arrays.select(F.col(id_col).alias("doc_id"), "idx", "cnt", block.alias("block")), "block", n), n
+
+
+class _Sweep:
+    """One block of documents scored against the parameters, and their sampled clusters."""
+
+    def __init__(self, docs: pa.Table, params: pa.Table, key: str):
+        order = np.argsort(params.column("cluster").to_numpy(), kind="stable")
+        self.clusters = params.column("cluster").to_numpy()[order]
+        self.log_pi = params.column("log_pi").to_numpy()[order]
+        rows = params.column("log_mu").combine_chunks()
+        self.log_mu = np.asarray(rows.flatten()).reshape(len(rows), -1)[order]
+        idx, cnt = docs.column("idx").combine_chunks(), docs.column("cnt").combine_chunks()
+        self.rows = np.repeat(np.arange(docs.num_rows), np.asarray(idx.value_lengths()))
+        self.idx, self.cnt = np.asarray(idx.flatten()).astype(np.int64), np.asarray(cnt.flatten()).astype(np.float64)
+        self.scores = np.empty((docs.num_rows, len(self.clusters)))
+        for j, log_mu in enumerate(self.log_mu):
+            self.scores[:, j] = self.log_pi[j] + np.bincount(self.rows, weights=self.cnt * log_mu[self.idx], minlength=docs.num_rows)
+        ids, clusters = docs.column("doc_id").to_pylist(), self.clusters.tolist()
+        u = hash_uniforms([f"{key}:{d}:{k}" for d in ids for k in clusters]).reshape(self.scores.shape)
+        self.chosen = np.argmax(self.scores - np.log(-np.log(u)), axis=1)
+
+    def assigned(self, docs: pa.Table) -> pa.Table:
+        p = np.exp(self.scores - self.scores.max(axis=1, keepdims=True))
+        p = p[np.arange(len(p)), self.chosen] / p.sum(axis=1)
+        return pa.table({"doc_id": docs.column("doc_id"), "cluster": self.clusters[self.chosen].astype(np.int32), "posterior": p})
+
+    def counted(self) -> pa.Table:
+        """Documents per cluster (at ``PI``) and occurrences per (cluster, pos)."""
+        k, v = self.log_mu.shape
+        acc = np.bincount(self.chosen[self.rows] * v + self.idx, weights=self.cnt, minlength=k * v)
+        at = np.flatnonzero(acc)
+        docs = np.bincount(self.chosen, minlength=k)
+        return pa.table({
+            "cluster": np.concatenate([self.clusters, self.clusters[at // v]]).astype(np.int32),
+            "pos": np.concatenate([np.full(k, PI), at % v]).astype(np.int32),
+            "cnt": np.concatenate([docs, acc[at]]).astype(np.int64)})
 
 
-def cluster_term_counts(doc_arrays: DataFrame, log_mu: np.ndarray, log_pi: np.ndarray, seed: int,
-                        iteration: int, id_col: str = "doc_id") -> tuple[np.ndarray, np.ndarray]:
-    """One sweep's assignment + A18/A19 reduce: (docs per cluster K, term counts K x V)."""
-    spark = doc_arrays.sparkSession
-    k, v = log_mu.shape
-    bparams = spark.sparkContext.broadcast((np.asarray(log_mu, np.float64), np.asarray(log_pi, np.float64)))
-    withu = doc_arrays.select("idx", "cnt", uniforms_column(seed, iteration, id_col, k).alias("u"))
-    cells = withu.mapInPandas(_stats_kernel(bparams, v), STATS_SCHEMA)
-    sums = cells.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt")).toPandas()  # <= K * (V + 1) rows
-    bparams.unpersist()
-    cl, pos, cnt = sums["cluster"].to_numpy(), sums["pos"].to_numpy(), sums["cnt"].to_numpy()
-    ndocs = np.zeros(k)
-    counts = np.zeros((k, v))
-    head = pos < 0
-    ndocs[cl[head]] = cnt[head]
-    counts[cl[~head], pos[~head]] = cnt[~head]
-    return ndocs, counts
+def _met(docs: DataFrame, blocks: int, params: DataFrame, seed: int, iteration: int, work, schema: str) -> DataFrame:
+    """``work(docs, sweep)`` of every block of documents with all of the parameters."""
+    everywhere = params.select("cluster", "log_pi", "log_mu", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+    def run(block_docs: pa.Table, block_params: pa.Table) -> pa.Table:
+        return work(block_docs, _Sweep(block_docs, block_params, f"{seed}:{iteration}"))
+
+    return docs.groupBy("block").cogroup(everywhere.groupBy("block")).applyInArrow(run, schema)
+
+
+def assign_step(doc_arrays: DataFrame, params: DataFrame, seed: int, iteration: int, id_col: str = "doc_id",
+                blocked: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """M19b + M19c: ``(doc_id, cluster, posterior)`` for given parameters ``(cluster, log_pi,
+    log_mu)``, one row per cluster with the V values of ``log_mu`` in an array."""
+    docs, blocks = blocked or in_blocks(doc_arrays, id_col=id_col)
+    def run(block_docs, sweep):
+        return sweep.assigned(block_docs)
+
+    return _met(docs, blocks, params, seed, iteration, run, "doc_id long, cluster int, posterior double")
+
+
+def draw_parameters(counts: DataFrame, v: int, alpha: float, beta: float, seed: int, iteration: int, fixed_pi: bool = False) -> DataFrame:
+    """M19a, M19d, M19e: pi ~ Dir(alpha + documents) and mu ~ Dir(beta + occurrences) from
+    ``(cluster, pos, cnt)``; ``(cluster, log_pi, log_mu)``, one row per cluster of ``counts``, each
+    drawn in a task of its own. ``log_pi`` is not normalised over the clusters: a constant
+    changes no assignment."""
+
+    def draw(key, cells):
+        cluster, pos, n = key[0].as_py(), cells.column("pos").to_numpy(), np.zeros(v + 1)
+        n[pos + 1] = cells.column("cnt").to_numpy()  # the weight (PI) first, then the words
+        shape = n + np.append(alpha, np.full(v, beta))
+        keys = [f"{seed}:{iteration}:{cluster}:{p}" for p in range(PI, v)]
+        if fixed_pi:
+            shape[0], keys[0] = alpha, f"{seed}:0:{cluster}:{PI}"
+        g = log_gamma_draws(shape, keys)
+        words = g[1:]
+        if v:
+            words = words - (words.max() + np.log(np.exp(words - words.max()).sum()))
+        return pa.table({"cluster": pa.array([cluster], pa.int32()), "log_pi": g[:1], "log_mu": pa.array([words.tolist()], pa.list_(pa.float64()))})
+
+    # a number of its own, so that adaptive execution does not merge the draws into one task
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counts.repartition(tasks, "cluster").groupBy("cluster").applyInArrow(draw, "cluster int, log_pi double, log_mu array<double>")
+
+
+def no_counts(spark, k: int) -> DataFrame:
+    """The counts of ``k`` clusters before any document is assigned."""
+    return spark.range(k).select(F.col("id").cast("int").alias("cluster"), F.lit(PI).alias("pos"), F.lit(0).cast("long").alias("cnt"))
 
 
 @dataclass
 class GibbsModel:
-    log_pi: np.ndarray
-    log_mu: np.ndarray
+    params: DataFrame  # (cluster, log_pi, log_mu) after the last sweep
+    used: DataFrame  # those of the last sweep's assignment
     vocab: V.Vocabulary
     seed: int
     last_iteration: int
-    assign_params: tuple  # (log_mu, log_pi) used by the last sweep's assignment
+    blocked: tuple[DataFrame, int]
 
-    def assignments(self, doc_arrays: DataFrame) -> DataFrame:
+    def assignments(self) -> DataFrame:
         """The cluster of every document as drawn in the last sweep."""
-        lm, lp = self.assign_params
-        return assign_step(doc_arrays, lm, lp, self.seed, self.last_iteration)
+        return assign_step(None, self.used, self.seed, self.last_iteration, blocked=self.blocked)
 
     def top_words(self, n: int = 100) -> DataFrame:
         """M20 + T8: ``(topic, rank, word, log_prob)``, n most probable words per topic."""
-        spark = self.vocab.table.sparkSession
-        k, v = self.log_mu.shape
-        order = np.argsort(-self.log_mu, axis=1, kind="stable")[:, :n]
-        rows = [(int(t), int(r + 1), int(order[t, r]), float(self.log_mu[t, order[t, r]]))
-                for t in range(k) for r in range(order.shape[1])]
-        schema = "topic int, rank int, pos int, log_prob double"
-        top = spark.createDataFrame(rows, schema)  # K x n rows of model output
-        return top.join(self.vocab.lookup_table(), "pos").select("topic", "rank", "word", "log_prob")
+        rows = self.params.select(F.col("cluster").alias("topic"), F.posexplode("log_mu").alias("pos", "log_prob"))
+        best = Window.partitionBy("topic").orderBy(F.col("log_prob").desc(), F.col("pos").asc())
+        ranked = rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+        return ranked.join(self.vocab.lookup_table(), "pos").select("topic", "rank", "word", "log_prob")
 
 
 def fit_gibbs(doc_arrays: DataFrame, vocab: V.Vocabulary, k: int = 20, alpha: float = 0.1, beta: float = 0.1,
-              iterations: int = 200, seed: int = 0, fixed_pi: bool = False, checkpoint: bool = True) -> GibbsModel:
+              iterations: int = 200, seed: int = 0, fixed_pi: bool = False) -> GibbsModel:
     """K-cluster mixture of multinomials by Gibbs sampling."""
     from sparkloom.session import materialize
 
+    if k > MAX_CLUSTERS:
+        raise ValueError(f"k = {k} is above MAX_CLUSTERS = {MAX_CLUSTERS}")
+    spark = doc_arrays.sparkSession
     v = vocab.table.count()  # dictionary size, at most vocab.k
-    if checkpoint:
-        doc_arrays = materialize(doc_arrays)
-    rng = np.random.default_rng(seed)
-    log_pi = log_dirichlet(rng, np.full(k, alpha))
-    log_mu = log_dirichlet(rng, np.full((k, v), beta))
-    used = (log_mu, log_pi)
-    for it in range(iterations):
-        used = (log_mu, log_pi)
-        ndocs, counts = cluster_term_counts(doc_arrays, log_mu, log_pi, seed, it)
-        if not fixed_pi:
-            log_pi = log_dirichlet(rng, alpha + ndocs)
-        log_mu = log_dirichlet(rng, beta + counts)
-    return GibbsModel(log_pi, log_mu, vocab, seed, iterations - 1, used)
-
-
-def smoothed_log_mu(cluster_terms: DataFrame, n_clusters: int, v: int, beta: float) -> np.ndarray:
-    """log of (count + beta) / (total + V beta) per cluster from ``(cluster, pos, cnt)``."""
-    counts = np.zeros((n_clusters, v))
-    cells = cluster_terms.select("cluster", "pos", "cnt").toPandas()  # at most K x V rows
-    counts[cells["cluster"].to_numpy(dtype=np.int64), cells["pos"].to_numpy(dtype=np.int64)] = cells["cnt"].to_numpy(
-        dtype=np.float64)
-    sm = counts + beta
-    return np.log(sm) - np.log(sm.sum(axis=1, keepdims=True))
+    docs, blocks = in_blocks(doc_arrays)
+
+    def run(block_docs, sweep):
+        return sweep.counted()
+
+    params = used = materialize(draw_parameters(no_counts(spark, k), v, alpha, beta, seed, 0, fixed_pi))
+    for it in range(1, iterations + 1):
+        cells = _met(docs, blocks, params, seed, it, run, "cluster int, pos int, cnt long")
+        counts = cells.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt"))
+        used, params = params, materialize(draw_parameters(counts, v, alpha, beta, seed, it, fixed_pi))
+    return GibbsModel(params, used, vocab, seed, iterations, (docs, blocks))
+
+
+def smoothed_parameters(cluster_terms: DataFrame, clusters: DataFrame, v: int, alpha: float, beta: float) -> DataFrame:
+    """Parameters of given clusters ``(cluster, n)``: log (n + alpha), and per word log of
+    (count + beta) / (total + V beta) from ``(cluster, pos, cnt)``."""
+    grid = full_grid_counts(cluster_terms, clusters, v)
+    rows = grid.groupBy("cluster").agg(F.sort_array(F.collect_list(F.struct("pos", "cnt"))).alias("rows"), F.sum("cnt").alias("total"))
+    whole = F.log(F.col("total") + F.lit(v * beta))
+    return rows.join(clusters, "cluster").select(
+        "cluster", F.log(F.col("n") + F.lit(alpha)).alias("log_pi"),
+        F.transform("rows.cnt", lambda c: F.log(c + F.lit(beta)) - whole).alias("log_mu"))
+
+
+def known_clusters(rows: DataFrame, cluster: str = "cluster", most: int = MAX_CLUSTERS) -> DataFrame:
+    """``(cluster, n)``: the clusters that occur, with their rows; an error beyond ``most``."""
+    from sparkloom.session import materialize
+
+    found = materialize(rows.filter(F.col(cluster).isNotNull()).groupBy(F.col(cluster).alias("cluster")).agg(F.count(F.lit(1)).alias("n")))
+    n = found.count()
+    if n > most:
+        raise ValueError(f"{n} clusters, more than {most}")
+    return found
 
 
 def cluster_cells_of_arrays(doc_arrays: DataFrame, cluster: str = "cluster") -> DataFrame:

@@ -539,7 +539,7 @@ dt AS (SELECT doc_id, regexp_replace(lower(raw), {lit('^' + PUNCT + '+|' + PUNCT
 dcnt AS (SELECT d.doc_id, v.pos, count(*) AS cnt FROM dt d JOIN tvocab v ON d.word = v.word
          WHERE length(d.word) > 2 GROUP BY d.doc_id, v.pos),
 dc AS (SELECT doc_id, TRY_CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS cluster FROM documents),
-kall AS (SELECT CAST(range AS INTEGER) AS cluster FROM range(20)),
+kall AS (SELECT DISTINCT cluster FROM dc WHERE cluster IS NOT NULL),
 ct AS (SELECT dc.cluster, dcnt.pos, sum(dcnt.cnt) AS cnt FROM dcnt JOIN dc ON dc.doc_id = dcnt.doc_id
        GROUP BY dc.cluster, dcnt.pos),
 gc AS (SELECT k.cluster, v.pos, CAST(coalesce(ct.cnt, 0) AS BIGINT) AS cnt
@@ -584,3 +584,87 @@ pick AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY
 SELECT p.doc_id, p.cluster, round(exp(p.score - mx.m) / z.zs, 6) AS posterior
 FROM pick p JOIN mx ON p.doc_id = mx.doc_id JOIN z ON p.doc_id = z.doc_id
 """
+
+# ---- a Gibbs fit of three sweeps, draw by draw (20 clusters, seed 42, alpha = beta = 0.1)
+
+
+def _uniform_sql(*parts: str) -> str:
+    text = "concat_ws(':', '42', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")"
+    return f"((CAST(('0x' || substr(md5({text}), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
+def _trials_sql(source: str, it: int, first: int, last: int) -> str:
+    """Accepted trials (cluster, pos, j, lg) of the cells of ``source``."""
+    text = f"concat_ws(':', '42', '{it}', CAST(s.cluster AS VARCHAR), CAST(s.pos AS VARCHAR), CAST(r.range AS VARCHAR))"
+    u0, u1, u2 = (f"((CAST(('0x' || substr(h, {s}, 10)) AS BIGINT) + 0.5) / 1099511627776.0)" for s in (1, 11, 21))
+    return f"""
+SELECT cluster, pos, j, ln(d) + 3 * ln(root) AS lg FROM (
+  SELECT *, 1 + x / sqrt(9 * d) AS root FROM (
+    SELECT *, sqrt(-2 * ln({u0})) * cos(2 * pi() * {u1}) AS x, ln({u2}) AS lu FROM (
+      SELECT s.cluster, s.pos, s.d, CAST(r.range AS INTEGER) AS j, md5({text}) AS h FROM {source} s CROSS JOIN range({first}, {last}) r)))
+WHERE root > 0 AND lu < 0.5 * x * x + d - d * exp(3 * ln(greatest(root, 1e-300))) + d * 3 * ln(greatest(root, 1e-300))
+"""
+
+
+def _draw_sql(it: int) -> str:
+    cnt = "coalesce(c.cnt, 0)" if it else "0"
+    join = f"LEFT JOIN c{it} c ON c.cluster = g.cluster AND c.pos = g.pos" if it else ""
+    boost = _uniform_sql(str(it), "s.cluster", "s.pos", "'boost'")
+    return f"""
+s{it} AS MATERIALIZED (SELECT cluster, pos, a, (CASE WHEN a < 1 THEN a + 1 ELSE a END) - {dbl(1)} / 3 AS d
+  FROM (SELECT g.cluster, g.pos, CAST({cnt} AS DOUBLE) + {dbl(0.1)} AS a FROM cells g {join})),
+early{it} AS MATERIALIZED (SELECT cluster, pos, arg_min(lg, j) AS lg FROM ({_trials_sql(f's{it}', it, 0, 2)}) GROUP BY cluster, pos),
+rest{it} AS MATERIALIZED (SELECT s.* FROM s{it} s ANTI JOIN early{it} e ON s.cluster = e.cluster AND s.pos = e.pos),
+late{it} AS MATERIALIZED (SELECT cluster, pos, arg_min(lg, j) AS lg FROM ({_trials_sql(f'rest{it}', it, 2, 12)}) GROUP BY cluster, pos),
+g{it} AS MATERIALIZED (SELECT s.cluster, s.pos,
+    coalesce(e.lg, l.lg, ln(s.d)) + CASE WHEN s.a < 1 THEN ln({boost}) / s.a ELSE 0 END AS g
+  FROM s{it} s LEFT JOIN early{it} e ON s.cluster = e.cluster AND s.pos = e.pos
+  LEFT JOIN late{it} l ON s.cluster = l.cluster AND s.pos = l.pos),
+lm{it} AS MATERIALIZED (SELECT g.cluster, g.pos, g.g - (t.top + ln(z.total)) AS lm FROM g{it} g
+  JOIN (SELECT cluster, max(g) AS top FROM g{it} WHERE pos >= 0 GROUP BY cluster) t ON g.cluster = t.cluster
+  JOIN (SELECT a.cluster, sum(exp(a.g - b.top)) AS total FROM g{it} a
+        JOIN (SELECT cluster, max(g) AS top FROM g{it} WHERE pos >= 0 GROUP BY cluster) b ON a.cluster = b.cluster
+        WHERE a.pos >= 0 GROUP BY a.cluster) z ON g.cluster = z.cluster
+  WHERE g.pos >= 0)"""
+
+
+def _sweep_sql(it: int) -> str:
+    """Assignment ``it`` under the parameters of draw ``it`` - 1, and its counts."""
+    return f"""
+sc{it} AS MATERIALIZED (SELECT d.doc_id, p.cluster, p.g + coalesce(x.s, 0) AS score
+  FROM documents d CROSS JOIN (SELECT cluster, g FROM g{it - 1} WHERE pos = -1) p
+  LEFT JOIN (SELECT t.doc_id, m.cluster, sum(CAST(t.cnt AS DOUBLE) * m.lm) AS s
+             FROM dcnt t JOIN lm{it - 1} m ON t.pos = m.pos GROUP BY t.doc_id, m.cluster) x
+    ON x.doc_id = d.doc_id AND x.cluster = p.cluster),
+pick{it} AS MATERIALIZED (SELECT doc_id, cluster, score FROM sc{it}
+  QUALIFY row_number() OVER (PARTITION BY doc_id
+    ORDER BY score - ln(-ln({_uniform_sql(str(it), 'doc_id', 'cluster')})) DESC, cluster) = 1),
+c{it} AS MATERIALIZED (SELECT p.cluster, t.pos, sum(t.cnt) AS cnt FROM dcnt t JOIN pick{it} p ON p.doc_id = t.doc_id GROUP BY p.cluster, t.pos
+  UNION ALL SELECT cluster, -1, count(*) FROM pick{it} GROUP BY cluster)"""
+
+
+def gibbs_sql(sweeps: int, last_draw: bool) -> str:
+    parts = [topic_base(20000).replace("dcnt AS (", "dcnt AS MATERIALIZED ("),
+             "\ncells AS MATERIALIZED (SELECT CAST(k.range AS INTEGER) AS cluster, p.pos FROM range(20) k "
+             "CROSS JOIN (SELECT -1 AS pos UNION ALL SELECT pos FROM tvocab) p)"]
+    for it in range(sweeps):
+        parts += [_draw_sql(it), _sweep_sql(it + 1)]
+    if last_draw:
+        parts.append(_draw_sql(sweeps))
+    return "WITH " + ",".join(parts)
+
+
+ORACLE_SQL["topic_gibbs_short"] = f"""
+{gibbs_sql(3, False)}
+SELECT p.doc_id, p.cluster, round(exp(p.score - m.top) / m.total, 6) AS posterior FROM pick3 p
+JOIN (SELECT s.doc_id, any_value(t.top) AS top, sum(exp(s.score - t.top)) AS total FROM sc3 s
+      JOIN (SELECT doc_id, max(score) AS top FROM sc3 GROUP BY doc_id) t ON s.doc_id = t.doc_id GROUP BY s.doc_id) m
+  ON p.doc_id = m.doc_id
+"""
+
+ORACLE_SQL["topic_gibbs_short_words"] = f"""
+{gibbs_sql(3, True)}
+SELECT t.cluster AS topic, CAST(t.rank AS INTEGER) AS rank, v.word, round(t.lm, 6) AS log_prob
+FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY lm DESC, pos) AS rank FROM lm3 QUALIFY rank <= 100) t
+JOIN tvocab v ON t.pos = v.pos
+"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +17,8 @@ ALPHA = BETA = 0.1
 STEP_VOCAB = 20000
 TOPIC_VOCAB = 20000
 GIBBS_K = 20
-N_CLUSTERS = 20  # clusters of the fixed reports: the number of the document sources
 GIBBS_ITERATIONS = 200
+SHORT_ITERATIONS = 3
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,26 +43,22 @@ def topic_assign_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, STEP_VOCAB)
     v = vocab.table.count()
-    k = N_CLUSTERS
     # the corpus is tokenised once: per-document arrays (with their cluster) feed both the
-    # cluster term counts and the assignment pass
+    # cluster term counts and the assignment pass; documents without a cluster are assigned one
     arrays = materialize(topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab, keep=("cluster",)))
-    known = arrays.filter(F.col("cluster") < k)  # others are assigned, but are in no cluster yet
-    log_mu = topics.smoothed_log_mu(topics.cluster_cells_of_arrays(known), k, v, BETA)
-    sizes = np.zeros(k)
-    for r in known.groupBy("cluster").count().collect():  # at most K rows
-        sizes[int(r["cluster"])] = r["count"]
-    log_pi = np.log((sizes + ALPHA) / (sizes.sum() + k * ALPHA))
-    out = topics.assign_step(arrays, log_mu, log_pi, SEED, 0)
+    known = arrays.filter(F.col("cluster").isNotNull())
+    cells = topics.cluster_cells_of_arrays(known)
+    params = materialize(topics.smoothed_parameters(cells, topics.known_clusters(known), v, ALPHA, BETA))
+    out = topics.assign_step(arrays, params, SEED, 0)
     return out.select("doc_id", "cluster", F.round("posterior", 6).alias("posterior"))
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabulary]:
+    """Counts of every dictionary word in every cluster that the documents have."""
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, TOPIC_VOCAB)
-    v = vocab.table.count()
-    clusters = spark.range(N_CLUSTERS).select(F.col("id").cast("int").alias("cluster"))
-    return topics.full_grid_counts(_cluster_cells(docs, vocab), clusters, v), vocab
+    clusters = topics.known_clusters(docs).select("cluster")
+    return topics.full_grid_counts(_cluster_cells(docs, vocab), clusters, vocab.table.count()), vocab
 
 
 @register("topic_cluster_counts")
@@ -79,24 +74,34 @@ def topic_words_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.top_words_per_topic(grid, vocab, BETA, 100)
 
 
-def _gibbs(spark: SparkSession, sf_dir: str):
+def _gibbs(spark: SparkSession, sf_dir: str, iterations: int) -> topics.GibbsModel:
     docs = _docs(spark, sf_dir)
     vocab = _vocab(docs, TOPIC_VOCAB)
-    # tokenised once: the fit and the final assignment read the same written arrays
-    arrays = materialize(topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab))
-    model = topics.fit_gibbs(arrays, vocab, GIBBS_K, ALPHA, BETA, GIBBS_ITERATIONS, SEED, checkpoint=False)
-    return model, arrays
+    arrays = topics.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
+    return topics.fit_gibbs(arrays, vocab, GIBBS_K, ALPHA, BETA, iterations, SEED)
 
 
 @register("topic_gibbs")
 def topic_gibbs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gibbs-sampled clusters of all documents (rows-only check)."""
-    model, arrays = _gibbs(spark, sf_dir)
-    return model.assignments(arrays)
+    return _gibbs(spark, sf_dir, GIBBS_ITERATIONS).assignments()
 
 
 @register("topic_top_words")
 def topic_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fitted topics' 100 most probable words (rows-only check)."""
-    model, _ = _gibbs(spark, sf_dir)
-    return model.top_words(100)
+    return _gibbs(spark, sf_dir, GIBBS_ITERATIONS).top_words(100)
+
+
+@register("topic_gibbs_short")
+def topic_gibbs_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M19, M19a-e: clusters after three sweeps, which SQL can repeat draw by draw."""
+    out = _gibbs(spark, sf_dir, SHORT_ITERATIONS).assignments()
+    return out.select("doc_id", "cluster", F.round("posterior", 6).alias("posterior"))
+
+
+@register("topic_gibbs_short_words")
+def topic_gibbs_short_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 + T8 after three sweeps: 100 most probable words per topic."""
+    top = _gibbs(spark, sf_dir, SHORT_ITERATIONS).top_words(100)
+    return top.select("topic", "rank", "word", F.round("log_prob", 6).alias("log_prob"))

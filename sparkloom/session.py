@@ -99,6 +99,20 @@ def materialize(df):
     return spark.read.parquet(path)
 
 
+def materialize_bucketed(df, column: str, buckets: int):
+    """:func:`materialize`, clustered by ``column``: joins and cogroups on it that run with as many
+    partitions read the files as they lie instead of shuffling them. Spark writes buckets only
+    through its catalog; the entry is dropped at once, since the returned plan knows the files."""
+    spark = df.sparkSession
+    name = f"sparkloom_{uuid.uuid4().hex}"
+    path = scratch_table_path(spark, name)
+    df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column).option("path", path).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send the package to the Python workers, once per application.
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.functions.text import tokens_letters
 from sparkloom.operators import evaluate as E
@@ -29,19 +32,38 @@ def _planted(n_per=30, seed=11):
     return docs
 
 
-def test_log_dirichlet_is_normalised_and_finite():
-    rng = np.random.default_rng(0)
-    lm = TP.log_dirichlet(rng, np.full((4, 500), 0.01))
-    assert np.isfinite(lm).all()
-    assert np.exp(lm).sum(axis=1) == pytest.approx(np.ones(4), abs=1e-12)
+def uniform(*parts):
+    return (int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
 
 
-def test_hash_uniforms_deterministic_and_open_interval(spark):
-    df = spark.range(2000).select(TP.hash_uniform(7, 3, "id", 1).alias("u"))
-    a = [r["u"] for r in df.collect()]
-    b = [r["u"] for r in df.collect()]
-    assert a == b and 0 < min(a) and max(a) < 1
-    assert abs(np.mean(a) - 0.5) < 0.03
+def plain_log_gamma(a, *key):
+    d = (a + 1 if a < 1 else a) - 1 / 3
+    out = math.log(d)
+    for i in range(TP.GAMMA_TRIALS):
+        h = hashlib.md5(":".join(map(str, (*key, i))).encode()).hexdigest()
+        u = [(int(h[s : s + 10], 16) + 0.5) / 2**40 for s in (0, 10, 20)]
+        x = math.sqrt(-2 * math.log(u[0])) * math.cos(2 * math.pi * u[1])
+        root = 1 + x / math.sqrt(9 * d)
+        if root > 0 and math.log(u[2]) < x * x / 2 + d - d * root**3 + 3 * d * math.log(root):
+            out = math.log(d) + 3 * math.log(root)
+            break
+    return out + (math.log(uniform(*key, "boost")) / a if a < 1 else 0)
+
+
+@pytest.mark.parametrize("a", [0.05, 0.7, 1.0, 3.5, 400.0])
+def test_gamma_draws(a):
+    n = 4000
+    got = TP.log_gamma_draws(np.full(n, a), [f"7:2:{i}" for i in range(n)])
+    assert got[:300] == pytest.approx([plain_log_gamma(a, 7, 2, i) for i in range(300)], rel=1e-9)
+    draws = np.exp(got)
+    assert draws.mean() == pytest.approx(a, abs=5 * math.sqrt(a / n))
+    assert draws.var() == pytest.approx(a, rel=0.6 if a < 1 else 0.15)
+
+
+def test_hash_uniforms_in_open_interval():
+    u = TP.hash_uniforms([f"7:3:{i}:1" for i in range(2000)])
+    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.03
+    assert u[:50].tolist() == [uniform(7, 3, i, 1) for i in range(50)]
 
 
 def test_assign_step_posterior(spark):
@@ -51,8 +73,9 @@ def test_assign_step_posterior(spark):
     arrays = TP.doc_term_arrays(ddf, tokens_letters("text"), vocab)
     v = vocab.table.count()
     rng = np.random.default_rng(1)
-    lm, lp = TP.log_dirichlet(rng, np.full((3, v), 1.0)), TP.log_dirichlet(rng, np.full(3, 1.0))
-    out = TP.assign_step(arrays, lm, lp, seed=5, iteration=0).toPandas()
+    lm, lp = np.log(rng.dirichlet(np.ones(v), 3)), np.log(rng.dirichlet(np.ones(3)))
+    params = spark.createDataFrame([(int(k), float(lp[k]), lm[k].tolist()) for k in (2, 0, 1)], "cluster int, log_pi double, log_mu array<double>")
+    out = TP.assign_step(arrays, params, seed=5, iteration=0).toPandas()
     assert len(out) == len(docs)
     # recompute one document's posterior in NumPy
     pdf = arrays.toPandas().set_index("doc_id")
@@ -62,6 +85,8 @@ def test_assign_step_posterior(spark):
         p = np.exp(s - s.max())
         p /= p.sum()
         assert r["posterior"] == pytest.approx(p[int(r["cluster"])], rel=1e-9)
+        u = [uniform(5, 0, int(r["doc_id"]), k) for k in range(3)]
+        assert r["cluster"] == np.argmax(s - np.log(-np.log(u)))
 
 
 def test_document_without_words_keeps_prior(spark):
@@ -78,19 +103,83 @@ def test_gibbs_recovers_planted_clusters_and_is_seeded(spark):
     vocab = V.Vocabulary.fit(ddf, tokens_letters("text"), 100)
     arrays = TP.doc_term_arrays(ddf, tokens_letters("text"), vocab)
     model = TP.fit_gibbs(arrays, vocab, k=3, alpha=1.0, beta=0.1, iterations=15, seed=3)
-    assign = {r["doc_id"]: r["cluster"] for r in model.assignments(arrays).collect()}
+    assign = {r["doc_id"]: r["cluster"] for r in model.assignments().collect()}
     truth = {d: g for d, _, g in docs}
     # each planted group maps to a single cluster, and different groups to different ones
     mapping = {g: Counter(assign[d] for d in truth if truth[d] == g).most_common(1)[0] for g in range(3)}
     assert all(cnt == 30 for _, cnt in mapping.values())
     assert len({c for c, _ in mapping.values()}) == 3
     again = TP.fit_gibbs(arrays, vocab, k=3, alpha=1.0, beta=0.1, iterations=15, seed=3)
-    assert np.array_equal(model.log_mu, again.log_mu)
+    mu = [{r.cluster: (r.log_pi, r.log_mu) for r in m.params.collect()} for m in (model, again)]
+    assert mu[0] == mu[1] and all(sum(math.exp(x) for x in lm) == pytest.approx(1) for _, lm in mu[0].values())
     top = model.top_words(3).toPandas()
     for g, (c, _) in mapping.items():
         assert set(top[top["topic"] == c]["word"]) <= set(GROUPS[g])
 
 
+def test_short_fit_equals_plain_python(spark):
+    """Three sweeps, every draw repeated from the hashes; a block of documents without words."""
+    docs = [(d, t) for d, t, _ in _planted(6)] + [(7777, "123")]
+    ddf = spark.createDataFrame(docs, "doc_id long, text string")
+    vocab = V.Vocabulary.fit(ddf, tokens_letters("text"), 100).materialized()
+    k, alpha, beta, seed = 4, 0.3, 0.2, 9
+    pos = {r.word: r.pos for r in vocab.table.collect()}
+    v = len(pos)
+    for fixed in (False, True):
+        model = TP.fit_gibbs(TP.doc_term_arrays(ddf, tokens_letters("text"), vocab), vocab, k, alpha, beta, 3, seed, fixed_pi=fixed)
+        chosen = None
+        for it in range(4):
+            n = Counter(chosen.values()) if chosen else Counter()
+            words = Counter((chosen[d], pos[w]) for d, t in docs for w in t.split() if w in pos) if chosen else Counter()
+            lp = [plain_log_gamma(alpha + (0 if fixed else n[c]), seed, 0 if fixed else it, c, -1) for c in range(k)]
+            lm = np.array([[plain_log_gamma(beta + words[c, p], seed, it, c, p) for p in range(v)] for c in range(k)])
+            lm -= np.log(np.exp(lm).sum(1, keepdims=True))
+            if it < 3:
+                chosen = {d: int(np.argmax([lp[c] + sum(lm[c, pos[w]] for w in t.split() if w in pos)
+                                            - math.log(-math.log(uniform(seed, it + 1, d, c))) for c in range(k)])) for d, t in docs}
+        assert {r.doc_id: r.cluster for r in model.assignments().collect()} == chosen
+        for r in model.params.collect():
+            assert r.log_pi == pytest.approx(lp[r.cluster]) and r.log_mu == pytest.approx(lm[r.cluster].tolist())
+
+
+def test_sweeps_neither_shuffle_documents_nor_broadcast(spark):
+    ddf = spark.createDataFrame([(d, t) for d, t, _ in _planted(3)], "doc_id long, text string")
+    vocab = V.Vocabulary.fit(ddf, tokens_letters("text"), 100)
+    docs, blocks = TP.in_blocks(TP.doc_term_arrays(ddf, tokens_letters("text"), vocab))
+    assert docs.count() == 9 and not [t for t in spark.catalog.listTables() if t.name.startswith("sparkloom_")]
+    params = TP.draw_parameters(TP.no_counts(spark, 3), 18, 0.1, 0.1, 1, 0)
+    plan = TP.assign_step(None, params, 1, 1, blocked=(docs, blocks))._jdf.queryExecution().executedPlan().toString()
+    side = plan.split("FlatMapCoGroupsInArrow")[1].split("Exchange")[0]  # the document side comes first
+    assert "Bucketed: true" in side
+
+
+def test_clusters_come_from_the_table(spark):
+    """25 sources give 25 clusters, in the queries and in their SQL."""
+    import duckdb
+
+    from sparkloom.plans import topic_queries
+    from sparkloom.plans.oracle import ORACLE_SQL
+
+    rows = [(i, f"alpha beta gamma{i % 5} word{i % 25}", f"src{i % 25 + 3}") for i in range(100)] + [(100, "alpha beta", "none")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    made = topic_queries.table
+    topic_queries.table = lambda *_: frame
+    try:
+        for query in (topic_queries.topic_cluster_counts, topic_queries.topic_words_fixed, topic_queries.topic_assign_step):
+            df = query(spark, "")
+            columns = sorted(df.columns)
+            want = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[query.__name__]})").fetchall()
+            assert sorted(tuple(r) for r in df.select(*columns).collect()) == sorted(want)
+        assert topic_queries.topic_cluster_counts(spark, "").select("cluster").distinct().count() == 25
+    finally:
+        topic_queries.table = made
+    with pytest.raises(ValueError, match="clusters"):
+        TP.known_clusters(frame.withColumn("cluster", F.col("doc_id")), most=50)
+
+
 def test_full_grid_and_topic_words(spark):
     cells = spark.createDataFrame([(0, 0, 5), (0, 2, 1), (1, 1, 3)], "cluster int, pos int, cnt long")
     clusters = spark.createDataFrame([(0,), (1,), (2,)], "cluster int")
