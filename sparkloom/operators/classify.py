@@ -9,10 +9,10 @@ Two ways to fit, both distributed:
   :func:`ml_svm`.
 * exact batch gradient descent with the bold-driver step and the surveyed stop rules
   (:func:`fit_gd`). One aggregation per iteration: for a handful of features the partial
-  sums are JVM expressions (``Columns`` backend); for sparse text features a
-  ``mapInPandas`` kernel emits per-partition gradient cells, summed by ``groupBy(pos)``
-  into at most ``d`` rows (``Sparse`` backend). Only the weight vector (bounded by the
-  dictionary size) travels to the tasks, as a broadcast.
+  sums are JVM expressions (``Columns`` backend); for sparse text features a ``mapInArrow``
+  kernel sums each task's rows into one vector, and the vectors are merged in groups
+  (``Sparse`` backend). Only the weight vector (bounded by the dictionary size) travels to
+  the tasks, as a broadcast.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 @dataclass
@@ -97,84 +97,77 @@ class Columns:
         return float(row["loss"] or 0.0), [float(row[f"g{i}"] or 0.0) for i in range(self.d)]
 
 
-def _sparse_kernel(cfg: GDConfig, bw, d: int):
-    nr, pr = cfg.class_weights or (1.0, 1.0)
-
-    def run(batches):
-        w = bw.value
-        grad = np.zeros(d)
-        loss = 0.0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            y = pdf["y"].to_numpy(dtype=np.float64)
-            lengths = np.fromiter((len(a) for a in pdf["idx"]), dtype=np.int64, count=len(pdf))
-            idx = np.concatenate([np.asarray(a, dtype=np.int64) for a in pdf["idx"]]) if lengths.sum() else np.zeros(0, np.int64)
-            val = np.concatenate([np.asarray(a, dtype=np.float64) for a in pdf["val"]]) if lengths.sum() else np.zeros(0)
-            rows = np.repeat(np.arange(len(pdf)), lengths)
-            z = np.bincount(rows, weights=val * w[idx], minlength=len(pdf))
-            if cfg.loss == "logistic":
-                loss += float(np.sum(np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z))) - y * z))
-                coef = 1.0 / (1.0 + np.exp(-z)) - y
-            else:
-                margin = 1.0 - y * z
-                active = margin >= 0
-                if cfg.loss == "hinge":
-                    loss += float(np.sum(np.maximum(0.0, margin)))
-                    coef = np.where(active, -y, 0.0)
-                else:
-                    weight = np.where(y > 0, nr, pr)
-                    loss += float(np.dot(weight, np.maximum(0.0, margin)))
-                    coef = np.where(active, -weight * y, 0.0)
-            grad += np.bincount(idx, weights=val * coef[rows], minlength=d)
-        nz = np.nonzero(grad)[0]
-        yield pd.DataFrame({"pos": np.concatenate([[-1], nz]).astype(np.int64),
-                            "g": np.concatenate([[loss], grad[nz]])})
-
-    return run
+def loss_and_gradient(cfg: GDConfig, w: np.ndarray, y: np.ndarray, rows: np.ndarray, idx: np.ndarray, val: np.ndarray) -> tuple[float, np.ndarray]:
+    """Summed loss and gradient of some rows, given by their cells (row, position, value)."""
+    z = np.bincount(rows, weights=val * w[idx], minlength=len(y))
+    if cfg.loss == "logistic":
+        loss = float(np.sum(np.maximum(z, 0) + np.log1p(np.exp(-np.abs(z))) - y * z))
+        step = 1.0 / (1.0 + np.exp(-z)) - y
+    else:
+        positive, negative = cfg.class_weights if cfg.loss == "weighted_hinge" else (1.0, 1.0)
+        margin, weight = 1.0 - y * z, np.where(y > 0, positive, negative)
+        loss = float(np.dot(weight, np.maximum(0.0, margin)))
+        step = np.where(margin >= 0, -weight * y, 0.0)
+    return loss, np.bincount(idx, weights=val * step[rows], minlength=len(w))
+
+
+def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(labels, row, position, value) of a batch, from the flat buffers of its list columns."""
+    idx, val = batch.column("idx"), batch.column("val")
+    rows = np.repeat(np.arange(batch.num_rows), np.asarray(idx.value_lengths().fill_null(0)))
+    flat = np.asarray(idx.flatten()).astype(np.int64)
+    return np.asarray(batch.column("y")), rows, flat, np.asarray(val.flatten()).astype(np.float64)
 
 
 class Sparse:
-    """Sparse features ``idx array<int>, val array<double>``: ``mapInPandas`` partial sums."""
+    """Sparse features ``idx array<int>, val array<double>``. Each task sums its rows into one
+    vector; the vectors meet in ``_FAN`` groups, so the driver adds up at most ``_FAN`` of them,
+    however many tasks there are. NULL labels take no part."""
 
-    SCHEMA = T.StructType([T.StructField("pos", T.LongType()), T.StructField("g", T.DoubleType())])
+    _FAN = 32
+    _PARTIAL = "part int, loss double, grad array<double>"
 
     def __init__(self, data: DataFrame, d: int, label: Column, idx: str = "idx", val: str = "val",
                  checkpoint: bool = True):
         from sparkloom.session import materialize
 
-        self.data = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y"))
+        self.data = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y")).filter("y is not null")
         if checkpoint:
-            self.data = materialize(self.data)
+            # read once an iteration: dealt evenly over the session's partitions, once
+            tasks = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self.data = materialize(self.data.repartition(tasks))
         self.d = d
 
     def count(self) -> int:
         return self.data.count()
 
-    def sums(self, cfg: GDConfig, w: list[float]) -> tuple[float, list[float]]:
-        sc = self.data.sparkSession.sparkContext
-        bw = sc.broadcast(np.asarray(w, dtype=np.float64))
-        cells = self.data.mapInPandas(_sparse_kernel(cfg, bw, self.d), self.SCHEMA)
-        sums = cells.groupBy("pos").agg(F.sum("g").alias("g")).toPandas()  # at most d + 1 rows
-        bw.unpersist()
-        pos = sums["pos"].to_numpy()
-        g = sums["g"].to_numpy()
-        grad = np.zeros(self.d)
-        grad[pos[pos >= 0]] = g[pos >= 0]
-        loss = float(g[pos < 0].sum())
-        return loss, grad.tolist()
+    def sums(self, cfg: GDConfig, w) -> tuple[float, np.ndarray]:
+        shared = self.data.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=np.float64))
+        d, fan, names = self.d, self._FAN, ["part", "loss", "grad"]
 
+        def vector(part, loss, grad):
+            return [pa.array([part], pa.int32()), pa.array([loss], pa.float64()),
+                    pa.ListArray.from_arrays(pa.array([0, d], pa.int32()), pa.array(grad, pa.float64()))]
 
-# ------------------------------------------------------------------ driver loop
-def _norm(v: list[float]) -> float:
-    return math.sqrt(sum(x * x for x in v))
+        def partial(batches):
+            loss, grad = 0.0, np.zeros(d)
+            for batch in batches:
+                more, g = loss_and_gradient(cfg, shared.value, *_cells(batch))
+                loss, grad = loss + more, grad + g
+            yield pa.RecordBatch.from_arrays(vector(TaskContext.get().partitionId() % fan, loss, grad), names=names)
 
+        def merge(table):
+            grad = np.asarray(table.column("grad").combine_chunks().flatten()).reshape(-1, d).sum(0)
+            return pa.Table.from_arrays(vector(0, table.column("loss").to_numpy().sum(), grad), names=names)
 
-def _dot(a: list[float], b: list[float]) -> float:
-    acc = 0.0
-    for x, y in zip(a, b):
-        acc = acc + x * y
-    return acc
+        merged = merge(self.data.mapInArrow(partial, self._PARTIAL).groupBy("part").applyInArrow(merge, self._PARTIAL).toArrow())
+        shared.destroy()
+        return float(merged.column("loss")[0].as_py()), merged.column("grad").combine_chunks().flatten().to_numpy()
+
+
+# ------------------------------------------------------------------ driver loop
+def _norm(v: np.ndarray) -> float:
+    return math.sqrt(float(np.dot(v, v)))
 
 
 def fit_gd(backend, w0: list[float], cfg: GDConfig, n: int | None = None) -> list[tuple]:
@@ -187,7 +180,7 @@ def fit_gd(backend, w0: list[float], cfg: GDConfig, n: int | None = None) -> lis
     weighted_hinge (M17): cost = sum of class-weighted hinge, step on the summed
       subgradient, same stop rule as hinge.
     """
-    w = [float(v) for v in w0]
+    w = np.array(w0, dtype=np.float64)
     lr = cfg.lr
     old = 0.0
     if cfg.loss == "hinge" and n is None:
@@ -195,30 +188,28 @@ def fit_gd(backend, w0: list[float], cfg: GDConfig, n: int | None = None) -> lis
     trace = []
     for it in range(1, cfg.iterations + 1):
         loss, g = backend.sums(cfg, w)
+        g = np.asarray(g, dtype=np.float64)
         if cfg.loss == "logistic":
-            cost = loss + cfg.reg * _dot(w, w)
-            old_norm = _norm(w)
-            w = [w[i] - lr * (g[i] + 2.0 * cfg.reg * w[i]) for i in range(len(w))]
-            stop = abs(old_norm - _norm(w)) <= cfg.tol
+            cost = loss + cfg.reg * float(np.dot(w, w))
+            new = w - lr * (g + 2.0 * cfg.reg * w)
+            stop = abs(_norm(w) - _norm(new)) <= cfg.tol
         else:
             if cfg.loss == "hinge":
-                cost = (1.0 / (2.0 * (n * cfg.reg))) * _dot(w, w) + loss / n
-                new = [w[i] - lr * ((1.0 / (n * cfg.reg)) * w[i] + g[i] / n) for i in range(len(w))]
+                cost = (1.0 / (2.0 * (n * cfg.reg))) * float(np.dot(w, w)) + loss / n
+                new = w - lr * ((1.0 / (n * cfg.reg)) * w + g / n)
             else:
                 cost = loss
-                new = [w[i] - lr * g[i] for i in range(len(w))]
-            old_norm = math.sqrt(abs(_dot(w, w)))
-            p = math.sqrt(abs(_dot(w, new)))
-            w = new
-            stop = abs(old_norm - p) <= cfg.tol
+                new = w - lr * g
+            stop = abs(_norm(w) - math.sqrt(abs(float(np.dot(w, new))))) <= cfg.tol
+        w = new
         if stop:
-            trace.append((it, cost, *w, lr))
+            trace.append((it, cost, *w.tolist(), lr))
             break
         if cost < old or (cfg.grow_on_equal and cost == old):
             lr, old = lr * 1.05, cost
         elif cost > old:
             lr, old = lr * 0.5, cost
-        trace.append((it, cost, *w, lr))
+        trace.append((it, cost, *w.tolist(), lr))
     return trace
 
 
