@@ -107,6 +107,45 @@ def test_components(spark):
     assert got == {x: c for x, c in parent.items() if any(x in e and e[0] != e[1] for e in edges)}
 
 
+def chain(ids):
+    return [(ids[i], ids[i + 1]) for i in range(len(ids) - 1)]
+
+
+@pytest.mark.parametrize("shape, most", [("rising", 15), ("shuffled", 40), ("ring", 15), ("star", 10)])
+def test_components_in_logarithmic_rounds(spark, monkeypatch, shape, most):
+    """A component of 1 000 nodes; every written table is a round of jobs."""
+    from sparkloom.llm import components as module
+
+    ids = list(range(5, 1005))
+    if shape == "shuffled":
+        random.Random(2).shuffle(ids)
+    edges = chain(ids) + ([(ids[-1], ids[0])] if shape == "ring" else [])
+    if shape == "star":
+        edges = [(777, i) for i in ids if i != 777]
+    written = []
+    real = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df: written.append(1) or real(df))
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long").repartition(2)).collect()}
+    assert got == dict.fromkeys(ids, 5)
+    assert len(written) <= most
+
+
+def thue_morse(n):
+    out = "a"
+    while len(out) < n:
+        out += out.translate(str.maketrans("ab", "ba"))
+    return out[:n]
+
+
+def test_structured_words_do_not_meet(spark):
+    """The sequence and its complement have one polynomial hash modulo 2^64, for every base."""
+    word = thue_morse(2048)
+    pairs = [(word, word.translate(str.maketrans("ab", "ba"))), ("x" * 64 + "y", "x" * 64 + "z"), ("ab" * 4, "ba" * 4), ("a", "a" * 9)]
+    rows = [(2 * i + j, w) for i, pair in enumerate(pairs) for j, w in enumerate(pair)]
+    docs = spark.createDataFrame(rows + [(100 + d, w) for d, w in rows], "doc_id long, text string")
+    assert by_id(jj.classes(docs), *COLUMNS) == sorted([(d, 1, d % 100) for d, _ in rows] + [(100 + d, 1, d) for d, _ in rows], key=repr)
+
+
 def test_sketches_never_differ_in_more_bits_than_the_sets():
     import numpy as np
 
