@@ -52,13 +52,18 @@ def _arity(df_cols: list[str]) -> Column:
     return F.col("n_fields") == N_FIELDS if "n_fields" in df_cols else F.lit(True)
 
 
+def _number(name: str) -> Column:
+    """The column holds a number: neither NULL nor NaN (parsed text has no NaN, native columns may)."""
+    return F.col(name).isNotNull() & ~F.isnan(name)
+
+
 def well_formed(df: DataFrame, require_nonzero: bool = False) -> Column:
     """17 fields and numeric distance and fare.
 
     The surveyed job's zero test on distance compares a string with 0 and is therefore a
     no-op; ``require_nonzero=True`` applies the intended ``distance <> 0``.
     """
-    cond = _arity(df.columns) & F.col("trip_distance").isNotNull() & F.col("fare_amount").isNotNull()
+    cond = _arity(df.columns) & _number("trip_distance") & _number("fare_amount")
     if require_nonzero:
         cond = cond & (F.col("trip_distance") != 0)
     return cond
@@ -68,8 +73,8 @@ def with_time_and_total(df: DataFrame) -> Column:
     """F1 and non-zero, numeric trip time and total amount."""
     return (
         well_formed(df)
-        & F.col("trip_time_secs").isNotNull() & (F.col("trip_time_secs") != 0)
-        & F.col("total_amount").isNotNull() & (F.col("total_amount") != 0)
+        & _number("trip_time_secs") & (F.col("trip_time_secs") != 0)
+        & _number("total_amount") & (F.col("total_amount") != 0)
     )
 
 
@@ -78,7 +83,7 @@ def with_distance_and_surcharge(df: DataFrame) -> Column:
     return (
         with_time_and_total(df)
         & (F.col("trip_distance") != 0)
-        & F.col("surcharge").isNotNull() & (F.col("surcharge") != 0)
+        & _number("surcharge") & (F.col("surcharge") != 0)
     )
 
 
@@ -87,4 +92,5 @@ def in_clean_range(df: DataFrame, bounds: dict | None = None, min_tolls: float =
     cond = well_formed(df)
     for name, (lo, hi) in (bounds or F4_BOUNDS).items():
         cond = cond & F.col(name).between(lo, hi)
-    return cond & (F.col("tolls_amount") >= min_tolls)
+    # NaN is greater than any number in Spark's order
+    return cond & _number("tolls_amount") & (F.col("tolls_amount") >= min_tolls)

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.operators.ranking import numbered
+
 RATE_DIGITS = 9
 
 
@@ -78,8 +80,7 @@ def false_positives(
 def cluster_sizes(assign: DataFrame, cluster: str = "cluster") -> DataFrame:
     """A18 + T10: ``(cluster, n_docs, size_rank)``, rank 1 = largest (ties by cluster)."""
     sizes = assign.groupBy(cluster).agg(F.count(F.lit(1)).alias("n_docs"))
-    rank = F.row_number().over(Window.orderBy(F.col("n_docs").desc(), F.col(cluster).asc()))
-    return sizes.withColumn("size_rank", rank.cast("long"))
+    return numbered(sizes, [F.col("n_docs").desc(), F.col(cluster).asc()], "size_rank")
 
 
 def cluster_label_top(

@@ -14,6 +14,7 @@ from sparkloom.functions import clean
 from sparkloom.functions.text import hour_text
 
 RATIO_DIGITS = 9
+EXACT = "decimal(28,10)"  # of a summand; its sums have 38 digits
 
 
 def top_n(df: DataFrame, value: str, key: str, n: int = 10) -> DataFrame:
@@ -29,9 +30,15 @@ def ratio_of_sums(
     df: DataFrame, key: str, numerator: str, denominator: str, name: str, denominator_scale: float = 1.0,
     digits: int = RATIO_DIGITS,
 ) -> DataFrame:
-    """``sum(numerator) / (sum(denominator) / denominator_scale)`` per key, rounded."""
+    """``sum(numerator) / (sum(denominator) / denominator_scale)`` per key, rounded.
+
+    Summands are taken to ten decimals, and their sums are exact: the result depends neither on
+    the order of the rows nor on how they are partitioned, and small summands survive beside
+    large ones. Values that are not finite or have 19 digits before the point are left out.
+    """
+    above, below = (F.sum(F.col(c).try_cast(EXACT)).cast("double") for c in (numerator, denominator))
     # a key whose denominators sum to zero has no ratio: NULL, which ranks last
-    ratio = F.try_divide(F.sum(numerator), F.sum(denominator) / F.lit(float(denominator_scale)))
+    ratio = F.try_divide(above, below / F.lit(float(denominator_scale)))
     return df.groupBy(key).agg(F.round(ratio, digits).alias(name))
 
 

@@ -183,14 +183,19 @@ def draw_parameters(counts: DataFrame, v: int, alpha: float, beta: float, seed:
             words = words - (words.max() + np.log(np.exp(words - words.max()).sum()))
         return pa.table({"cluster": pa.array([cluster], pa.int32()), "log_pi": g[:1], "log_mu": pa.array([words.tolist()], pa.list_(pa.float64()))})
 
-    # a number of its own, so that adaptive execution does not merge the draws into one task
-    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counts.repartition(tasks, "cluster").groupBy("cluster").applyInArrow(draw, "cluster int, log_pi double, log_mu array<double>")
+    return counts.groupBy("cluster").applyInArrow(draw, "cluster int, log_pi double, log_mu array<double>")
+
+
+def _by_cluster(cells: DataFrame) -> DataFrame:
+    """Cells dealt by cluster, once for their sums and for the draws. The number of partitions is
+    given, so that adaptive execution does not merge the draws into one task; a block's cells
+    are summed already, so there is nothing to add up before the exchange."""
+    return cells.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cluster")
 
 
 def no_counts(spark, k: int) -> DataFrame:
     """The counts of ``k`` clusters before any document is assigned."""
-    return spark.range(k).select(F.col("id").cast("int").alias("cluster"), F.lit(PI).alias("pos"), F.lit(0).cast("long").alias("cnt"))
+    return _by_cluster(spark.range(k).select(F.col("id").cast("int").alias("cluster"), F.lit(PI).alias("pos"), F.lit(0).cast("long").alias("cnt")))
 
 
 @dataclass
@@ -231,7 +236,7 @@ def fit_gibbs(doc_arrays: DataFrame, vocab: V.Vocabulary, k: int = 20, alpha: fl
     params = used = materialize(draw_parameters(no_counts(spark, k), v, alpha, beta, seed, 0, fixed_pi))
     for it in range(1, iterations + 1):
         cells = _met(docs, blocks, params, seed, it, run, "cluster int, pos int, cnt long")
-        counts = cells.groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt"))
+        counts = _by_cluster(cells).groupBy("cluster", "pos").agg(F.sum("cnt").alias("cnt"))
         used, params = params, materialize(draw_parameters(counts, v, alpha, beta, seed, it, fixed_pi))
     return GibbsModel(params, used, vocab, seed, iterations, (docs, blocks))
 

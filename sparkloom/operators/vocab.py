@@ -5,22 +5,23 @@ Everything stays in *long* form — ``(doc_id, pos, value)`` rows — instead of
 
 Shuffle budget of a TF-IDF build:
   1. ``groupBy(word)`` for corpus counts; map-side partial aggregation absorbs hot words.
-  2. top-k: TakeOrderedAndProject keeps k rows per partition; the vocabulary is bounded by
-     ``k``; Spark broadcasts it when its measured bytes allow.
-  3. ``groupBy(doc_id, pos)``: all tokens of a document come from one input row, so the
-     partial aggregate is already complete before the exchange; only (doc, pos, cnt)
-     cells cross the network.
-  4. the per-document total (window on ``doc_id``) and ``groupBy(pos)`` for document
-     frequency, both over aggregated cells.
+  2. top-k: histograms of the counts find the cut and only words tied at it are sorted; the
+     vocabulary is bounded by ``k``; Spark broadcasts it when its measured bytes allow.
+  3. the words of a document are counted inside its row (Arrow batches), without an exchange.
+  4. one clustering of the aggregated cells by ``doc_id`` gives the per-document totals (a
+     window); ``groupBy(pos)`` of the same cells gives the document frequency.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def explode_tokens(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, word)``, one row per token occurrence."""
     return docs.select(F.col(id_col), F.explode(tokens).alias("word"))
@@ -29,12 +30,24 @@ def explode_tokens(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> D
 def bag_of_words(docs: DataFrame, tokens: Column, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, word, cnt)``: the corpus tokenised once, counted per document.
 
-    All tokens of a document come from one row, so the partial aggregate before the
-    exchange is already complete per document. Every later step (vocabulary, term counts,
-    document frequency) derives from this one table, so within a plan Spark reuses its
-    exchange (ReuseExchange) instead of tokenising the corpus again.
+    All tokens of a document come from one row, so they are counted inside it, in Arrow batches,
+    and no (document, word) cell is exchanged; every row is a document of its own. Later steps
+    (vocabulary, term counts, document frequency) derive from this one table.
     """
-    return explode_tokens(docs, tokens, id_col).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("cnt"))
+    rows = docs.select(F.col(id_col), tokens.alias("words"))
+
+    def count(batches):
+        for batch in batches:
+            words = batch.column(1)
+            owner = np.repeat(np.arange(batch.num_rows), np.asarray(words.value_lengths().fill_null(0)))
+            coded = words.flatten().dictionary_encode()
+            size = max(len(coded.dictionary), 1)
+            cells, n = np.unique(owner * size + np.asarray(coded.indices), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(cells // size)), coded.dictionary.take(pa.array(cells % size)), pa.array(n, pa.int64())],
+                names=[id_col, "word", "cnt"])
+
+    return rows.mapInArrow(count, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, word string, cnt long")
 
 
 def word_counts(docs: DataFrame, tokens: Column) -> DataFrame:
@@ -47,13 +60,24 @@ def word_counts(docs: DataFrame, tokens: Column) -> DataFrame:
 
 
 def top_k(counts: DataFrame, k: int, value: str = "count", key: str = "word") -> DataFrame:
-    """The ``k`` largest rows by ``value``, ties broken by ``key``; adds ``pos`` 0..k-1.
+    """The ``k`` largest rows by ``value`` (positive longs), ties broken by ``key``; adds ``pos``
+    0..k-1.
 
-    The limit runs as TakeOrderedAndProject (no global sort); the positional window then
-    runs over at most ``k`` rows.
+    Histograms find the k-th largest value; the rows above it are kept as they are, only the
+    rows equal to it are put in order to fill up. The positional window then runs over at most
+    ``k`` rows.
     """
+    from sparkloom.operators.ranking import kth_largest, numbered
+    from sparkloom.session import materialize
+
     order = [F.col(value).desc(), F.col(key).asc()]
-    top = counts.orderBy(*order).limit(k)
+    counts = materialize(counts)
+    cut = kth_largest(counts, value, k)
+    top = counts
+    if cut is not None:
+        least, above = cut
+        ties = numbered(counts.filter(F.col(value) == least), [F.col(key).asc()], "__tie").filter(F.col("__tie") <= k - above)
+        top = counts.filter(F.col(value) > least).unionByName(ties.drop("__tie"))
     return top.withColumn("pos", (F.row_number().over(Window.orderBy(*order)) - 1).cast("int"))
 
 
@@ -114,8 +138,7 @@ def presence(doc_terms: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def document_frequency(doc_terms: DataFrame) -> DataFrame:
     """``(pos, df)``: number of documents containing each dictionary word.
 
-    Counts non-null ``cnt`` (= rows) so the plan keeps the same bag-of-words columns as the
-    other branches and shares their exchange.
+    Counts non-null ``cnt`` (= rows): every cell is one document's.
     """
     return doc_terms.groupBy("pos").agg(F.count("cnt").alias("df"))
 

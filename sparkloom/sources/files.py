@@ -59,9 +59,9 @@ def read_wiki_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_category_links(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Quoted ``"ID","CATEGORY"`` CSV -> ``doc_id, category`` (extra fields ignored)."""
-    df = spark.read.option("quote", '"').option("header", "false").csv(path)
-    return df.select(F.col("_c0").alias("doc_id"), F.col("_c1").alias("category"))
+    """Quoted ``"ID","CATEGORY"`` CSV -> ``doc_id, category``, with the schema given, so the
+    input is read once and no type is guessed (extra fields ignored, a missing one is NULL)."""
+    return spark.read.schema("doc_id string, category string").option("quote", '"').option("header", "false").csv(path)
 
 
 def parse_assignments(lines: DataFrame, value: str = "value") -> DataFrame:

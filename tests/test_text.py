@@ -114,3 +114,28 @@ def test_sorted_assignments(spark, tmp_path):
     parts = sorted(glob.glob(str(tmp_path / "sorted" / "part-*")))
     rows = [tuple(r) for p in parts for r in spark.read.parquet(p).collect()]
     assert rows == sorted(rows) and len(rows) == 30
+
+
+def test_bz2_files_and_directories_of_part_files(spark, tmp_path):
+    """Compressed input, and several part files read as one table."""
+    import bz2
+    import shutil
+
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for i, name in enumerate(("trips.csv", "trips.csv")):
+        with open(fixture_path(name), "rb") as source:
+            (folder / f"part-{i:05d}.bz2").write_bytes(bz2.compress(source.read()))
+    one = sorted(map(repr, files.read_trips(spark, fixture_path("trips.csv")).collect()))
+    assert sorted(map(repr, files.read_trips(spark, str(folder / "part-00000.bz2")).collect())) == one
+    assert sorted(map(repr, files.read_trips(spark, str(folder)).collect())) == sorted(2 * one)
+    shutil.copy(fixture_path("trips.csv"), folder / "part-00002")
+    assert files.read_lines(spark, str(folder)).count() == 3 * len(one)
+
+
+def test_category_links_have_a_given_schema(spark, tmp_path):
+    path = tmp_path / "links.csv"
+    path.write_text('"007","A, b"\n"8","c","extra"\n"9"\n')
+    df = files.read_category_links(spark, str(path))
+    assert df.dtypes == [("doc_id", "string"), ("category", "string")]
+    assert sorted((r.doc_id, r.category or "") for r in df.collect()) == [("007", "A, b"), ("8", "c"), ("9", "")]

@@ -107,3 +107,23 @@ def test_zero_denominators_and_nan(spark):
     line = clean.parse_trip_lines(spark.createDataFrame([(",".join(fields),)], "value string"))
     assert line.filter(clean.with_time_and_total(line)).count() == 0
     assert line.filter(clean.in_clean_range(line)).count() == 0
+
+
+def test_exact_ratios_under_any_partitioning(spark):
+    """1e16 swallows 1 in a double; the order of the rows must not decide what is left."""
+    rows = [("a", x, 1.0) for x in (1e16, 1.0, -1e16, 0.1, 0.2) * 3] + [("b", 1.0, 0.0), ("c", float("inf"), 2.0), ("c", 3.0, 2.0)]
+    want = {"a": round(3.9 / 15, 9), "b": None, "c": 0.75}
+    for n in (1, 2, 7):
+        df = spark.createDataFrame(rows, "key string, up double, down double").repartition(n)
+        assert {r.key: r.ratio for r in reports.ratio_of_sums(df, "key", "up", "down", "ratio").collect()} == want
+
+
+def test_nan_of_native_columns_is_rejected(spark):
+    names = ["trip_distance", "fare_amount", "trip_time_secs", "total_amount", "surcharge", "tolls_amount"]
+    good = [2.0, 5.0, 300.0, 9.0, 1.0, 4.0]
+    rows = [("ok", *good)] + [(name, *[float("nan") if n == name else x for n, x in zip(names, good)]) for name in names]
+    df = spark.createDataFrame(rows, "medallion string, " + ", ".join(f"{n} double" for n in names))
+    assert _kept(df, clean.well_formed(df)) == ["ok", "surcharge", "tolls_amount", "total_amount", "trip_time_secs"]
+    assert _kept(df, clean.with_time_and_total(df)) == ["ok", "surcharge", "tolls_amount"]
+    assert _kept(df, clean.with_distance_and_surcharge(df)) == ["ok", "tolls_amount"]
+    assert _kept(df, clean.in_clean_range(df)) == ["ok", "surcharge", "total_amount"]

@@ -99,3 +99,12 @@ def test_local_model_equals_lazy_model(spark, train):
     a = sorted(tuple(r) for r in model.transform(train, tokens_letters("text")).collect())
     b = sorted(tuple(r) for r in local.transform(train, tokens_letters("text")).collect())
     assert a == b
+
+
+def test_bag_of_words_is_counted_inside_the_row(spark, train):
+    docs = train.unionByName(spark.createDataFrame([(6, None), (7, "")], "doc_id long, text string")).repartition(3)
+    bow = V.bag_of_words(docs, tokens_letters("text"))
+    assert "Exchange" not in V.bag_of_words(train, tokens_letters("text"))._jdf.queryExecution().executedPlan().toString()
+    want = {(d, w): n for d, t in TRAIN for w, n in Counter(_tok(t)).items()}
+    assert {(r.doc_id, r.word): r.cnt for r in bow.collect()} == want and bow.count() == len(want)
+    assert V.bag_of_words(train.limit(0), tokens_letters("text")).count() == 0
