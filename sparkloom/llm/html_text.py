@@ -8,8 +8,10 @@ own line, paragraphs, headings, lists and tables keep a blank line around them,
 bullets or numbers and indentation, preformatted text keeps its spacing, and table cells are
 aligned in columns.
 
-Each page is rendered on its own in Arrow batches. Nesting beyond ``DEPTH`` continues as
-siblings, as in browsers. Empty and edge input: NULL gives NULL, empty input and pages without
+Text of drawings and formulas is shown but for their titles and descriptions. Each page is
+rendered on its own in Arrow batches. Nesting beyond ``DEPTH`` continues as siblings, as in
+browsers; what is hidden stays hidden there. A table that already has the output column is
+refused by name. Empty and edge input: NULL gives NULL, empty input and pages without
 visible text give the empty string, repeated rows are each answered.
 """
 
@@ -24,11 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from sparkloom.llm.tables import extended
+from sparkloom.llm.tables import extended, refuse_clash
 
 DEPTH = 400
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template noscript title iframe object canvas audio video svg math datalist".split())
+HIDDEN = set("head script style template noscript title iframe object canvas audio video datalist".split())
+# parts of drawings and formulas that are not shown, unlike their other text
+FOREIGN, FOREIGN_HIDDEN = {"svg", "math"}, set("desc defs metadata annotation annotation-xml".split())
+# the only start tags that leave a head open
+IN_HEAD = set("base basefont bgsound link meta title noscript noframes style script template head".split())
 RAW = set("script style textarea title xmp iframe noscript".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure address fieldset hr".split())
 BLOCK = SPACED | set(
@@ -60,6 +66,7 @@ class Node:
     tag: str
     attrs: dict[str, str]
     children: list = field(default_factory=list)
+    off: bool = False  # it, or an element around it, is not shown
 
 
 def build(source: str) -> Node:
@@ -112,12 +119,16 @@ def _close(stack, tags, until):
 def _start(stack, node):
     if node.tag in CLOSES:
         _close(stack, *CLOSES[node.tag])
-    elif stack[-1].tag == "head" and node.tag in BLOCK:
+    elif stack[-1].tag == "head" and node.tag not in IN_HEAD:
         stack.pop()
     if node.tag in BLOCK - {"li", "dt", "dd", "td", "th", "tr", "option"}:
         _close(stack, {"p"}, _SCOPE)
+    if node.tag in FOREIGN_HIDDEN and any(n.tag in FOREIGN for n in stack):
+        node.attrs["hidden"] = ""
+    node.off = stack[-1].off or hidden(node)
     stack[-1].children.append(node)
-    if node.tag not in VOID and len(stack) < DEPTH:
+    # what is not shown keeps its own nesting at any depth: it is never rendered
+    if node.tag not in VOID and (len(stack) < DEPTH or node.off):
         stack.append(node)
 
 
@@ -177,8 +188,14 @@ class Lines:
         self.gap = True
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    found = re.match(r"\s*(\d{1,6})", cell.attrs.get(name, ""), re.A)
+    return min(max(int(found[1]), 1), most) if found else 1
+
+
 def _table(node: Node) -> list[str]:
-    """Rows of cells, each cell rendered on its own, padded to its column's width."""
+    """Rows of cells, each cell rendered on its own, padded to its column's width. Columns that
+    a cell of an earlier row spans stay free."""
     captions, rows, todo = [], [], list(reversed(node.children))
     loose = []
     while todo:
@@ -198,18 +215,21 @@ def _table(node: Node) -> list[str]:
             rows.append([x])
         else:
             loose.append(x)
-    grid, width = [], []
+    grid, width, taken = [], [], {}  # taken: rows that a column is still spanned for
     for row in rows:
-        cells, column = [], 0
+        cells, column, spans = [], 0, {}
         for cell in row:
-            lines = lines_of(cell.children)
-            span = cell.attrs.get("colspan", "1")
-            span = min(max(int(span), 1), 50) if span.isascii() and span.isdigit() else 1
+            while taken.get(column, 0) > 0:
+                column += 1
+            lines, span = lines_of(cell.children), _span(cell, "colspan", 50)
             cells.append((column, lines))
             if span == 1:
                 width += [0] * (column + 1 - len(width))
                 width[column] = max([width[column], *map(len, lines)])
+            below = _span(cell, "rowspan", len(rows)) - 1
+            spans.update({c: below for c in range(column, column + span) if below})
             column += span
+        taken = {c: n - 1 for c, n in taken.items() if n > 1} | spans
         grid.append(cells)
     out = lines_of(loose) + captions
     for cells in grid:
@@ -295,6 +315,7 @@ def render(source: str) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
     """``pages`` with ``out_col`` in the place of ``html_col``."""
+    refuse_clash(pages.drop(html_col), out_col)
     at = pages.columns.index(html_col)
     schema = extended(StructType([f for f in pages.schema if f.name != html_col]), **{out_col: "string"})
     names = schema.names

@@ -30,6 +30,13 @@ CASES = {
     "<dl><dt>t<dd>d</dl>": "t\n  d",
     "<p>a</b></p></div>b": "a\n\nb",
     "<textarea> <b> </textarea>": "<b>",
+    "a <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><text>drawn</text></svg> b": "a drawn b",
+    "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math><desc>y</desc>": "x=2y",
+    "<head><title>t</title><a href=x>link</a> after": "link after",
+    "<head><meta charset=x><span>s</span><p>p": "s\n\np",
+    "<table><tr><td rowspan=2>both<td>1<tr><td>2<tr><td>x<td>3</table>": "both  1\n      2\nx     3",
+    "<table><tr><td>a<td rowspan=3 colspan=2>bc<td>d<tr><td>e<td>f<tr><td>g</table>": "a  bc  d\ne      f\ng",
+    "<table><tr><td rowspan=99999999999>a<td rowspan=x>b<tr><td>c</table>": "a  b\n   c",
 }
 
 
@@ -51,6 +58,14 @@ def test_deep_and_long():
     assert render("<table><tr><td>" * 300 + "in").endswith("in")
 
 
+def test_hidden_text_stays_hidden_at_any_depth():
+    inner = "<p hidden>SECRET<b>SECRET</b></p><div hidden><div>SECRET</div>SECRET</div><template><i>SECRET</i></template>seen"
+    for depth in (10, 398, 399, 400, 401, 700):
+        got = render("<div>" * depth + inner + "</div>" * depth + "end")
+        assert "SECRET" not in got and "seen" in got and got.endswith("end")
+    assert render("<div hidden>" * 3000 + "SECRET" + "</div>" * 3000 + "end") == "end"
+
+
 def test_query(spark):
     got = {r.page_id: r.text for r in op10_html_text(spark, SF).collect()}
     pages = dict(table("pages", columns="page_id, html"))
@@ -69,3 +84,5 @@ def test_edges(spark):
     assert out.columns == ["page_id", "extra", "text"]
     assert sorted(map(repr, ((r.page_id, r.text) for r in out.collect()))) == sorted(map(repr, [(1, None), (2, ""), (2, ""), (None, "x")]))
     assert extract(pages.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="text"):
+        extract(pages.withColumnRenamed("extra", "Text"))
