@@ -121,8 +121,8 @@ def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 class Sparse:
     """Sparse features ``idx array<int>, val array<double>``. Each task sums its rows into one
-    vector; the vectors meet in ``_FAN`` groups, so the driver adds up at most ``_FAN`` of them,
-    however many tasks there are. NULL labels take no part."""
+    vector; the vectors of more than ``_FAN`` tasks meet in ``_FAN`` groups first, so the driver
+    adds up at most ``_FAN`` of them. NULL labels take no part."""
 
     _FAN = 32
     _PARTIAL = "part int, loss double, grad array<double>"
@@ -134,8 +134,9 @@ class Sparse:
         self.data = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y")).filter("y is not null")
         if checkpoint:
             # read once an iteration: dealt evenly over the session's partitions, once
-            tasks = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            self.data = materialize(self.data.repartition(tasks))
+            partitions = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            self.data = materialize(self.data.repartition(partitions))
+        self.tasks = self.data.select(F.spark_partition_id().alias("p")).distinct().count()
         self.d = d
 
     def count(self) -> int:
@@ -160,7 +161,10 @@ class Sparse:
             grad = np.asarray(table.column("grad").combine_chunks().flatten()).reshape(-1, d).sum(0)
             return pa.Table.from_arrays(vector(0, table.column("loss").to_numpy().sum(), grad), names=names)
 
-        merged = merge(self.data.mapInArrow(partial, self._PARTIAL).groupBy("part").applyInArrow(merge, self._PARTIAL).toArrow())
+        partials = self.data.mapInArrow(partial, self._PARTIAL)
+        if self.tasks > fan:
+            partials = partials.groupBy("part").applyInArrow(merge, self._PARTIAL)
+        merged = merge(partials.toArrow())
         shared.destroy()
         return float(merged.column("loss")[0].as_py()), merged.column("grad").combine_chunks().flatten().to_numpy()
 

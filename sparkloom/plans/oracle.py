@@ -457,6 +457,46 @@ ORACLE_SQL["logreg_gd_fixed_iters"] = gd_classifier_sql("logistic", 1e-3, 5, 1e-
 ORACLE_SQL["svm_gd_fixed_iters"] = gd_classifier_sql("hinge", 0.5, 5, 100.0, 5e-5, False)
 ORACLE_SQL["svm_weighted_gd_fixed_iters"] = gd_classifier_sql("weighted_hinge", 1.0, 5, 0.0, 5e-5, False)
 
+
+
+def svm_descent_sql(weighted: bool, lr: float, most: int, reg: float, tol: float, d: int = 64) -> str:
+    """Hinge descent to its stop rule or ``most`` iterations, as a recursion over one row of
+    state (the weights as a list)."""
+    weight = "(CASE WHEN y > 0 THEN nr ELSE pr END)" if weighted else "1.0::DOUBLE"
+    sums = ", ".join(f"sum(step * x[{i}])" for i in range(1, d + 1))
+    cost = "loss" if weighted else f"(1.0::DOUBLE / (2.0::DOUBLE * (n * {dbl(reg)}))) * list_dot_product(w, w) + loss / n"
+    new = "w[i] - lr * g[i]" if weighted else f"w[i] - lr * ((1.0::DOUBLE / (n * {dbl(reg)})) * w[i] + g[i] / n)"
+    return f"""
+WITH RECURSIVE data AS MATERIALIZED (
+  SELECT list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x, CASE WHEN label >= 5 THEN 1.0 ELSE -1.0 END::DOUBLE AS y
+  FROM embeddings WHERE embedding IS NOT NULL),
+cnt AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n,
+  avg(CASE WHEN label >= 5 THEN 0.0 ELSE 1.0 END)::DOUBLE AS nr, avg(CASE WHEN label >= 5 THEN 1.0 ELSE 0.0 END)::DOUBLE AS pr FROM embeddings),
+state AS (
+  SELECT 0::BIGINT AS it, list_transform(range({d}), lambda i: {dbl(0.1)}) AS w, {dbl(lr)} AS lr, {dbl(0.0)} AS old,
+         {dbl(0.0)} AS cost, false AS done
+  UNION ALL
+  SELECT it, new, CASE WHEN stop THEN lr WHEN cost < old THEN lr * {dbl(1.05)} WHEN cost > old THEN lr * {dbl(0.5)} ELSE lr END,
+         CASE WHEN stop THEN old ELSE cost END, cost, stop
+  FROM (SELECT *, abs(sqrt(abs(list_dot_product(w, w))) - sqrt(abs(list_dot_product(w, new)))) <= {dbl(tol)} AS stop
+        FROM (SELECT it + 1 AS it, w, lr, old, {cost} AS cost,
+                     list_transform(range(1, {d + 1}), lambda i: {new}) AS new
+              FROM (SELECT it, any_value(w) AS w, any_value(lr) AS lr, any_value(old) AS old, any_value(n) AS n,
+                           sum(hinge) AS loss, [{sums}] AS g
+                    FROM (SELECT *, {weight} * greatest(0.0::DOUBLE, margin) AS hinge,
+                                 CASE WHEN margin >= 0 THEN -{weight} * y ELSE 0.0::DOUBLE END AS step
+                          FROM (SELECT s.it, s.w, s.lr, s.old, c.n, c.nr, c.pr, t.x, t.y,
+                                       1.0::DOUBLE - t.y * list_dot_product(t.x, s.w) AS margin
+                                FROM state s CROSS JOIN cnt c CROSS JOIN data t WHERE NOT s.done AND s.it < {most}))
+                    GROUP BY it))))
+SELECT it AS iteration, round(cost, 6) AS cost, {", ".join(f"round(w[{i}], 6) AS w{i}" for i in range(1, d + 1))}, lr AS learning_rate
+FROM state WHERE it > 0
+"""
+
+
+ORACLE_SQL["svm_gd"] = svm_descent_sql(False, 0.5, 300, 100.0, 5e-5)
+ORACLE_SQL["svm_weighted_gd"] = svm_descent_sql(True, 1.0, 300, 0.0, 5e-5)
+
 # ---------------------------------------------------------------- evaluation
 _SCORED = f"""
 scored AS (

@@ -126,13 +126,18 @@ def test_gd_first_step_matches_numpy_and_finite_difference(two_class, loss):
     assert ys is not None
 
 
-def test_sparse_backend_equals_dense_backend(spark, two_class):
+@pytest.mark.parametrize("fan", [2, 32])
+def test_sparse_backend_equals_dense_backend(spark, two_class, monkeypatch, fan):
+    """With the vectors of all tasks at the driver, and merged in two groups first."""
+    monkeypatch.setattr(C.Sparse, "_FAN", fan)
     df, _, _ = two_class
     sparse = df.select(F.array(F.lit(0), F.lit(1), F.lit(2)).alias("idx"),
                        F.array("a", "b", "c").alias("val"), "y")
     cfg = C.GDConfig(loss="logistic", lr=0.05, iterations=15, reg=1e-3, tol=1e-9)
     a = C.fit_gd(C.Columns(df, [F.col("a"), F.col("b"), F.col("c")], F.col("y")), [0.1] * 3, cfg)
-    b = C.fit_gd(C.Sparse(sparse, 3, F.col("y")), [0.1] * 3, cfg)
+    backend = C.Sparse(sparse, 3, F.col("y"))
+    assert backend.tasks > 2
+    b = C.fit_gd(backend, [0.1] * 3, cfg)
     assert len(a) == len(b)
     for ra, rb in zip(a, b):
         assert list(ra) == pytest.approx(list(rb), rel=1e-9, abs=1e-12)
