@@ -76,4 +76,54 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORD
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLE_SQL = {"op1_decontaminate": OP1, "op12_fill_middle": OP12, "op13_source_divergence": OP13}
+_PLAIN_WORDS = "regexp_extract_all({t}, '[^\\x20\\x09-\\x0D]+')"
+
+OP4 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, {_PLAIN_WORDS.format(t="t")} AS w FROM d),
+line AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+lines AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup FROM line
+          WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+p AS (SELECT r, w, unnest(range(1, len(w) - 6)) AS s FROM w WHERE len(w) >= 8),
+win AS (SELECT r, s, array_to_string(w[s : s + 7], ' ') AS k FROM p),
+again AS (SELECT r, unnest(range(s, s + 8)) AS x FROM (SELECT *, count(*) OVER (PARTITION BY r, k) AS m FROM win) WHERE m > 1),
+rep AS (SELECT r, count(DISTINCT x) AS n_repeat FROM again GROUP BY r),
+m AS (SELECT w.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+             coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+             len(regexp_extract_all(t, '[A-Za-z]|[^\\x00-\\x7F]')) AS n_letters,
+             len(regexp_extract_all(t, '[A-Z]')) AS n_upper, len(regexp_extract_all(t, '!')) AS n_exclaim
+      FROM w LEFT JOIN lines USING (r) LEFT JOIN rep USING (r)),
+b AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
+        + CASE WHEN 100 * n_symbols > 25 * n_words THEN 4 ELSE 0 END
+        + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+        + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END
+        + CASE WHEN 100 * n_letters < 60 * word_chars THEN 32 ELSE 0 END
+        + CASE WHEN 100 * n_upper > 50 * n_letters AND n_letters > 0 THEN 64 ELSE 0 END
+        + CASE WHEN 100 * n_exclaim > 30 * n_words THEN 128 ELSE 0 END AS bits FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, bits % 4 > 0 AS base_failed, bits = 0 AS kept,
+       CAST(bits AS BIGINT) AS fail_bits
+FROM b
+"""
+
+OP7 = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, {_PLAIN_WORDS.format(t="translate(coalesce(text, ''), '" + _UPPER + "', '" + _UPPER.lower() + "')")} AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL) p
+  JOIN n nx ON nx.doc_id = p.x JOIN n ny ON ny.doc_id = p.y WHERE 100 * p.c >= 85 * (nx.n + ny.n - p.c)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id
+LEFT JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) c ON c.x = d.doc_id
+"""
+
+ORACLE_SQL = {
+    "op1_decontaminate": OP1, "op4_quality_rules": OP4, "op7_jaccard_join": OP7,
+    "op12_fill_middle": OP12, "op13_source_divergence": OP13,
+}
