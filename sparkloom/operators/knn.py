@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SCORE_DIGITS = 9
@@ -218,7 +218,7 @@ def _top_k(kind, candidates: DataFrame, queries: DataFrame, cells: str, k: int,
     candidates, n_rows = _blocked(candidates.filter(F.col("category").isNotNull()), cells, block_cells)
     queries, n_queries = _blocked(queries, cells, block_cells)
 
-    def every(n: int) -> "F.Column":
+    def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     left = candidates.withColumn("row_block", F.pmod(F.xxhash64("id", "category"), F.lit(n_rows)).cast("int")).withColumn("query_block", every(n_queries))
