@@ -18,6 +18,7 @@ Two ways to fit, both distributed:
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -233,14 +234,23 @@ def predict(scored_z: Column, rule: str = "ge0", positive=1, negative=0) -> Colu
 # ------------------------------------------------------------------ pyspark.ml forms
 def _fit(estimator_of, train: DataFrame):
     """Fit on the cached training rows in the partitions they come in; how many those are is
-    the caller's (or the session's) choice. ``estimator_of(n)`` gets the number of rows."""
+    the caller's (or the session's) choice. ``estimator_of(n)`` gets the number of rows.
+
+    The model is written to the checkpoint folder and read back: as fitted it refers to its
+    training summary and so to the session, which tasks cannot be sent once anything in the
+    session has used an ``Observation``."""
     from pyspark import StorageLevel
 
+    from sparkloom.session import scratch_table_path
+
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return estimator_of(cached.count()).fit(cached)
+        model = estimator_of(cached.count()).fit(cached)
     finally:
         cached.unpersist()
+    path = scratch_table_path(train.sparkSession, uuid.uuid4().hex)
+    model.write().save(path)
+    return type(model).load(path)
 
 
 def ml_logistic(train: DataFrame, max_iter: int = 200, reg_param: float = 0.0, features: str = "features",

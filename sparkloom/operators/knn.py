@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCORE_DIGITS = 9
@@ -204,12 +204,14 @@ def _meet(kind, k: int, cosine: bool, digits: int):
 
 
 def _blocked(rows: DataFrame, cells: str, block_cells: int) -> tuple[DataFrame, int]:
-    """``rows`` written once, and the number of blocks of about ``block_cells`` cells in them."""
+    """``rows`` written once, and the number of blocks of about ``block_cells`` cells in them. They
+    are counted on the written table: an ``Observation`` would leave the session with a manager
+    that cannot be serialized, and ``pyspark.ml`` models with a training summary refer to it."""
     from sparkloom.session import materialize
 
-    seen = Observation()
-    written = materialize(rows.observe(seen, F.coalesce(F.sum(F.size(cells)), F.lit(0)).alias("cells")))
-    return written, max(1, -(-seen.get["cells"] // block_cells))
+    written = materialize(rows)
+    n = written.agg(F.coalesce(F.sum(F.size(cells)), F.lit(0)).alias("cells")).first()["cells"]
+    return written, max(1, -(-n // block_cells))
 
 
 def _top_k(kind, candidates: DataFrame, queries: DataFrame, cells: str, k: int, metric: str, digits: int, block_cells: int) -> DataFrame:

@@ -211,3 +211,20 @@ def test_svm_descents_run_to_their_end(spark, name):
     assert len(got) == len(ref) > 5
     for r, t in zip(got, ref):
         assert list(r[1:-1]) == pytest.approx(list(t), rel=1e-4, abs=2e-5)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "svm"])
+def test_fitted_models_predict_in_a_session_with_observations(spark, two_class, kind):
+    """A training summary refers to the session, which cannot be sent to tasks once observed."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Observation
+
+    df, x, _ = two_class
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == len(x)
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).withColumnRenamed("y", "label")
+    model = C.ml_logistic(data, max_iter=20) if kind == "logistic" else C.ml_svm(data, reg_param=0.0, max_iter=20)
+    z = x @ model.coefficients.toArray()
+    got = [r["prediction"] for r in model.transform(data).select("prediction").collect()]
+    assert got == [float(v > 0) for v in z]
