@@ -234,3 +234,32 @@ def test_presence_rate_by_class(spark):
            E.presence_rate_by_class(docs, tokens_letters("text"), ["cat", "dog", "emu"]).collect()}
     assert out[("cat", 1)] == 1.0 and out[("dog", 1)] == 0.5 and out[("dog", 0)] == 0.5
     assert out[("cat", 0)] == 0.0 and out[("emu", 1)] == 0.0
+
+
+def test_blocks_follow_cells_and_cores_not_shuffle_partitions(spark, monkeypatch):
+    rows = spark.range(40).selectExpr("id AS doc_id", "array(0, 1, 2) AS idx", "array(1L, 1L, 2L) AS cnt")
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert len(TP.in_blocks(rows)[1]) == 1
+        monkeypatch.setattr(TP, "LEAST_CELLS", 10)
+        assert len(TP.in_blocks(rows)[1]) == cores
+        monkeypatch.setattr(TP, "MOST_CELLS", 20)
+        docs, keys = TP.in_blocks(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(set(keys)) == len(keys) == 8 and docs.count() == 40
+    dealt = spark.createDataFrame([(k,) for k in keys], "k int").repartition(8, "k").select(F.spark_partition_id().alias("p"))
+    assert dealt.distinct().count() == 8
+
+
+def test_counts_of_many_blocks_are_merged(spark, monkeypatch):
+    rows = [(0, [TP.PI, 0, 2], [3, 1, 4]), (0, [TP.PI, 2], [1, 5]), (1, [TP.PI], [0])]
+    counts = spark.createDataFrame(rows, TP.COUNTS).repartition(3)
+    monkeypatch.setattr(TP, "FAN", 2)
+
+    def drawn(c):
+        return sorted((r.cluster, r.log_pi, tuple(r.log_mu)) for r in TP.draw_parameters(c, 3, 0.1, 0.1, 1, 1).collect())
+
+    merged = TP._merged(counts, 3, 3)
+    assert merged.count() <= 4 and drawn(merged) == drawn(counts)
