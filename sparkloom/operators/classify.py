@@ -112,18 +112,39 @@ def loss_and_gradient(cfg: GDConfig, w: np.ndarray, y: np.ndarray, rows: np.ndar
     return loss, np.bincount(idx, weights=val * step[rows], minlength=len(w))
 
 
-def _cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(labels, row, position, value) of a batch, from the flat buffers of its list columns."""
-    idx, val = batch.column("idx"), batch.column("val")
-    rows = np.repeat(np.arange(batch.num_rows), np.asarray(idx.value_lengths().fill_null(0)))
-    flat = np.asarray(idx.flatten()).astype(np.int64)
-    return np.asarray(batch.column("y")), rows, flat, np.asarray(val.flatten()).astype(np.float64)
+PIECE_CELLS = 1 << 18  # of one packed row
+TASK_CELLS = 1 << 22  # beyond the session's parallelism, there are tasks of about so many cells
+_PIECE = "n long, y binary, length binary, idx binary, val binary"
+
+
+def _packed(batches):
+    """Pieces of the rows ``idx, val, y`` as the bytes of flat arrays, one piece a row: a task of an
+    iteration then gets its cells without a conversion of every value."""
+    for batch in batches:
+        size = np.cumsum(np.asarray(batch.column("idx").value_lengths().fill_null(0)).astype(np.int64))
+        ends = [*(np.flatnonzero(np.diff(size // PIECE_CELLS)) + 1).tolist(), batch.num_rows]
+        for start, end in zip([0, *ends], ends):
+            part = batch.slice(start, end - start)
+            idx = part.column("idx")
+            arrays = [(np.asarray(part.column("y")), np.float64), (np.asarray(idx.value_lengths().fill_null(0)), np.int32),
+                      (np.asarray(idx.flatten()), np.int32), (np.asarray(part.column("val").flatten()), np.float64)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part.num_rows], pa.int64()), *(pa.array([a.astype(kind).tobytes()], pa.binary()) for a, kind in arrays)],
+                names=["n", "y", "length", "idx", "val"])
+
+
+def _cells(batch: pa.RecordBatch):
+    """(labels, row, position, value) of every piece of a batch."""
+    for y, length, idx, val in zip(*(batch.column(c) for c in ("y", "length", "idx", "val"))):
+        y, length = np.frombuffer(y.as_buffer(), np.float64), np.frombuffer(length.as_buffer(), np.int32)
+        yield y, np.repeat(np.arange(len(y)), length), np.frombuffer(idx.as_buffer(), np.int32), np.frombuffer(val.as_buffer(), np.float64)
 
 
 class Sparse:
     """Sparse features ``idx array<int>, val array<double>``. Each task sums its rows into one
     vector; the vectors of more than ``_FAN`` tasks meet in ``_FAN`` groups first, so the driver
-    adds up at most ``_FAN`` of them. NULL labels take no part."""
+    adds up at most ``_FAN`` of them. The number of tasks follows the cells and the cores, not the
+    session's shuffle partitions: an iteration is short. NULL labels take no part."""
 
     _FAN = 32
     _PARTIAL = "part int, loss double, grad array<double>"
@@ -132,16 +153,20 @@ class Sparse:
                  checkpoint: bool = True):
         from sparkloom.session import materialize
 
-        self.data = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y")).filter("y is not null")
+        rows = data.select(F.col(idx).alias("idx"), F.col(val).alias("val"), label.cast("double").alias("y")).filter("y is not null")
         if checkpoint:
-            # read once an iteration: dealt evenly over the session's partitions, once
-            partitions = int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            self.data = materialize(self.data.repartition(partitions))
+            # read once an iteration: dealt evenly and packed, once
+            rows = materialize(rows)
+            cells = rows.agg(F.sum(F.size("idx").cast("long"))).first()[0] or 0
+            tasks = max(data.sparkSession.sparkContext.defaultParallelism, -(-cells // TASK_CELLS))
+            self.data = materialize(rows.repartition(tasks).mapInArrow(_packed, _PIECE))
+        else:
+            self.data = rows.mapInArrow(_packed, _PIECE)
         self.tasks = self.data.select(F.spark_partition_id().alias("p")).distinct().count()
         self.d = d
 
     def count(self) -> int:
-        return self.data.count()
+        return self.data.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def sums(self, cfg: GDConfig, w) -> tuple[float, np.ndarray]:
         shared = self.data.sparkSession.sparkContext.broadcast(np.asarray(w, dtype=np.float64))
@@ -154,8 +179,9 @@ class Sparse:
         def partial(batches):
             loss, grad = 0.0, np.zeros(d)
             for batch in batches:
-                more, g = loss_and_gradient(cfg, shared.value, *_cells(batch))
-                loss, grad = loss + more, grad + g
+                for cells in _cells(batch):
+                    more, g = loss_and_gradient(cfg, shared.value, *cells)
+                    loss, grad = loss + more, grad + g
             yield pa.RecordBatch.from_arrays(vector(TaskContext.get().partitionId() % fan, loss, grad), names=names)
 
         def merge(table):

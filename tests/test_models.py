@@ -228,3 +228,29 @@ def test_fitted_models_predict_in_a_session_with_observations(spark, two_class,
     z = x @ model.coefficients.toArray()
     got = [r["prediction"] for r in model.transform(data).select("prediction").collect()]
     assert got == [float(v > 0) for v in z]
+
+
+def test_descent_has_as_many_tasks_as_cores_whatever_the_shuffle_partitions(spark, two_class):
+    df, _, _ = two_class
+    rows = df.select(F.array(F.lit(0), F.lit(1)).alias("idx"), F.array("a", "b").alias("val"), "y")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        backend = C.Sparse(rows, 2, F.col("y"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert 1 < backend.tasks <= spark.sparkContext.defaultParallelism and backend.count() == df.count()
+
+
+def test_packed_pieces_keep_every_cell(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(C, "PIECE_CELLS", 4)
+    idx, val = [[0, 2], [], [1], [0, 1, 2], [2], [1, 2, 0]], [[1.0, 2.0], [], [3.0], [4.0, 5.0, 6.0], [7.0], [8.0, 9.0, 1.5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(idx, pa.list_(pa.int32())), pa.array(val), pa.array([1.0, 0, 1, 0, 1, 0])], names=["idx", "val", "y"])
+    pieces = list(C._packed([batch]))
+    assert len(pieces) > 2 and sum(p.column("n")[0].as_py() for p in pieces) == 6
+    cells = [c for p in pieces for c in C._cells(p)]
+    assert [y for c in cells for y in c[0]] == [1.0, 0, 1, 0, 1, 0]
+    assert [(i, v) for c in cells for i, v in zip(c[2], c[3])] == [(i, v) for a, b in zip(idx, val) for i, v in zip(a, b)]
+    assert [n for c in cells for n in np.bincount(c[1], minlength=len(c[0]))] == [len(i) for i in idx]
