@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 SCORE_DIGITS = 9
 BLOCK_CELLS = 1 << 18
 # sizes of the NumPy work arrays inside one task
-_MAX_EXPANDED = 4_000_000
-_MAX_SCORE_CELLS = 4_000_000
+_MAX_EXPANDED = 1_000_000
+_MAX_SCORE_CELLS = 1_000_000
 
 _NEAR = "query_id long, id long, category string, score double"
 

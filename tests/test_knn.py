@@ -172,3 +172,14 @@ def test_dense_knn_equals_numpy(spark):
             order = sorted(range(80), key=lambda i: (-round(float(s[i]), 9), f"l{labels[i]}", i))[:5]
             assert [i for _, i in sorted(got[j])] == order
     assert knn.top_k_dense(cand, queries.limit(0)).count() == 0 and knn.top_k_dense(cand.limit(0), queries).count() == 0
+
+
+def test_scores_of_a_piece_are_bounded():
+    import pyarrow as pa
+
+    def vectors(n):
+        return pa.table({"vector": pa.array([[float(i), 1.0] for i in range(n)], pa.list_(pa.float64()))})
+
+    block = knn.DenseQueries(vectors(1000), vectors(5000), False)
+    pieces = list(block.pieces())
+    assert max(map(len, pieces)) * block.count <= 1_000_000 and sorted(np.concatenate(pieces).tolist()) == list(range(5000))
