@@ -43,7 +43,7 @@ def vocab_tail20(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vocab_stripped_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = documents_as_wiki_lines(spark, sf_dir)
     body = T.body_from_first_gt("value")
-    return V.top_k(V.word_counts(lines, T.tokens_stripped(body)), VOCAB_K)
+    return V.top_k(V.word_counts(lines, T.tokens_whitespace(body), T.stripped_token), VOCAB_K)
 
 
 def _model_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, V.Vocabulary]:

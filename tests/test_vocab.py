@@ -108,3 +108,27 @@ def test_bag_of_words_is_counted_inside_the_row(spark, train):
     want = {(d, w): n for d, t in TRAIN for w, n in Counter(_tok(t)).items()}
     assert {(r.doc_id, r.word): r.cnt for r in bow.collect()} == want and bow.count() == len(want)
     assert V.bag_of_words(train.limit(0), tokens_letters("text")).count() == 0
+
+
+def test_words_of_distinct_tokens_equal_words_of_the_text(spark):
+    from pyspark.sql import functions as F
+
+    from sparkloom.functions import text as T
+
+    texts = ["A a. (b) ...Foo-bar, x\u00a0foo-bar! --", "", None, "\n\tFOO-BAR;\n ?! \u0130st. \u039f\u0394\u039f\u03a3. e\u2028ee:", "ab.\n", " [c] [cd] d,d "]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    a = V.word_counts(docs, T.tokens_stripped("text"))
+    b = V.word_counts(docs, T.tokens_whitespace("text"), T.stripped_token)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and b.filter(F.col("word") == "foo-bar").first()["count"] == 3
+
+
+def test_bag_of_words_counts_in_bounded_pieces(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from sparkloom.functions import text as T
+
+    monkeypatch.setattr(V, "PIECE_WORDS", 5)
+    docs = spark.createDataFrame([(i, " ".join(["red", "blue", "red"] * (i % 4))) for i in range(20)] + [(20, None)], "doc_id long, text string")
+    tokens = T.tokens_letters("text")
+    plain = docs.select("doc_id", F.explode(tokens).alias("word")).groupBy("doc_id", "word").count()
+    assert sorted(map(tuple, V.bag_of_words(docs, tokens).collect())) == sorted(map(tuple, plain.collect()))
