@@ -23,9 +23,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from sparkloom.operators.vocab import _pieces, bags
 
 
 @dataclass
@@ -258,22 +262,23 @@ def predict(scored_z: Column, rule: str = "ge0", positive=1, negative=0) -> Colu
 
 
 # ------------------------------------------------------------------ pyspark.ml forms
+TASK_ROWS = 1 << 14  # beyond the session's parallelism, there are tasks of about so many rows
+
+
 def _fit(estimator_of, train: DataFrame):
-    """Fit on the cached training rows in the partitions they come in; how many those are is
-    the caller's (or the session's) choice. ``estimator_of(n)`` gets the number of rows.
+    """Fit on the training rows, written once and dealt over as many tasks as cores (more beyond
+    ``TASK_ROWS`` rows each): an iteration is short. They are not cached, since the estimator
+    caches its own blocks of them. ``estimator_of(n)`` gets the number of rows.
 
     The model is written to the checkpoint folder and read back: as fitted it refers to its
     training summary and so to the session, which tasks cannot be sent once anything in the
     session has used an ``Observation``."""
-    from pyspark import StorageLevel
+    from sparkloom.session import materialize, scratch_table_path
 
-    from sparkloom.session import scratch_table_path
-
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = estimator_of(cached.count()).fit(cached)
-    finally:
-        cached.unpersist()
+    rows = materialize(train)
+    n = rows.count()
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, -(-n // TASK_ROWS))
+    model = estimator_of(n).fit(rows.repartition(tasks))
     path = scratch_table_path(train.sparkSession, uuid.uuid4().hex)
     model.write().save(path)
     return type(model).load(path)
@@ -305,31 +310,62 @@ def ml_svm(train: DataFrame, reg_param: float | None = None, max_iter: int = 300
 
 
 # ------------------------------------------------------------------ text features for pyspark.ml
+_INDICES = pa.list_(pa.field("element", pa.int32(), nullable=False))
+_VALUES = pa.list_(pa.field("element", pa.float64(), nullable=False))
+_SPARSE = [pa.field("type", pa.int8(), nullable=False), pa.field("size", pa.int32()),
+           pa.field("indices", _INDICES), pa.field("values", _VALUES)]  # of an ``ml`` vector
+
+
 class TextVectorizer:
     """TF (count / in-dictionary tokens) or TF-IDF ``ml`` vectors for a fixed dictionary.
 
-    ``vocab_words`` is the fitted dictionary in position order (bounded by its size k);
-    ``CountVectorizerModel.from_vocabulary`` counts, ``Normalizer(p=1)`` turns counts into
-    term frequencies and ``ElementwiseProduct`` applies the idf weights, all in the JVM.
-    Build it once and apply it to every split: constructing the model ships the dictionary
-    to the JVM word by word.
+    ``vocab_words`` is the fitted dictionary in position order (bounded by its size k). The
+    words of a document are counted once (:func:`sparkloom.operators.vocab.bags`) and found in
+    the dictionary once per document and distinct word, in Arrow batches;
+    ``ElementwiseProduct`` applies the idf weights. A document without words, or without a
+    text, has the empty vector.
     """
 
     def __init__(self, vocab_words: list[str], idf: list[float] | None = None, out: str = "features"):
-        from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+        from pyspark.ml.feature import ElementwiseProduct
         from pyspark.ml.linalg import Vectors
 
         self.out = out
-        self.cv = CountVectorizerModel.from_vocabulary(vocab_words, inputCol="_tokens", outputCol="_counts")
-        self.norm = Normalizer(inputCol="_counts", outputCol="_tf" if idf is not None else out, p=1.0)
+        self.words = vocab_words
         self.idf = None if idf is None else ElementwiseProduct(
             scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol=out)
 
     def transform(self, docs: DataFrame, tokens: Column) -> DataFrame:
-        tf = self.norm.transform(self.cv.transform(docs.withColumn("_tokens", tokens)))
-        if self.idf is not None:
-            tf = self.idf.transform(tf)
-        return tf.drop("_tokens", "_counts", "_tf")
+        return self.transform_bags(bags(docs, tokens, docs.columns))
+
+    def transform_bags(self, counted: DataFrame) -> DataFrame:
+        """Rows of :func:`bags`, the vector in place of their words and counts."""
+        from pyspark.ml.linalg import VectorUDT
+
+        kept, known = [c for c in counted.columns if c not in ("words", "counts")], self.words
+        name = self.out if self.idf is None else "_tf"
+        rows = counted.select(F.struct(*kept).alias("row"), "words", "counts")
+
+        def vectors(batches):
+            dictionary = pa.array(known, pa.string())
+            for batch in _pieces(batches):
+                words, counts = batch.column(1), batch.column(2)
+                owner = np.repeat(np.arange(batch.num_rows), np.asarray(words.value_lengths()))
+                pos = pc.index_in(words.flatten().cast(pa.string()), value_set=dictionary)
+                found = np.asarray(pos.is_valid())
+                owner, pos, n = owner[found], np.asarray(pos.drop_null()), np.asarray(counts.flatten())[found]
+                order = np.lexsort((pos, owner))
+                owner, pos, n = owner[order], pos[order], n[order]
+                tf = n / np.bincount(owner, weights=n, minlength=batch.num_rows)[owner]
+                ends = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
+                vector = pa.StructArray.from_arrays(
+                    [pa.array(np.zeros(batch.num_rows), pa.int8()), pa.array(np.full(batch.num_rows, len(known)), pa.int32()),
+                     pa.ListArray.from_arrays(ends, pa.array(pos, pa.int32()), type=_INDICES),
+                     pa.ListArray.from_arrays(ends, pa.array(tf, pa.float64()), type=_VALUES)], fields=_SPARSE)
+                yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), vector], names=[*kept, name])
+
+        tf = rows.mapInArrow(vectors, StructType([*(counted.schema[c] for c in kept), StructField(name, VectorUDT())]))
+        return tf if self.idf is None else self.idf.transform(tf).drop("_tf")
 
 
 def text_vectors(docs: DataFrame, tokens: Column, vocab_words: list[str], idf: list[float] | None = None,

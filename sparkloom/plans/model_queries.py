@@ -162,11 +162,15 @@ def svm_weighted_gd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- text classifiers
-from sparkloom.plans.text_queries import train_test_docs  # noqa: E402
+from sparkloom.plans.text_queries import split_by_id, train_test_docs  # noqa: E402
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
 
 
 def _labelled_split(spark: SparkSession, sf_dir: str):
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    labels = _labels(spark, sf_dir)
     train, test = train_test_docs(spark, sf_dir)
     return train.join(labels, "doc_id"), test.join(labels, "doc_id")
 
@@ -177,13 +181,13 @@ def _vocab_words(vocab: V.Vocabulary) -> list[str]:
 
 
 def _tf_sets(spark: SparkSession, sf_dir: str):
-    train, test = _labelled_split(spark, sf_dir)
-    vocab = V.Vocabulary.fit(train, T.tokens_letters("text"), VOCAB_K).materialized()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").join(_labels(spark, sf_dir), "doc_id")
+    # joined, tokenised and counted once: the dictionary and both splits come from the written bags
+    train, test = split_by_id(materialize(V.bags(docs, F.col("text"), ["doc_id", "label"], T.letter_words)))
+    vocab = V.Vocabulary.fit_bow(V.bag_cells(train), VOCAB_K).materialized()
     words = _vocab_words(vocab)
-    vectorizer = classify.TextVectorizer(words)  # built once, applied to both splits
-    tr = vectorizer.transform(train, T.tokens_letters("text"))
-    te = vectorizer.transform(test, T.tokens_letters("text"))
-    return tr, te, vocab, words
+    vectorizer = classify.TextVectorizer(words)
+    return vectorizer.transform_bags(train), vectorizer.transform_bags(test), vocab, words
 
 
 @register("logreg_lbfgs")
@@ -208,7 +212,7 @@ def svm_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def svm_weighted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M17 via LinearSVC with class weights NR (positives) and PR (negatives), no penalty."""
     tr, te, _, _ = _tf_sets(spark, sf_dir)
-    nr, pr = classify.class_ratios(tr, F.col("label"))
+    nr, pr = classify.class_ratios(_labelled_split(spark, sf_dir)[0], F.col("label"))  # reads no text
     weighted = tr.withColumn("weight", F.when(F.col("label") > 0, F.lit(nr)).otherwise(F.lit(pr)))
     model = classify.ml_svm(weighted, reg_param=0.0, max_iter=300, weight_col="weight")
     return model.transform(te).select("doc_id", F.col("label").cast("int").alias("label"),

@@ -93,7 +93,10 @@ def tfidf_smoothed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_test_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Every document is used: ids divisible by 5 form the test set, the rest train."""
-    docs = _docs(spark, sf_dir)
+    return split_by_id(_docs(spark, sf_dir))
+
+
+def split_by_id(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     is_test = (F.col("doc_id") % 5) == 0
     return docs.where(~is_test), docs.where(is_test)
 

@@ -254,3 +254,51 @@ def test_packed_pieces_keep_every_cell(monkeypatch):
     assert [y for c in cells for y in c[0]] == [1.0, 0, 1, 0, 1, 0]
     assert [(i, v) for c in cells for i, v in zip(c[2], c[3])] == [(i, v) for a, b in zip(idx, val) for i, v in zip(a, b)]
     assert [n for c in cells for n in np.bincount(c[1], minlength=len(c[0]))] == [len(i) for i in idx]
+
+
+def test_vectorizer_equals_count_vectorizer(spark):
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
+    from pyspark.ml.linalg import Vectors
+
+    from sparkloom.functions.text import tokens_letters
+
+    docs = spark.createDataFrame([(1, "b a b zz"), (2, "zz"), (2, "c c a"), (3, ""), (4, "c b a a a a a")], "doc_id long, text string")
+    words = ["a", "b", "c", "d"]
+    counts = CountVectorizerModel.from_vocabulary(words, "t", "n").transform(docs.withColumn("t", tokens_letters("text")))
+    want = Normalizer(inputCol="n", outputCol="v", p=1.0).transform(counts).select("doc_id", "text", "v").collect()
+    assert sorted(map(tuple, C.text_vectors(docs, tokens_letters("text"), words).collect()), key=str) == sorted(map(tuple, want), key=str)
+    weighted = C.text_vectors(docs, tokens_letters("text"), words, idf=[2.0, 3.0, 4.0, 5.0]).where("doc_id = 1").first()
+    assert weighted["features"] == Vectors.sparse(4, {0: 2.0 / 3, 1: 2.0})
+    nothing = spark.createDataFrame([(1, None)], "doc_id long, text string")
+    assert C.text_vectors(nothing, tokens_letters("text"), words).first()["features"] == Vectors.sparse(4, {})
+
+
+def test_fit_deals_rows_over_the_cores_and_keeps_no_second_copy(spark, two_class, monkeypatch):
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.feature import VectorAssembler
+
+    df, x, _ = two_class
+    data = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).withColumnRenamed("y", "label")
+    seen = []
+
+    class Estimator(LinearSVC):
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.storageLevel.useMemory, rows.count()))
+            return super().fit(rows)
+
+    C._fit(lambda n: Estimator(maxIter=n // 100), data.repartition(60))
+    monkeypatch.setattr(C, "TASK_ROWS", 50)
+    C._fit(lambda n: Estimator(maxIter=n // 100), data.repartition(60))
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == [(cores, False, len(x)), (max(cores, 6), False, len(x))]
+
+
+def test_text_sets_read_the_documents_once(spark):
+    """The fit, its class shares and the predictions read counted words, not texts."""
+    from sparkloom.plans import model_queries as Q
+
+    train, test, _, words = Q._tf_sets(spark, "/root/testdata/sf0.001")
+    for side in (train, test):
+        assert side.columns == ["doc_id", "label", "features"]
+        assert not [f for f in side.inputFiles() if "documents" in f]
+    assert train.first()["features"].size == len(words)

@@ -8,6 +8,7 @@ import glob
 import os
 import re
 
+import pytest
 from fixture_files import fixture_path
 from pyspark.sql import functions as F
 
@@ -139,3 +140,14 @@ def test_category_links_have_a_given_schema(spark, tmp_path):
     df = files.read_category_links(spark, str(path))
     assert df.dtypes == [("doc_id", "string"), ("category", "string")]
     assert sorted((r.doc_id, r.category or "") for r in df.collect()) == [("007", "A, b"), ("8", "c"), ("9", "")]
+
+
+@pytest.mark.parametrize("piece", [slice(None), slice(2, 6), slice(1, 1)])
+def test_letter_words_of_an_arrow_batch_are_tokens_letters(spark, piece):
+    import pyarrow as pa
+
+    texts = ["The cat, the CAT\n42x", None, "", "  é\u212aelvin naïve\U0001f600end ", "...", "a", "B c\x00d", "tail"]
+    texts = texts[piece]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = [r["w"] or [] for r in df.select("i", T.tokens_letters("t").alias("w")).orderBy("i").collect()]
+    assert T.letter_words(pa.array(["x y", *texts], pa.string())[1:]).to_pylist() == want

@@ -132,3 +132,21 @@ def test_bag_of_words_counts_in_bounded_pieces(spark, monkeypatch):
     tokens = T.tokens_letters("text")
     plain = docs.select("doc_id", F.explode(tokens).alias("word")).groupBy("doc_id", "word").count()
     assert sorted(map(tuple, V.bag_of_words(docs, tokens).collect())) == sorted(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("most", [4, 1 << 20])
+def test_bags_keep_rows_and_their_counts(spark, monkeypatch, most):
+    from pyspark.sql import functions as F
+
+    from sparkloom.functions.text import letter_words
+
+    monkeypatch.setattr(V, "PIECE_WORDS", most)
+    monkeypatch.setattr(V, "PIECE_BYTES", most)
+    rows = [*TRAIN, TRAIN[2], (None, "a b"), (7, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((str(i), sorted(Counter(_tok(t or "")).items())) for i, t in rows)
+    for bags in (V.bags(docs, tokens_letters("text"), ["doc_id"]), V.bags(docs, F.col("text"), ["doc_id"], letter_words)):
+        assert bags.columns == ["doc_id", "words", "counts"]
+        assert sorted((str(r[0]), sorted(zip(r["words"], r["counts"]))) for r in bags.collect()) == want
+    got = V.Vocabulary.fit_bow(V.bag_cells(bags), 5).table.collect()
+    assert {r["word"]: (r["pos"], r["count"]) for r in got} == _vocab([(i, t or "") for i, t in rows], 5)
