@@ -263,3 +263,62 @@ def test_counts_of_many_blocks_are_merged(spark, monkeypatch):
 
     merged = TP._merged(counts, 3, 3)
     assert merged.count() <= 4 and drawn(merged) == drawn(counts)
+
+
+def test_md5_of_many_texts():
+    import pyarrow as pa
+
+    texts = [f"42:{i}:{i * 37 % 1000}" * (i % 3 + 1) for i in range(500)] + ["", "é" * 27, "a" * 55, "b" * 56, "c" * 200]
+    want = [hashlib.md5(t.encode()).digest() for t in texts]
+    assert [bytes(r) for r in TP.md5_digests(texts)] == want
+    assert [bytes(r) for r in TP.md5_digests(pa.array(texts[:400]).slice(7, 300))] == want[7:307]
+
+
+def _sweep(n=300, v=40, k=6, width=(0, 9)):
+    """A block of random documents, and the dense counts of their words."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    cells = [np.sort(rng.choice(v, rng.integers(*width), replace=False)) for _ in range(n)]
+    times = [rng.integers(1, 300, len(c)) for c in cells]
+    dense = np.zeros((n, v))
+    for row, c, x in zip(dense, cells, times):
+        row[c] = x
+    lists = [pa.array([x.tolist() for x in some], pa.list_(pa.int64())) for some in (cells, times)]
+    docs = pa.table({"doc_id": pa.array([*range(n - 1), None], pa.int64()), "n": pa.array([len(c) for c in cells], pa.int32()),
+                     "idx": TP._as_bytes(lists[0], np.dtype(np.uint8)), "cnt": TP._as_bytes(lists[1], np.dtype(np.uint16))})
+    log_mu, log_pi = np.log(rng.dirichlet(np.ones(v), k)), np.log(rng.dirichlet(np.ones(k)))
+    params = pa.table({"cluster": pa.array(range(k), pa.int32()), "log_pi": log_pi, "log_mu": pa.array(log_mu.tolist())})
+    return TP._Sweep(docs, params, "3:1"), log_pi + dense @ log_mu.T, dense
+
+
+@pytest.mark.parametrize("long", [0, 1000])
+def test_pieces_of_a_block_and_skipped_draws(monkeypatch, long):
+    """Documents one by one or together, in small pieces; the draws that cannot win are not made."""
+    monkeypatch.setattr(TP, "LONG", long)
+    monkeypatch.setattr(TP, "SCORED_CELLS", 16)
+    monkeypatch.setattr(TP, "COUNTED_CELLS", 100)
+    hashed, plain = [], TP.hash_uniforms
+    monkeypatch.setattr(TP, "hash_uniforms", lambda texts: hashed.append(len(texts)) or plain(texts))
+    sweep, scores, dense = _sweep()
+    got = sweep.assigned().to_pydict()
+    u = np.array([[uniform("3:1", d, c) for c in range(6)] for d in [*range(299), None]])
+    chosen = np.argmax(scores - np.log(-np.log(u)), axis=1)
+    assert got["cluster"] == chosen.tolist() and got["doc_id"] == [*range(299), None]
+    p = np.exp(scores - scores.max(1, keepdims=True))
+    assert got["posterior"] == pytest.approx((p[range(300), chosen] / p.sum(1)).tolist(), rel=1e-9)
+    assert len(hashed) > 5 and 300 <= sum(hashed) < 0.6 * scores.size
+    for c, pos, cnt in zip(*sweep.counted().to_pydict().values()):
+        want = np.append((chosen == c).sum(), dense[chosen == c].sum(0))
+        assert dict(zip(pos, cnt)) == {int(at) - 1: want[at] for at in {0, *np.flatnonzero(want).tolist()}}
+
+
+def test_blocks_hold_bytes_and_are_a_multiple_of_the_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(40).selectExpr("id AS doc_id", "array(0, 1, 300) AS idx", "array(1L, 1L, 2L) AS cnt")
+    monkeypatch.setattr(TP, "LEAST_CELLS", 10)
+    monkeypatch.setattr(TP, "MOST_CELLS", 30)
+    docs, keys = TP.in_blocks(rows)
+    assert len(keys) == 2 * cores
+    row = docs.first()
+    assert (row.n, np.frombuffer(row.idx, np.uint16).tolist(), list(row.cnt)) == (3, [0, 1, 300], [1, 1, 2])
