@@ -322,3 +322,27 @@ def test_blocks_hold_bytes_and_are_a_multiple_of_the_cores(spark, monkeypatch):
     assert len(keys) == 2 * cores
     row = docs.first()
     assert (row.n, np.frombuffer(row.idx, np.uint16).tolist(), list(row.cnt)) == (3, [0, 1, 300], [1, 1, 2])
+
+
+ODD_TEXTS = [
+    (1, "The cat sat.\n on the (mat)\n"), (2, "cat.\n"), (3, "cat.\n cat.\n dog.\r\n  Cat,\tdog"), (4, None), (5, ""), (None, "cat cat"),
+    (6, "ab\n the\u2028 cat ab\n"), (7, "ÉCOLE école, ΟΔΟΣ aΟΔΟΣ. İxy x1 1x --the-- l'été"), (8, "dog"), (8, "dog cat the"), (9, " the\x85 mat.\x85"),
+]
+
+
+def test_counts_by_distinct_token_equal_counts_by_document(spark, monkeypatch):
+    """Line breaks, other scripts, NULL texts, ids that are NULL or come twice."""
+    from sparkloom.functions import text as T
+    from sparkloom.plans import topic_queries as Q
+
+    docs = spark.createDataFrame([(i, t, "src1") for i, t in ODD_TEXTS], "doc_id long, text string, source string").repartition(1)
+    monkeypatch.setattr(Q, "table", lambda *_: docs)
+    monkeypatch.setattr(Q, "TOPIC_VOCAB", 12)
+    vocab = Q._vocab(Q._docs(spark, ""), 12)
+    want = TP.doc_term_arrays(docs, T.topic_tokens("text"), vocab)
+    for most in (TP.MOST_FORM_BYTES, 0):  # sent to the tasks, or joined
+        monkeypatch.setattr(TP, "MOST_FORM_BYTES", most)
+        found, arrays = Q._arrays(spark, "")
+        assert sorted(found.table.collect()) == sorted(vocab.table.collect())
+        rows = [sorted((str(r.doc_id), r.idx, r.cnt) for r in a.collect()) for a in (arrays, want)]
+        assert rows[0] == rows[1] and len(rows[0]) == len(ODD_TEXTS)
